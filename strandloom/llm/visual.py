@@ -16,6 +16,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandloom.llm import textform
 from strandloom.runtime import Scratch, spread
@@ -23,14 +24,13 @@ from strandloom.runtime import Scratch, spread
 TEXTS, COPIES = 32, 32
 
 
-@F.arrow_udf("string")
 def _form(text: pa.Array) -> pa.Array:
     return textform.one_form(text)
 
 
 def form(column: Column | str) -> Column:
     """The one form of a text column. Null gives null, blanks give an empty text."""
-    return _form(column)
+    return F.arrow_udf(_form, T.StringType())(column)
 
 
 def with_form(df: DataFrame, column: str, out: str) -> DataFrame:
