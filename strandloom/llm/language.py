@@ -63,6 +63,10 @@ def named_language(label: Column | str) -> Column:
 QUOTED = r'"[^"\n]*"|“[^”\n]*”|«[^»\n]*»|„[^“”\n]*[“”]'
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(lo, hi - lo) for b in batches for lo, hi in textform.slices(b.column(b.num_columns - 1)))
+
+
 def _paragraphs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Row and number of every paragraph, and the paragraphs."""
     column = batch.column(batch.num_columns - 1)
@@ -171,9 +175,7 @@ def _features(languages: list[str], held=None):
     """Counts of words and grams by language: ``kind, hash, lang, n``. The language is the label's, or the one that a first model gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _small(batches):
             rows, _, paragraphs = _paragraphs(batch)
             if not rows.size:
                 continue
@@ -238,9 +240,7 @@ def _label_paragraphs(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
         names = np.array(model.languages, object)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _small(batches):
             rows, number, paragraphs = _paragraphs(batch)
             if not rows.size:
                 continue

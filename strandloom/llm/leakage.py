@@ -58,7 +58,7 @@ def _rows_of(run: int, shingle: int):
     """Every window as a row: id, sketch, sequence."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in textform.slices(b.column(1))):
             row, sketch, whole = _windows(batch.column(1), run, shingle)
             if row.size:
                 table = np.unique(np.stack((row.astype(np.uint64), sketch, whole)), axis=1)
@@ -73,9 +73,7 @@ def _search(index, run: int, shingle: int):
     sketches, sequences, items = index.value
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in textform.slices(b.column(1))):
             row, sketch, whole = _windows(batch.column(1), run, shingle)
             lo, hi = np.searchsorted(sketches, sketch, "left"), np.searchsorted(sketches, sketch, "right")
             hit = np.flatnonzero(hi > lo)

@@ -16,6 +16,7 @@ idempotent.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -253,8 +254,27 @@ def to_arrow(cps: np.ndarray, offsets: np.ndarray, source: pa.Array | None = Non
     return out.cast(pa.string())
 
 
+#: Bytes of text that are worked on at once; a longer text is worked on by itself.
+SLICE_BYTES = 4 << 20
+
+
+def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``limit`` bytes of text, so that memory doesn't grow with a batch of long texts."""
+    n = len(column)
+    if not n:
+        return
+    column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
+    ends = np.frombuffer(column.buffers()[1], np.int64, n + 1, column.offset * 8)
+    start = 0
+    while start < n:
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] + limit, "right")) - 1)
+        yield start, min(stop, n)
+        start = stop
+
+
 def one_form(column: pa.Array) -> pa.Array:
-    return to_arrow(*canonical(column), column)
+    parts = [to_arrow(*canonical(part), part) for a, b in slices(column) for part in [column.slice(a, b - a)]]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 # --- words ---------------------------------------------------------------------------------------
