@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import training
+from strandloom.plans import graphs, measures, texts, training
 
-MODULES = [training]
+MODULES = [training, texts, graphs, measures]
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
