@@ -9,9 +9,11 @@ true size, so that broadcasts are chosen on a measured size.
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +41,28 @@ def session(cores: int | str = 8, shuffle_partitions: int | None = None, memory:
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once a session, so that their Python workers can import it wherever they start."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="strandloom-code-")  # on the driver, which serves it
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "strandloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for top, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    out.write(full, os.path.join("strandloom", os.path.relpath(full, package)))
+    spark.sparkContext.addPyFile(archive)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; where it is unset, a folder of our own, in local mode only."""
     global _own_folder
@@ -57,6 +81,7 @@ class Scratch:
     """Written tables of one job. ``save`` cuts lineage, ``drop`` frees a table that is no longer read."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.home = f"{scratch_root(spark)}/strandloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
