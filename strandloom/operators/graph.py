@@ -115,6 +115,35 @@ def components(edges: DataFrame) -> DataFrame:
     return found if found is not None else core.select(F.col("dep").alias("id"), F.col("pre").alias("component"))
 
 
+def weak_components(edges: DataFrame) -> DataFrame:
+    """``id, component``: nodes joined by edges in either direction, named by their smallest id.
+
+    Every node takes the smallest id next to it, labels jump twice, and edges
+    are rewritten to labels, so that they dwindle by half or more a round.
+    """
+    scratch = Scratch(edges.sparkSession, "weak")
+    left = scratch.save(clean_edges(edges), "edges")
+    labels: DataFrame | None = None
+    while not left.isEmpty():
+        both = left.select(F.col("dep").alias("id"), F.col("pre").alias("o")).union(left.select("pre", "dep"))
+        low = scratch.save(both.groupBy("id").agg(F.min("o").alias("o")).select("id", F.least("id", "o").alias("to")), "low")
+        for _ in range(2):
+            jumped = scratch.save(low.join(low.select(F.col("id").alias("to"), F.col("to").alias("far")), "to").select("id", F.col("far").alias("to")), "low")
+            scratch.drop(low)
+            low = jumped
+        if labels is None:
+            labels = scratch.save(low.select("id", F.col("to").alias("component")), "labels")
+        else:
+            moved = scratch.save(labels.join(low.select(F.col("id").alias("component"), "to"), "component", "left").select("id", F.coalesce("to", "component").alias("component")), "labels")
+            scratch.drop(labels)
+            labels = moved
+        ends = left.join(low.select(F.col("id").alias("dep"), F.col("to").alias("d")), "dep").join(low.select(F.col("id").alias("pre"), F.col("to").alias("p")), "pre")
+        fewer = scratch.save(ends.where("d <> p").select(F.greatest("d", "p").alias("dep"), F.least("d", "p").alias("pre")).distinct(), "edges")
+        scratch.drop(left, low)
+        left = fewer
+    return labels if labels is not None else left.select(F.col("dep").alias("id"), F.col("pre").alias("component"))
+
+
 def transitive_reduction(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Edges of a DAG without those that another way implies."""
     e = clean_edges(edges)
