@@ -84,6 +84,24 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, least, share, who
     assert len({(r.tab, r.key) for r in members}) == len(members)
 
 
+def test_near_duplicates_tiny_and_large_sets(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(0, k, " ".join(rng.sample("abcdefg", rng.randrange(1, 4)))) for k in range(60)]
+    df = spark.createDataFrame(rows, "tab int, key long, text string")
+    for share in (Fraction(1, 2), Fraction(1, 3), Fraction(9, 10)):
+        assert pairs(neardup.NearDuplicates(df, 1, share).pairs(), "tab", "key_a", "key_b") == jaccard_pairs(rows, 1, share)
+    monkeypatch.setattr(neardup, "LARGE", 20)
+    rows = texts(400, 6)
+    df = spark.createDataFrame(rows, "tab int, key long, text string")
+    assert pairs(neardup.NearDuplicates(df, 5, Fraction(7, 10)).pairs(), "tab", "key_a", "key_b") == jaccard_pairs(rows, 5, Fraction(7, 10))
+
+
+def test_near_duplicates_very_long_text(spark):
+    words = [f"w{i}" for i in range(30_000)]
+    rows = [(0, 1, " ".join(words)), (0, 2, " ".join(words[:25_000])), (0, 3, " ".join(words[20_000:]))]
+    assert pairs(neardup.NearDuplicates(spark.createDataFrame(rows, "tab int, key long, text string")).pairs(), "key_a", "key_b") == {(1, 2)}
+
+
 def test_near_duplicates_copies_stay_linear(spark, monkeypatch):
     monkeypatch.setattr(neardup, "COPIES", 4)
     base = " ".join(f"w{i}" for i in range(20))
