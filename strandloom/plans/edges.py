@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from strandloom.functions import text as X
 from strandloom.operators import candidates as K
+from strandloom.operators import enrich as E
 from strandloom.operators import folds as O
 from strandloom.operators import graph as G
+from strandloom.operators import similarity as S
 from strandloom.plans import graphs, measures
 from strandloom.plans.tables import table
 
@@ -69,7 +71,33 @@ def q_weak_components(spark: SparkSession, folder: str) -> DataFrame:
     return G.weak_components(e)
 
 
-QUERIES = {f.__name__: f for f in (q_topic_candidates, q_guarded_aliases, q_feasible_seeds, q_hub_caps, q_orphans, q_weak_components)}
+def q_backfill(spark: SparkSession, folder: str) -> DataFrame:
+    """Topics that the nearest vectors of every query vector agree on."""
+    v, q = measures._vectors(spark, folder)
+    near = S.exact_top_k(v, q, 10, "vec_id", "embedding", measures.DIM)
+    topics = table(spark, folder, "skills").where("id is not null").select("id", F.explode(F.split("topics", ",")).alias("t")).select("id", F.lower(F.trim("t")).alias("label")).where("label <> ''").distinct()
+    labels = v.where("id is not null").join(topics, "id").select(F.col("vec_id").alias("other"), "label")
+    return E.neighbour_vote(near, labels, 0.4, 10, 3, 3).select("id", "label", F.round("weight", 4).alias("weight"), "rank")
+
+
+def q_ancestor_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """The first six prerequisites within three steps of every skill."""
+    return E.ancestor_labels(graphs.edges(spark, folder), 3).select("id", F.array_join("labels", ",").alias("labels"))
+
+
+def q_heights(spark: SparkSession, folder: str) -> DataFrame:
+    return E.heights(graphs.edges(spark, folder))
+
+
+def q_grow(spark: SparkSession, folder: str) -> DataFrame:
+    """The tree that prerequisites make below the skills that nothing depends on, at most 8 deep."""
+    e = graphs.edges(spark, folder)
+    tops = e.select(F.col("dep").alias("id")).distinct().join(e.select(F.col("pre").alias("id")), "id", "left_anti")
+    nodes, _ = E.grow(tops, e.select(F.col("pre").alias("id"), F.col("dep").alias("parent")), 8, 10**12)
+    return nodes
+
+
+QUERIES = {f.__name__: f for f in (q_backfill, q_ancestor_labels, q_heights, q_grow, q_topic_candidates, q_guarded_aliases, q_feasible_seeds, q_hub_caps, q_orphans, q_weak_components)}
 
 _SK = """s AS (SELECT id, coalesce(min(difficulty), 10) AS raw, min(CASE WHEN grade_start BETWEEN -1 AND 12 THEN grade_start END) AS gs, max(CASE WHEN grade_end BETWEEN -1 AND 12 THEN grade_end END) AS ge,
   arg_min(coalesce(topics, ''), rec_id) AS topics FROM skills WHERE id IS NOT NULL GROUP BY id),
@@ -84,4 +112,21 @@ SELECT id, candidate, CAST(row_number() OVER (PARTITION BY id ORDER BY rc, candi
     "q_weak_components": f"""
 WITH RECURSIVE {graphs._RAW}, l AS (SELECT dep AS a, pre AS b FROM e WHERE pre NOT IN (SELECT id FROM foundations)), b AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r AS (SELECT a AS id, a AS o FROM b UNION SELECT r.id, b.b FROM r JOIN b ON b.a = r.o) SELECT id, min(o) AS component FROM r GROUP BY id""",
+    "q_backfill": f"""
+WITH {measures._V}, n AS (SELECT a.vec_id AS id, b.id AS sid, {measures._COS} AS c FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY {measures._COS} DESC, b.vec_id) <= 10),
+m AS (SELECT * FROM n WHERE c >= 0.4), ok AS (SELECT id FROM m GROUP BY id HAVING count(*) >= 3),
+t AS (SELECT DISTINCT id AS sid, label FROM (SELECT id, lower(trim(unnest(string_split(topics, ',')))) AS label FROM skills WHERE id IS NOT NULL) WHERE label <> ''),
+w AS (SELECT m.id, label, sum(c) AS weight FROM m SEMI JOIN ok ON ok.id = m.id JOIN t USING (sid) GROUP BY 1, 2 HAVING sum(c) >= 3 * 0.4)
+SELECT id, label, round(weight, 4) AS weight, CAST(row_number() OVER (PARTITION BY id ORDER BY weight DESC, label) AS INTEGER) AS rank FROM w QUALIFY rank <= 3""",
+    "q_ancestor_labels": f"""
+WITH RECURSIVE {graphs._RAW}, w AS (SELECT dep, pre AS anc, 1 AS depth FROM e UNION SELECT w.dep, e.pre, depth + 1 FROM w JOIN e ON e.dep = w.anc WHERE depth < 3),
+m AS (SELECT dep, anc, min(depth) AS depth FROM w WHERE dep <> anc GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY dep ORDER BY min(depth), anc) <= 6)
+SELECT dep AS id, string_agg(anc, ',' ORDER BY depth, anc) AS labels FROM m GROUP BY dep""",
+    "q_heights": f"""
+WITH RECURSIVE {graphs._RAW}, l AS (SELECT pre AS id, 0 AS k FROM e WHERE pre NOT IN (SELECT dep FROM e) UNION SELECT e.dep, l.k + 1 FROM l JOIN e ON e.pre = l.id)
+SELECT id, CAST(max(k) AS INTEGER) AS longest, CAST(min(k) AS INTEGER) AS shortest FROM l GROUP BY id""",
+    "q_grow": f"""
+WITH RECURSIVE {graphs._RAW}, l AS (SELECT dep AS id, 0 AS depth FROM e WHERE dep NOT IN (SELECT pre FROM e) UNION SELECT e.pre, l.depth + 1 FROM l JOIN e ON e.dep = l.id WHERE l.depth < 8),
+m AS (SELECT id, min(depth) AS depth FROM l GROUP BY id)
+SELECT m.id, CASE WHEN m.depth > 0 THEN (SELECT min(e.dep) FROM e JOIN m p ON p.id = e.dep WHERE e.pre = m.id AND p.depth = m.depth - 1) END AS parent, CAST(m.depth AS INTEGER) AS depth FROM m""",
 }

@@ -159,3 +159,18 @@ def test_candidates(spark):
     v = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.0, 1.0])], "id string, vec array<double>")
     assert rows(K.without_twins(picks, v)) == {("s", "a"), ("s", "c")}
     assert isinstance(picks.toPandas(), pd.DataFrame)
+
+
+def test_enrichment(spark):
+    from strandloom.operators import enrich as E
+
+    near = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.8), (1, 4, 0.7), (5, 2, 0.9)], "id int, other int, cosine double")
+    labels = spark.createDataFrame([(2, "a"), (3, "a"), (4, "a"), (4, "b"), (2, None)], "other int, label string")
+    assert {(r.id, r.label) for r in E.neighbour_vote(near, labels).collect()} == {(1, "a")}
+    skills = spark.createDataFrame([("linear-algebra", ["maths"]), ("x", [])], "id string, topics array<string>")
+    up = spark.createDataFrame([("linear-algebra", ["algebra", "science"]), ("maths", ["maths-topics", "maths"])], "id string, labels array<string>")
+    assert {r.id: r.topics for r in E.added_topics(skills, up).collect()} == {"linear-algebra": ["maths", "algebra", "maths-topics"], "x": []}
+    offers = spark.createDataFrame([("b", "a"), ("c", "a"), ("c", "b"), ("d", "c"), ("a", "a"), ("a", "d")], "id string, parent string")
+    nodes, lost = E.grow(spark.createDataFrame([("a",)], "id string"), offers, 2)
+    assert rows(nodes) == {("a", None, 0), ("b", "a", 1), ("c", "a", 1), ("d", "c", 2)}
+    assert rows(lost) == {("c", "b", "known"), ("a", "a", "self"), ("a", "d", "known")}
