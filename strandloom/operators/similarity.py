@@ -140,15 +140,39 @@ def bucket_pairs(rows: DataFrame, bucket: str, id: str, title: str, words: str,
     return both.where(ok).select("a", "b", "jaccard").distinct()
 
 
-def rare_word_pairs(rows: DataFrame, id: str, words: str, biggest: int = 2000) -> DataFrame:
-    """Pairs of rows that share one of their two rarest words (``id, words``); words of more than ``biggest`` rows make no block."""
+def rare_word_pairs(rows: DataFrame, id: str, words: str, jaccard: float = 0.5, biggest: int = 2000) -> DataFrame:
+    """``a, b, jaccard``: pairs that share one of their two rarest words and have the wanted Jaccard, at least a half.
+
+    Words that are the rarest of more than ``biggest`` rows make no block,
+    which is part of the definition. Two sets of at least two words with a
+    Jaccard of a half share two words, the rarest two of them within a prefix of
+    both; so rows meet on pairs of prefix words, and only sets of one word, and
+    their partners of two, on single words. Blocks are never crossed with
+    themselves.
+    """
+    from strandloom.functions import text as X
+
+    if jaccard < 0.5:
+        raise ValueError("the prefix of two words needs a Jaccard of at least 0.5")
+    scratch = Scratch(rows.sparkSession, "rare")
     flat = rows.select(F.col(id).alias("id"), F.explode(F.array_distinct(words)).alias("w"))
     df = flat.groupBy("w").agg(F.count("*").alias("df"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "w"))
-    rare = flat.join(df, "w").withColumn("r", rank).where("r <= 2").drop("r", "df")
-    block = rare.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n").between(2, biggest)).select("w")
-    rare = Scratch(rows.sparkSession, "rare").save(rare.join(block, "w", "left_semi"), "rare")
-    return rare.alias("a").join(rare.alias("b"), "w").where("a.id < b.id").select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    each = flat.join(df, "w").groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("ws"))
+    each = scratch.save(each, "ordered")
+    two = each.select("id", F.explode(F.slice("ws", 1, 2)).alias("w"))
+    block = two.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n").between(2, biggest)).select("w")
+    held = two.join(block, "w", "left_semi").groupBy("id").agg(F.collect_set("w").alias("top"))
+    each = scratch.save(each.join(held, "id"), "held")
+    prefix = F.slice("ws", F.lit(1), (F.size("ws") - F.ceil(F.size("ws") * F.lit(jaccard) - 1e-9) + 2).cast("int"))
+    both = F.flatten(F.transform(prefix, lambda x, i: F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda y: F.concat(x, F.lit(" "), y))))
+    keys = F.when(F.size("ws") <= 2, F.concat(both, F.col("ws"))).otherwise(both)
+    keyed = scratch.save(each.select("id", F.explode(keys).alias("key")), "keys")
+    more = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    keyed = keyed.join(more, "key", "left_semi")
+    pairs = keyed.alias("p").join(keyed.alias("q"), "key").where("p.id < q.id").select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct()
+    side = lambda s: each.select(F.col("id").alias(s), F.col("ws").alias(f"w{s}"), F.col("top").alias(f"t{s}"))
+    full = pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("ta", "tb"))
+    return full.withColumn("jaccard", X.jaccard("wa", "wb")).where(F.col("jaccard") >= jaccard).select("a", "b", "jaccard")
 
 
 def best_match(vectors: DataFrame, queries: DataFrame, floor: float, id: str, vector: str, dim: int) -> DataFrame:

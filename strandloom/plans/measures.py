@@ -108,9 +108,7 @@ def q_bucket_pairs(spark: SparkSession, folder: str) -> DataFrame:
 def q_rare_word_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """Near titles among rows that share one of their two rarest words."""
     rows = _first_rows(spark, folder).withColumn("w", X.signature_words("title"))
-    pairs = S.rare_word_pairs(rows, "id", "w")
-    side = lambda s: rows.select(F.col("id").alias(s), F.col("w").alias(f"w{s}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").withColumn("j", X.jaccard("wa", "wb")).where("j >= 0.5").select("a", "b", F.round("j", 6).alias("jaccard"))
+    return S.rare_word_pairs(rows, "id", "w").select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
 # Words of one group exclude each other.
@@ -152,8 +150,8 @@ def q_topic_policy(spark: SparkSession, folder: str) -> DataFrame:
     keep = ["computing-basics", "living-things", "number-sense"]
     skills = table(spark, folder, "skills")
     topics = skills.select("rec_id", F.explode(F.split("topics", ",")).alias("t")).select("rec_id", F.lower(F.trim("t")).alias("topic")).where("topic <> ''").distinct().groupBy("topic").agg(F.count("*").alias("n"))
-    most = skills.agg(F.greatest(F.lit(1200), F.floor(F.count("*") * 0.013)).alias("most"))
-    return topics.crossJoin(F.broadcast(most)).where((F.col("n") >= 4) & ((F.col("n") <= F.col("most")) | F.col("topic").isin(keep))).select("topic", "n")
+    most = max(1200, int(skills.count() * 0.013))
+    return topics.where((F.col("n") >= 4) & ((F.col("n") <= most) | F.col("topic").isin(keep)))
 
 
 def q_cruft(spark: SparkSession, folder: str) -> DataFrame:

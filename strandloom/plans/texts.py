@@ -136,8 +136,7 @@ def q_idf_prune(spark: SparkSession, folder: str) -> DataFrame:
     """Topics that at most 1.5 % of the rows have."""
     skills = table(spark, folder, "skills")
     topics = skills.select("rec_id", F.explode(F.split("topics", ",")).alias("t")).select("rec_id", F.lower(F.trim("t")).alias("topic")).where("topic <> ''").distinct()
-    total = skills.agg(F.count("*").alias("total"))  # one row
-    return topics.groupBy("topic").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).where("n <= 0.015 * total").select("topic", "n")
+    return topics.groupBy("topic").agg(F.count("*").alias("n")).where(F.col("n") <= 0.015 * skills.count())
 
 
 def q_votes(spark: SparkSession, folder: str) -> DataFrame:

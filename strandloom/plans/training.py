@@ -48,7 +48,7 @@ def slugs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     skills, lists = slugs(spark, folder)
     counts = KeyChunks(lists, ["fieldname", "keyname"], "rec_id").merge_counts()
-    return counts.crossJoin(F.broadcast(skills.agg(F.count("*").alias("rows")))).where("n_rows >= 0.02 * rows").select("fieldname", "keyname")
+    return counts.where(F.col("n_rows") >= 0.02 * skills.count()).select("fieldname", "keyname")
 
 
 def p2_runs(spark: SparkSession, folder: str) -> DataFrame:

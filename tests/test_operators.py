@@ -168,3 +168,21 @@ def test_scales(spark):
     assert got == {1: 0.7 * 1 + 0.3 * 5.5, 2: 0.7 * 4 + 0.3 * 4, 3: 0.7 * 7 + 0.3 * 2.5, 4: 9, 5: 2}
     tau = C.kendall_tau(spark.createDataFrame([(1, 1, 1), (2, 2, 3), (3, 3, 2)], "ord int, a int, b int"), "a", "b").first()
     assert (tau.n, tau.concordant, tau.discordant) == (3, 2, 1) and abs(tau.tau - 1 / 3) < 1e-12
+
+
+def test_rare_and_bucket_pairs_equal_brute_force(spark):
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(12)]
+    sets = {f"r{i:03}": sorted(rng.sample(words, rng.randrange(1, 6))) for i in range(90)}
+    df = spark.createDataFrame([(k, v, " ".join(v), "t" if i % 3 else "u") for i, (k, v) in enumerate(sets.items())], "id string, w array<string>, title string, topic string")
+    count = {w: sum(w in s for s in sets.values()) for w in words}
+    top = {k: set(sorted(s, key=lambda w: (count[w], w))[:2]) for k, s in sets.items()}
+    size = {w: sum(w in t for t in top.values()) for w in words}
+    j = lambda a, b: len({*sets[a]} & {*sets[b]}) / len({*sets[a]} | {*sets[b]})
+    for biggest in (2000, 12):
+        ok = {w for w in words if 2 <= size[w] <= biggest}
+        want = {(a, b) for a in sets for b in sets if a < b and top[a] & top[b] & ok and j(a, b) >= 0.5}
+        assert rows(S.rare_word_pairs(df, "id", "w", biggest=biggest).select("a", "b")) == want
+    topic = {r.id: r.topic for r in df.collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and topic[a] == topic[b] and j(a, b) >= 0.7 and max(len(" ".join(sets[x])) for x in (a, b)) <= 3 * min(len(" ".join(sets[x])) for x in (a, b))}
+    assert rows(S.bucket_pairs(df, "topic", "id", "title", "w", "w").select("a", "b")) == want
