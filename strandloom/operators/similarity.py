@@ -146,8 +146,9 @@ def rare_word_pairs(rows: DataFrame, id: str, words: str, jaccard: float = 0.5,
     Words that are the rarest of more than ``biggest`` rows make no block,
     which is part of the definition. Two sets of at least two words with a
     Jaccard of a half share two words, the rarest two of them within a prefix of
-    both; so rows meet on pairs of prefix words, and only sets of one word, and
-    their partners of two, on single words. Blocks are never crossed with
+    both; so rows meet on one of their two rarest words together with another
+    word of the prefix, and only sets of one word, and their partners of two,
+    on single words. Blocks are never crossed with
     themselves.
     """
     from strandloom.functions import text as X
@@ -164,8 +165,8 @@ def rare_word_pairs(rows: DataFrame, id: str, words: str, jaccard: float = 0.5,
     held = two.join(block, "w", "left_semi").groupBy("id").agg(F.collect_set("w").alias("top"))
     each = scratch.save(each.join(held, "id"), "held")
     prefix = F.slice("ws", F.lit(1), (F.size("ws") - F.ceil(F.size("ws") * F.lit(jaccard) - 1e-9) + 2).cast("int"))
-    both = F.flatten(F.transform(prefix, lambda x, i: F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda y: F.concat(x, F.lit(" "), y))))
-    keys = F.when(F.size("ws") <= 2, F.concat(both, F.col("ws"))).otherwise(both)
+    both = F.flatten(F.transform("top", lambda x: F.transform(F.filter(prefix, lambda y: y != x), lambda y: F.concat(x, F.lit(" "), y))))
+    keys = F.when(F.size("ws") <= 2, F.concat(both, F.col("top"))).otherwise(both)
     keyed = scratch.save(each.select("id", F.explode(keys).alias("key")), "keys")
     more = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     keyed = keyed.join(more, "key", "left_semi")
