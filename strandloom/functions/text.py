@@ -258,8 +258,22 @@ def display_title(title: Column | str, tags: Column | str) -> Column:
     return F.when(F.length(title) <= 80, title).otherwise(F.coalesce(F.try_element_at(codes, F.lit(1)), _cut(title, 80, 30, 79)))
 
 
-# Replies that refuse to define.
-REFUSAL = r"(?i)^(i (cannot|can't|can not|am unable|don't)|i'm (sorry|unable|not able)|sorry\b|unable to|as an ai)"
+# Fixed value: replies that refuse to define.
+REFUSAL = r"(?i)(cannot|unable to|not familiar with|not (?:able|aware|sure)|do(?:n't| not) have|no (?:recognized |clear |standard )?(?:definition|meaning)|without (?:more |further |additional )?(?:context|information)|could you (?:provide|clarify|specify)|recognized definition|clear workplace skill)"
+# Fixed value: words that only an untranslated Portuguese answer holds.
+PORTUGUESE = r"(?iu)\b(?:não|para|uma|pelos?|pelas?|dos|das)\b|ções\b"
+
+
+def is_summary(text: Column | str) -> Column:
+    """Whether an answer is short enough for a title: at most 15 words and a slug of at most 80 characters."""
+    words = F.filter(F.split(col(text), f"{SPACE}+"), lambda w: w != "")
+    return (F.size(words) <= 15) & (F.length(slug_base(text)) <= SLUG_LENGTH)
+
+
+def is_translation(text: Column | str) -> Column:
+    """Whether an answer is one line of text without Portuguese function words; false for null."""
+    text = col(text)
+    return F.coalesce((trim(text) != "") & ~text.rlike(PORTUGUESE) & ~text.rlike(r"[\t\r\n]"), F.lit(False))
 
 
 def clean_definition(text: Column | str, refusal: str = REFUSAL) -> Column:
@@ -269,6 +283,23 @@ def clean_definition(text: Column | str, refusal: str = REFUSAL) -> Column:
     return let(out, lambda t: F.when(t.rlike(refusal) | (F.lower(t) == "skip"), "").otherwise(_cut(t, 400, 200, 400)))
 
 
+# Descriptions that say nothing of the skill, and labels before one.
+BOILERPLATE = [
+    r"(?i)^The SCED provides a series of unused codes", r"(?i)We took this down", r"(?i)^\*\*(See |Standards (related|that))", r"(?i)^(\*\*)?Big Idea:", r"(?i)^Modeling is best interpreted not as a collection",
+    r"(?i)On the state assessment, items measuring", r"(?i)^Students need not use formal", r"(?i)^Examples may include but are not limited", r"^\d\.$",
+]
+DESCRIPTION_LABEL = r"(?i)^(Progression|Clarification|Note|Sample|Sample Problem)\s*:\s*"
+
+
+def clean_description(text: Column | str) -> Column:
+    """Empty for boilerplate; else without a label in front."""
+    text = col(text)
+    empty = F.lit(False)
+    for pattern in BOILERPLATE:
+        empty = empty | text.rlike(pattern)
+    return F.when(text.isNull(), None).when(empty, "").otherwise(F.regexp_replace(text, DESCRIPTION_LABEL, ""))
+
+
 # What no statement of a skill looks like.
 CODE = r"^[A-Z0-9–—-][\w.–—-]*\z"
 SCAFFOLD_TITLES = [

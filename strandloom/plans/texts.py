@@ -14,6 +14,7 @@ from strandloom.plans.tables import table
 FRAMEWORK = r"-standards|-20\d\d|^sced-|^content-khan|^ccss$|^ngss$|next-generation-science|k-5-mathematics|adult-basic-education|cte-standards|curriculum|course-codes|^skills$|^content$|^learning-stage-|\d{4}-\d{4}|\d{2}-\d{2}-updates|scope-and-sequence|-sy\d{4}|-effective-starting|early-childhood-standards"
 WIKI = r"-officials-and-employees$|-by-country$|-by-region$|-by-type$|-by-year$|-by-nationality$|-introduced-in-|-established-in-|-disestablished-in-|-founded-in-|-born-in-|-died-in-|-set-in-|^people-in-|-people$|-in-history$|^wikiproject-|-templates$|^years-in-|^decades-in-|^centuries-in-|-matches$|-aircraft$|-records$|-(judges|officials|employees|members|persons)$"
 YEAR = r"(^|-)(19|20)\d\d(-|$)|^\d+$"
+PLACE_OR_TIME = r"(?i)(\b(in|of|from|by|for)\b\s+(Europe|Asia|Africa|America|Oceania|Antarctica|England|France|Germany|China|Japan|India|Russia|USSR|USA|Britain|Scotland|Ireland|Italy|Spain|Canada|Australia|Mexico|Brazil|Argentina|Iran|Iraq|Egypt|Turkey|Greece))|(\bcentury|centuries|\bdecade|\b\d{4}s\b|\b\d{3,4}\s*(BC|AD|BCE|CE)\b)|(\bpeople\b|\bbiography|\bbiographies|\bdeaths\b|\bbirths\b|\bmarriage|\bfamily\b)|(\bdisasters|\bincidents|\baccidents|\bwars\b|\bbattles|\belections)|^(19|20)\d{2}s?\b|^\d{1,2}(st|nd|rd|th)\s*(century|millennium)"
 SCAFFOLDING_TYPES = [
     "Grade Level", "Domain", "Strand", "Course", "Topic", "Cluster", "Component", "Section", "Module", "Chapter", "Unit", "Sub-Domain", "Category", "Connection", "Grade", "Grade Band", "Quarter", "Section Heading", "Pathway", "Subject", "Dimension",
     "Cognitive Complexity", "Performance Level", "Assignment", "Lesson", "Job Role", "Employee", "Team Leader", "People Leader", "Senior Leader", "Concepts and Practices",
@@ -109,7 +110,11 @@ def q_holdout(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_junk_topics(spark: SparkSession, folder: str) -> DataFrame:
     topics = table(spark, folder, "skills").select(F.explode(F.split("topics", ",")).alias("t")).select(F.lower(F.trim("t")).alias("topic")).where("topic <> ''")
-    return topics.groupBy("topic").agg(F.count("*").alias("n_rows")).withColumn("junk", F.col("topic").rlike(FRAMEWORK) | F.col("topic").rlike(WIKI) | F.col("topic").rlike(YEAR))
+    return topics.groupBy("topic").agg(F.count("*").alias("n_rows")).withColumn("junk", F.col("topic").rlike(FRAMEWORK) | F.col("topic").rlike(WIKI) | F.col("topic").rlike(YEAR)).withColumn("place_or_time", F.regexp_replace("topic", "-", " ").rlike(PLACE_OR_TIME))
+
+
+def q_clean_description(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "skills").select("rec_id", X.clean_description(X.normalize_text("description")).alias("description"), X.clean_definition("description").alias("definition"))
 
 
 def q_resolve_concepts(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,7 +201,7 @@ def parse_picks(answer, limit):
 QUERIES = {
     f.__name__: f
     for f in (
-        q_slugify, q_fold_key, q_token_signature, q_word_sets, q_clean_title, q_clean_statement, q_statement_filters, q_display_title, q_list_defects, q_fuzzy_merge, q_slug_collision, q_first_per_key, q_tag_grades, q_holdout, q_junk_topics,
+        q_slugify, q_fold_key, q_token_signature, q_word_sets, q_clean_title, q_clean_statement, q_statement_filters, q_display_title, q_list_defects, q_fuzzy_merge, q_slug_collision, q_first_per_key, q_tag_grades, q_holdout, q_junk_topics, q_clean_description,
         q_resolve_concepts, q_token_match, q_document_frequency, q_idf_prune, q_votes, q_contested_pairs, q_frequency_cap, q_direct_first, q_top_ratings, q_thread_pairs, q_pick_parser,
     )
 }
@@ -334,7 +339,11 @@ SELECT rec_id, CASE WHEN k > 1 THEN regexp_replace(substr(slug, 1, 80 - length('
 WITH g AS (SELECT item_no, upper(trim(unnest(educationlevel))) AS g FROM cf_items), d AS (SELECT item_no, {_GRADE} AS d FROM g)
 SELECT c.item_no, CAST(min(d) AS INTEGER) AS lowest, CAST(max(d) AS INTEGER) AS highest FROM cf_items c LEFT JOIN d ON d.item_no = c.item_no GROUP BY c.item_no""",
     "q_holdout": f"SELECT match_id, CAST(h AS BIGINT) AS h, h % 5 = 0 AS held_out FROM (SELECT match_id, {_h32('s')} AS h FROM (SELECT match_id, method || '|' || id_a || '->' || id_b AS s FROM skill_matches WHERE id_a IS NOT NULL AND id_b IS NOT NULL AND method IS NOT NULL))",
-    "q_junk_topics": f"SELECT topic, count(*) AS n_rows, regexp_matches(topic, {quoted(FRAMEWORK)}) OR regexp_matches(topic, {quoted(WIKI)}) OR regexp_matches(topic, {quoted(YEAR)}) AS junk FROM ({_exploded('topics', 'topic')}) GROUP BY topic",
+    "q_junk_topics": f"SELECT topic, count(*) AS n_rows, regexp_matches(topic, {quoted(FRAMEWORK)}) OR regexp_matches(topic, {quoted(WIKI)}) OR regexp_matches(topic, {quoted(YEAR)}) AS junk, regexp_matches(replace(topic, '-', ' '), {quoted(PLACE_OR_TIME)}) AS place_or_time FROM ({_exploded('topics', 'topic')}) GROUP BY topic",
+    "q_clean_description": f"""
+SELECT rec_id, CASE WHEN d IS NULL THEN NULL WHEN {' OR '.join(f'regexp_matches(d, {quoted(p)})' for p in X.BOILERPLATE)} THEN '' ELSE regexp_replace(d, {quoted(X.DESCRIPTION_LABEL)}, '') END AS description,
+  CASE WHEN r IS NULL THEN NULL WHEN regexp_matches(r, {quoted(X.REFUSAL)}) OR lower(r) = 'skip' THEN '' WHEN length(r) <= 400 THEN r ELSE substr(r, 1, 400) || '…' END AS definition
+FROM (SELECT rec_id, {_normal('description')} AS d, regexp_replace(regexp_replace(regexp_replace(description, '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g'), '^[\\s"''*_-]+|[\\s"''*_-]+$', '', 'g'), '[\\s\\x{{a0}}\\x{{feff}}\\pZ]+', ' ', 'g') AS r FROM skills)""",
     "q_resolve_concepts": f"""
 WITH s AS (SELECT id, title, rec_id, {_slug_base('title')} AS b, {_fold('title')} AS f FROM skills WHERE id IS NOT NULL),
 t1 AS (SELECT lower(trim(title)) AS k, arg_min(id, rec_id) AS v FROM s WHERE trim(title) <> '' GROUP BY 1),

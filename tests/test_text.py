@@ -44,6 +44,12 @@ def test_cleaning(spark):
     assert apply(spark, X.clean_definition, ' "A thing." ', "I cannot say", "SKIP", "") == ["A thing.", "", "", ""]
 
 
+def test_answers_and_descriptions(spark):
+    assert apply(spark, X.is_summary, "Solve linear equations", "word " * 16) == [True, False]
+    assert apply(spark, X.is_translation, "Read maps", "Ler uma carta", "two\nlines", " ", None) == [True, False, False, False, False]
+    assert apply(spark, X.clean_description, "Note: add two", "3.", "Big Idea: x", "plain", None) == ["add two", "", "", "plain", None]
+
+
 def test_html_rejects_scripts(spark):
     with pytest.raises(Exception, match="script"):
         apply(spark, X.html_text, "<script>x</script>")
