@@ -27,6 +27,11 @@ def grade_gap(dep_start: Column, pre_end: Column) -> Column:
     return F.coalesce((dep_start >= 7) & (pre_end <= 3), F.lit(False))
 
 
+def tool_rule(seed: Column, dep_tool: Column, pre_tool: Column, gap: Column, is_topic: Column) -> Column:
+    """Whether an edge to a tool stays: a seed, between tools a raw gap of 2 or more, else only a topic of its dependent."""
+    return seed | ~pre_tool | F.when(dep_tool, gap >= 2.0).otherwise(is_topic)
+
+
 def topic_candidates(skills: DataFrame, per_skill: int = 5, least_gap: float = 2.0) -> DataFrame:
     """``id, candidate, rank``: for each skill the easiest members of its topics that pass the guards.
 

@@ -259,6 +259,13 @@ def chain_lift(nodes: DataFrame, edges: DataFrame, seeds: DataFrame, cap: int =
     return lifted.select("id", F.col("lifted").alias("band")), kept if kept is not None else e
 
 
+def drop_inside_components(edges: DataFrame, droppable: str) -> DataFrame:
+    """Edges without those that are ``droppable`` (a condition) and lie inside a strongly connected component."""
+    scc = Scratch(edges.sparkSession, "inside").save(components(edges), "components")
+    inside = edges.join(scc.select(F.col("id").alias("dep"), F.col("component").alias("_cd")), "dep", "left").join(scc.select(F.col("id").alias("pre"), F.col("component").alias("_cp")), "pre", "left")
+    return inside.where(~(F.expr(droppable) & F.coalesce(F.col("_cd") == F.col("_cp"), F.lit(False)))).select(edges.columns)
+
+
 def break_cycles(edges: DataFrame, rank: DataFrame, seeds: DataFrame, rounds: int = 100) -> DataFrame:
     """Edges without cycles: inside each component, edges whose prerequisite ranks no lower than the dependent go.
 

@@ -65,6 +65,8 @@ def test_cycles(spark):
     rank = spark.createDataFrame([(x, float(k)) for k, x in enumerate("edabcxy")], "id string, raw double")
     left = G.break_cycles(edges(spark, *pairs), rank, edges(spark, ("c", "a"), ("b", "c")))
     assert G.components(left).count() == 0 and ("c", "a") in rows(left)
+    marked = edges(spark, *pairs).withColumn("source", F.when(F.col("dep") == "c", "courses").otherwise("expert"))
+    assert rows(G.drop_inside_components(marked, "source = 'courses'").select("dep", "pre")) == {*pairs} - {("c", "a")}
     assert G.components(edges(spark)).count() == 0
     assert G.closure(edges(spark)).count() == 0 and G.topo_levels(edges(spark)).count() == 0
 
@@ -186,3 +188,10 @@ def test_rare_and_bucket_pairs_equal_brute_force(spark):
     topic = {r.id: r.topic for r in df.collect()}
     want = {(a, b) for a in sets for b in sets if a < b and topic[a] == topic[b] and j(a, b) >= 0.7 and max(len(" ".join(sets[x])) for x in (a, b)) <= 3 * min(len(" ".join(sets[x])) for x in (a, b))}
     assert rows(S.bucket_pairs(df, "topic", "id", "title", "w", "w").select("a", "b")) == want
+
+
+def test_tool_rule(spark):
+    from strandloom.operators.candidates import tool_rule
+
+    df = spark.createDataFrame([(True, False, True, 0.0, False), (False, True, True, 2.0, False), (False, True, True, 1.0, True), (False, False, True, 9.0, True), (False, False, True, 9.0, False), (False, False, False, 0.0, False)], "s boolean, d boolean, p boolean, g double, t boolean")
+    assert [r.x for r in df.select(tool_rule(*map(F.col, "sdpgt")).alias("x")).collect()] == [True, True, False, True, False, True]
