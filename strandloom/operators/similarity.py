@@ -1,4 +1,4 @@
-"""Exact vector operators: blocked top-k, weighted neighbours, duplicate vectors.
+"""Exact vector operators: blocked top-k, weighted neighbours, duplicate vectors; pairs of near word sets.
 
 Vectors that are null, of another length, not finite or all zero take no part.
 """
@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from strandloom.runtime import Scratch
 
 #: Rows of a block of queries that is compared with a block of vectors at once.
 QUERY_BLOCK = 1024
+#: Rows of a part whose words are counted against each other at once, and cells of one table of counts.
+PART_ROWS, PART_CELLS = 4096, 1 << 22
 
 
 def usable(vector: str, dim: int) -> Column:
@@ -176,6 +179,93 @@ def rare_word_pairs(rows: DataFrame, id: str, words: str, jaccard: float = 0.5,
     return full.withColumn("jaccard", X.jaccard("wa", "wb")).where(F.col("jaccard") >= jaccard).select("a", "b", "jaccard")
 
 
+def _common_words(gap: int, least: int, below: float, k: int):
+    """Top k pairs of each pair of levels among the rows of one block, or between its two chunks; counts come from postings."""
+
+    def pick(block: pa.Table) -> pa.Table:
+        block = block.take(pa.compute.sort_indices(block, [("level", "ascending"), ("id", "ascending")])).combine_chunks()
+        level, ids, chunk = (block[c].to_numpy() for c in ("level", "id", "chunk"))
+        apart = block["c1"][0].as_py() != block["c2"][0].as_py()
+        lists = block["words"].combine_chunks()
+        size = np.asarray(pa.compute.list_value_length(lists))
+        word = np.asarray(lists.flatten().dictionary_encode().indices).astype(np.int64)
+        row = np.repeat(np.arange(len(ids)), size)
+        by_word = np.argsort(word, kind="stable")
+        posted, starts = row[by_word], np.searchsorted(word[by_word], np.arange(word.max() + 2))
+        first = np.concatenate([[0], np.cumsum(size)])
+        out = []
+        step = max(1, PART_CELLS // len(ids))
+        for lo in range(0, len(ids), step):
+            hi = min(len(ids), lo + step)
+            w, a = word[first[lo] : first[hi]], row[first[lo] : first[hi]] - lo
+            n = starts[w + 1] - starts[w]
+            ends, counts = np.cumsum(n), np.zeros((hi - lo) * len(ids), np.int32)
+            at = 0
+            while at < len(w):  # words in slices, so that the postings read at once are bounded
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PART_CELLS, "right")))
+                m = n[at:to]
+                place = np.arange(m.sum()) + np.repeat(starts[w[at:to]] - (np.cumsum(m) - m), m)
+                counts += np.bincount(np.repeat(a[at:to], m) * len(ids) + posted[place], minlength=len(counts)).astype(np.int32)
+                at = to
+            found = np.flatnonzero(counts >= least)
+            src, dst, shared = found // len(ids) + lo, found % len(ids), counts[found]
+            up = level[dst] - level[src]
+            ok = (up >= 1) & (up <= gap) & (shared / (size[src] + size[dst] - shared) < below)
+            if apart:
+                ok &= chunk[src] != chunk[dst]
+            out.append((src[ok], dst[ok], shared[ok]))
+            if len(out) > 1 or hi == len(ids):  # a running top k
+                src, dst, shared = (np.concatenate(x) for x in zip(*out))
+                order = np.lexsort((ids[dst], ids[src], -shared, level[dst], level[src]))
+                src, dst, shared = src[order], dst[order], shared[order]
+                new = np.ones(len(src), bool)
+                new[1:] = (level[src][1:] != level[src][:-1]) | (level[dst][1:] != level[dst][:-1])
+                begin = np.maximum.accumulate(np.where(new, np.arange(len(src)), 0))
+                top = np.arange(len(src)) - begin < k
+                out = [(src[top], dst[top], shared[top])]
+        src, dst, shared = out[0]
+        part = pa.array([block["part"][0].as_py()] * len(src), pa.string())
+        return pa.table({"part": part, "la": level[src], "lb": level[dst], "src": ids[src], "dst": ids[dst], "shared": shared.astype(np.int32)})
+
+    return pick
+
+
+def common_word_pairs(rows: DataFrame, part: str, level: str, id: str, words: str, gap: int, least: int, below: float, k: int) -> DataFrame:
+    """``part, la, lb, src, dst, shared, rank``: of each part and two levels up to ``gap`` apart, the ``k`` pairs that share most words.
+
+    A pair shares at least ``least`` words and has a Jaccard under ``below``.
+    Every pair counts, whatever its words: the longest rows of a part are
+    compared in full, and as no pair shares more words than its shorter row has,
+    a row with fewer words than the k-th pair found shares can't be in a
+    better one. What is left of a big part is cut into chunks, and each two
+    chunks make a block.
+    """
+    scratch = Scratch(rows.sparkSession, "common")
+    kind = "part string, la int, lb int, src long, dst long, shared int"
+    pick = _common_words(gap, least, below, k)
+    top = lambda df: df.groupBy("part", "c1", "c2").applyInArrow(pick, kind)
+    base = rows.select(F.col(part).cast("string").alias("part"), F.col(level).cast("int").alias("level"), F.col(id).cast("long").alias("id"), F.array_distinct(words).alias("words"))
+    base = scratch.save(base.where("part is not null and level is not null").withColumn("n", F.size("words")).where(F.col("n") >= least), "rows")
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "id"))
+    zero = F.lit(0)
+    longest = base.withColumn("place", place).where(F.col("place") <= PART_ROWS).select("part", "level", "id", "words", zero.alias("chunk"), zero.alias("c1"), zero.alias("c2"))
+    one = scratch.save(top(longest), "longest")
+    big = scratch.save(base.groupBy("part").agg(F.count("*").alias("rows")).where(F.col("rows") > PART_ROWS).select("part"), "big")
+    held = base.join(big, "part", "left_semi")
+    bound = one.groupBy("part", "la", "lb").agg(F.min("shared").alias("bound"), F.count("*").alias("found")).where(F.col("found") >= k).drop("found")
+    levels = held.select("part", "level").distinct()
+    both = levels.select("part", F.col("level").alias("la")).join(levels.select("part", F.col("level").alias("lb")), "part").where((F.col("lb") > F.col("la")) & (F.col("lb") <= F.col("la") + gap)).join(bound, ["part", "la", "lb"], "left")
+    need = both.select("part", F.explode(F.array("la", "lb")).alias("level"), F.coalesce("bound", F.lit(least)).alias("need")).groupBy("part", "level").agg(F.min("need").alias("need"))
+    held = scratch.save(held.join(need, ["part", "level"]).where("n >= need").drop("n", "need"), "held")
+    chunks = held.groupBy("part").agg(F.ceil(F.count("*") / PART_ROWS).cast("int").alias("chunks"))
+    cut = held.join(chunks, "part").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).withColumn("x", F.explode(F.sequence(zero, F.col("chunks") - 1)))
+    cut = cut.select("part", "level", "id", "words", "chunk", F.least("chunk", "x").alias("c1"), F.greatest("chunk", "x").alias("c2"))
+    # a number given keeps blocks of few bytes but much work from being put into one task
+    rest = top(cut.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "part", "c1", "c2"))
+    rank = F.row_number().over(Window.partitionBy("part", "la", "lb").orderBy(F.desc("shared"), "src", "dst"))
+    return one.join(big, "part", "left_anti").union(rest).withColumn("rank", rank).where(F.col("rank") <= k)
+
+
 def best_match(vectors: DataFrame, queries: DataFrame, floor: float, id: str, vector: str, dim: int) -> DataFrame:
     """``id, other, cosine``: the nearest vector of each query, if its cosine exceeds ``floor``."""
     return exact_top_k(vectors, queries, 1, id, vector, dim).where(F.col("cosine") > floor).drop("rank")

@@ -171,17 +171,8 @@ def q_grade_pairs(spark: SparkSession, folder: str) -> DataFrame:
     grade = F.array_min(F.filter(F.transform("educationlevel", X.grade_difficulty), lambda g: g.isNotNull()))
     rows = table(spark, folder, "cf_items").where("docidentifier is not null and fullstatement is not null").select("docidentifier", "item_no", grade.alias("g"), words.alias("w")).where("g is not null and size(w) >= 3")
     rows = R.first_per_key(rows.withColumn("key", F.array_join(F.array_sort("w"), " ")), ["docidentifier", "g", "key"], ["item_no"]).drop("key")
-    flat = rows.select("docidentifier", "item_no", "g", F.size("w").alias("n"), F.explode("w").alias("x"))
-    a, b = flat.alias("a"), flat.alias("b")
-    # rare words only: a word that a third of the framework shares cannot tell pairs apart, but still counts as shared
-    df = flat.groupBy("docidentifier", "x").agg(F.count("*").alias("df"))
-    size = rows.groupBy("docidentifier").agg(F.count("*").alias("size"))
-    rare = flat.join(df, ["docidentifier", "x"]).join(size, "docidentifier").where("df <= greatest(8, size * 0.02)").select("docidentifier", "item_no", "g", "x")
-    cand = rare.alias("a").join(rare.alias("b"), ["docidentifier", "x"]).where("b.g > a.g and b.g <= a.g + 3").select("docidentifier", F.col("a.item_no").alias("src"), F.col("b.item_no").alias("dst")).distinct()
-    side = lambda s, p: rows.select("docidentifier", F.col("item_no").alias(s), F.col("g").alias(f"g{p}"), F.col("w").alias(f"w{p}"))
-    both = cand.join(side("src", "a"), ["docidentifier", "src"]).join(side("dst", "b"), ["docidentifier", "dst"])
-    both = both.withColumn("shared", F.size(F.array_intersect("wa", "wb"))).where((F.col("shared") >= 3) & (X.jaccard("wa", "wb") < 0.8))
-    return R.top_per_key(both, ["docidentifier", "ga", "gb"], [F.desc("shared"), "src", "dst"], 5).select("docidentifier", "src", "dst", "shared", "rank")
+    pairs = S.common_word_pairs(rows, "docidentifier", "g", "item_no", "w", gap=3, least=3, below=0.8, k=5)
+    return pairs.select(F.col("part").alias("docidentifier"), "src", "dst", "shared", "rank")
 
 
 def q_regex_wiring(spark: SparkSession, folder: str) -> DataFrame:

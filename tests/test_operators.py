@@ -190,6 +190,33 @@ def test_rare_and_bucket_pairs_equal_brute_force(spark):
     assert rows(S.bucket_pairs(df, "topic", "id", "title", "w", "w").select("a", "b")) == want
 
 
+def test_common_word_pairs_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(14)]  # every word is common
+    data = [(f"p{0 if i < 250 else i % 3}", rng.randrange(1, 8), i, sorted(rng.sample(words, rng.randrange(2, 9)))) for i in range(330)]
+    df = spark.createDataFrame(data, "p string, g int, i long, w array<string>")
+    want = {}
+    for p, g, i, w in data:
+        for q, h, j, v in data:
+            n = len({*w} & {*v})
+            if p == q and g < h <= g + 3 and n >= 3 and n / len({*w} | {*v}) < 0.8:
+                want.setdefault((p, g, h), []).append((-n, i, j))
+    want = {(*key, i, j, -n, r) for key, found in want.items() for r, (n, i, j) in enumerate(sorted(found)[:5], 1)}
+    for most in (4096, 50):  # one block a part; the longest rows first, then blocks of two chunks
+        monkeypatch.setattr(S, "PART_ROWS", most)
+        got = S.common_word_pairs(df, "p", "g", "i", "w", gap=3, least=3, below=0.8, k=5)
+        assert rows(got.select("part", "la", "lb", "src", "dst", "shared", "rank")) == want
+
+
+def test_grade_pairs_of_common_words(spark, tmp_path):
+    from strandloom.plans.measures import q_grade_pairs
+
+    text = "measure length using {} rulers carefully {}"
+    data = [(i, "d", text.format(f"alpha{i}", f"beta{i}"), ["01" if i < 20 else "02"]) for i in range(40)]
+    spark.createDataFrame(data, "item_no long, docidentifier string, fullstatement string, educationlevel array<string>").write.parquet(f"{tmp_path}/cf_items.parquet")
+    assert rows(q_grade_pairs(spark, str(tmp_path)).select("src", "dst", "rank")) == {(0, 20 + i, i + 1) for i in range(5)}
+
+
 def test_tool_rule(spark):
     from strandloom.operators.candidates import tool_rule
 
