@@ -20,6 +20,8 @@ from strandloom.runtime import Scratch
 QUERY_BLOCK = 1024
 #: Rows of a part whose words are counted against each other at once, and cells of one table of counts.
 PART_ROWS, PART_CELLS = 4096, 1 << 22
+#: Rows that meet on one word, beyond which they meet on more words; rows of one chunk of a key.
+HOT_ROWS, KEY_ROWS = 100, 2000
 
 
 def usable(vector: str, dim: int) -> Column:
@@ -115,27 +117,73 @@ def duplicate_vectors(vectors: DataFrame, vector: str, id: str, least: int) -> D
     return vectors.where(F.col(vector).isNotNull()).groupBy(vector_signature(vector).alias("signature")).agg(F.count("*").alias("n"), F.min(id).alias("first_id")).where(F.col("n") > least)
 
 
-def bucket_pairs(rows: DataFrame, bucket: str, id: str, title: str, words: str, signature: str, jaccard: float = 0.7, biggest: int = 1500) -> DataFrame:
+def _ordered(base: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
+    """The keys with ``ws``, their words from the rarest to the commonest."""
+    flat = base.select(*keys, F.explode(F.array_distinct(words)).alias("w"))
+    df = flat.groupBy("w").agg(F.count("*").alias("df"))
+    return flat.join(df, "w").groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("ws"))
+
+
+def _meeting(scratch: Scratch, each: DataFrame, keys: list[str], jaccard: float, firsts: int | None = None) -> DataFrame:
+    """``keys, a, b``: pairs of ids that have the wanted Jaccard, none of which is lost; ``each`` has ``keys, id, ws``.
+
+    A row of n words shares at least t = ceil(n * jaccard) words with a partner, so
+    the first common word is among its first n - t + 1, the second among its first
+    n - t + 2, and so on. Rows meet on the first common word; where more than
+    ``HOT_ROWS`` do, on the first two, then on the first three. Rows that may share
+    fewer words than that meet on these alone. ``firsts`` limits the place of the
+    first common word. Rows bring their words along, so only true pairs leave the join.
+    """
+    from strandloom.functions import text as X
+
+    n, t = F.size("ws"), F.ceil(F.size("ws") * F.lit(jaccard) - 1e-9).cast("int")
+    here = [*keys, "key"]
+    each = each.select(*keys, "id", "ws", n.alias("n"), t.alias("t"))
+    most = F.col("n") - F.col("t") + 1
+    first = F.slice("ws", F.lit(1), most if firsts is None else F.least(F.lit(firsts), most))
+    keyed = scratch.save(each.select("*", F.posexplode(first).alias("at", "key")), "keyed")
+    done, used = None, []
+    for depth in (2, 3):
+        hot = scratch.save(keyed.groupBy(*here).agg(F.count("*").alias("rows")).where(F.col("rows") > HOT_ROWS).drop("rows"), "hot")
+        held = keyed.join(hot, here, "left_semi")
+        stay = keyed.join(hot, here, "left_anti").union(held.where(F.col("t") < depth).withColumn("key", F.concat("key", F.lit(" ="))))
+        stay = stay.select(*here, "id", "ws")
+        done = stay if done is None else done.union(stay)
+        left = F.col("n") - F.greatest("t", F.lit(depth)) + depth - F.col("at") - 1
+        later = F.slice("ws", F.col("at") + 2, F.greatest(F.lit(0), left))
+        used += [keyed, hot]
+        held = held.select(*keys, "id", "ws", "n", "t", F.col("key").alias("k"), F.col("at").alias("from"), F.posexplode(later).alias("on", "w"))
+        keyed = scratch.save(held.select(*keys, "id", "ws", "n", "t", (F.col("from") + F.col("on") + 1).alias("at"), F.concat("k", F.lit(" "), "w").alias("key")), "keyed")
+    done = scratch.save(done.union(keyed.select(*here, "id", "ws")), "done")
+    scratch.drop(*used, keyed)
+    # a key of many rows is cut into chunks, each of which meets all its rows
+    chunks = done.groupBy(*here).agg(F.ceil(F.count("*") / KEY_ROWS).cast("int").alias("chunks"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    met = scratch.save(done.join(chunks, here), "met")
+    scratch.drop(done)
+    a = met.select(*here, F.col("id").alias("a"), F.col("ws").alias("wa"), F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
+    b = met.select(*here, F.col("id").alias("b"), F.col("ws").alias("wb"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    na, nb = F.size("wa"), F.size("wb")
+    near = (F.col("a") < F.col("b")) & (F.least(na, nb) >= F.greatest(na, nb) * F.lit(jaccard) - 1e-9) & (X.jaccard("wa", "wb") >= jaccard)
+    return a.join(b, [*here, "chunk"]).where(near).select(*keys, "a", "b").distinct()
+
+
+def bucket_pairs(rows: DataFrame, bucket: str, id: str, title: str, words: str, signature: str, jaccard: float = 0.7, biggest: int | None = None) -> DataFrame:
     """Pairs of rows of one bucket whose titles are near: Jaccard, a length ratio of at most 3, and an overlap of at least 0.4.
 
-    Only buckets of at most ``biggest`` rows are searched, which is part of the
-    definition. A pair of the wanted Jaccard shares one of the rarest words of
-    its smaller set, so pairs are found through a prefix of each row's words in
-    order of frequency, not by crossing the bucket with itself.
+    Buckets of any size are searched, unless ``biggest`` limits them. A pair of the
+    wanted Jaccard shares one of the rarest words of its smaller set, so pairs
+    are found through a prefix of each row's words in order of frequency, not by
+    crossing the bucket with itself; hot words are split by the words that follow.
     """
     from strandloom.functions import text as X
 
     scratch = Scratch(rows.sparkSession, "buckets")
     base = rows.select(F.col(bucket).alias("bucket"), F.col(id).alias("id"), F.col(title).alias("title"), F.col(words).alias("words"), F.col(signature).alias("sig")).where("bucket is not null and size(words) > 0")
-    size = base.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n").between(2, biggest)).select("bucket")
-    base = scratch.save(base.join(size, "bucket", "left_semi"), "rows")
-    flat = base.select("bucket", "id", F.explode("words").alias("w"))
-    df = flat.groupBy("w").agg(F.count("*").alias("df"))
-    rank = F.row_number().over(Window.partitionBy("bucket", "id").orderBy("df", "w"))
-    kept = base.select("bucket", "id", (F.size("words") - F.ceil(F.size("words") * jaccard - 1e-9) + 1).alias("prefix"))
-    prefix = flat.join(df, "w").withColumn("r", rank).join(kept, ["bucket", "id"]).where("r <= prefix").select("bucket", "id", "w")
-    prefix = scratch.save(prefix, "prefix")
-    pairs = prefix.alias("a").join(prefix.alias("b"), ["bucket", "w"]).where("a.id < b.id").select("bucket", F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    if biggest is not None:
+        size = base.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") <= biggest).select("bucket")
+        base = base.join(size, "bucket", "left_semi")
+    base = scratch.save(base, "rows")
+    pairs = _meeting(scratch, _ordered(base, ["bucket", "id"]), ["bucket"], jaccard)
     side = lambda s: base.select("bucket", F.col("id").alias(s), F.col("title").alias(f"t{s}"), F.col("words").alias(f"w{s}"), F.col("sig").alias(f"s{s}"))
     both = pairs.join(side("a"), ["bucket", "a"]).join(side("b"), ["bucket", "b"]).withColumn("jaccard", X.jaccard("wa", "wb"))
     la, lb = F.length("ta"), F.length("tb")

@@ -190,6 +190,24 @@ def test_rare_and_bucket_pairs_equal_brute_force(spark):
     assert rows(S.bucket_pairs(df, "topic", "id", "title", "w", "w").select("a", "b")) == want
 
 
+def test_big_buckets_and_hot_words_equal_brute_force(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(9)]
+    sets = {f"r{i:03}": frozenset(rng.sample(words, rng.randrange(1, 8))) for i in range(160)}
+    df = spark.createDataFrame([(k, sorted(v), "same title", "t") for k, v in sets.items()], "id string, w array<string>, title string, topic string")
+    for jaccard in (0.7, 0.5):
+        want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= jaccard}
+        for hot, key in ((100, 2000), (3, 2000), (3, 5)):
+            monkeypatch.setattr(S, "HOT_ROWS", hot)
+            monkeypatch.setattr(S, "KEY_ROWS", key)
+            assert rows(S.bucket_pairs(df, "topic", "id", "title", "w", "w", jaccard).select("a", "b")) == {(a, b) for a, b in want if 5 * len(sets[a] & sets[b]) >= 2 * min(len(sets[a]), len(sets[b]))}
+
+
+def test_bucket_of_many_rows_is_searched(spark):
+    df = spark.range(1600).selectExpr("concat('r', lpad(id, 4, '0')) as id", "array(concat('a', id div 2), concat('b', id div 2)) as w", "'title' as title", "'t' as topic")
+    assert S.bucket_pairs(df, "topic", "id", "title", "w", "w").count() == 800
+
+
 def test_common_word_pairs_equal_brute_force(spark, monkeypatch):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(14)]  # every word is common
