@@ -117,11 +117,11 @@ def duplicate_vectors(vectors: DataFrame, vector: str, id: str, least: int) -> D
     return vectors.where(F.col(vector).isNotNull()).groupBy(vector_signature(vector).alias("signature")).agg(F.count("*").alias("n"), F.min(id).alias("first_id")).where(F.col("n") > least)
 
 
-def _ordered(base: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
-    """The keys with ``ws``, their words from the rarest to the commonest."""
+def _ordered(scratch: Scratch, base: DataFrame, keys: list[str], words: str = "words") -> DataFrame:
+    """The keys with ``ws``, the numbers of their words from the rarest to the commonest."""
     flat = base.select(*keys, F.explode(F.array_distinct(words)).alias("w"))
-    df = flat.groupBy("w").agg(F.count("*").alias("df"))
-    return flat.join(df, "w").groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("ws"))
+    df = scratch.save(flat.groupBy("w").agg(F.count("*").alias("df")).orderBy("df", "w").withColumn("no", F.monotonically_increasing_id()), "words")
+    return flat.join(df, "w").groupBy(*keys).agg(F.sort_array(F.collect_list("no")).alias("ws"))
 
 
 def _meeting(scratch: Scratch, each: DataFrame, keys: list[str], jaccard: float, firsts: int | None = None) -> DataFrame:
@@ -141,19 +141,19 @@ def _meeting(scratch: Scratch, each: DataFrame, keys: list[str], jaccard: float,
     each = each.select(*keys, "id", "ws", n.alias("n"), t.alias("t"))
     most = F.col("n") - F.col("t") + 1
     first = F.slice("ws", F.lit(1), most if firsts is None else F.least(F.lit(firsts), most))
-    keyed = scratch.save(each.select("*", F.posexplode(first).alias("at", "key")), "keyed")
+    keyed = scratch.save(each.select("*", F.posexplode(first).alias("at", "w")).withColumn("key", F.array("w")).drop("w"), "keyed")
     done, used = None, []
     for depth in (2, 3):
         hot = scratch.save(keyed.groupBy(*here).agg(F.count("*").alias("rows")).where(F.col("rows") > HOT_ROWS).drop("rows"), "hot")
         held = keyed.join(hot, here, "left_semi")
-        stay = keyed.join(hot, here, "left_anti").union(held.where(F.col("t") < depth).withColumn("key", F.concat("key", F.lit(" ="))))
+        stay = keyed.join(hot, here, "left_anti").union(held.where(F.col("t") < depth).withColumn("key", F.array_append("key", F.lit(-1).cast("long"))))
         stay = stay.select(*here, "id", "ws")
         done = stay if done is None else done.union(stay)
         left = F.col("n") - F.greatest("t", F.lit(depth)) + depth - F.col("at") - 1
         later = F.slice("ws", F.col("at") + 2, F.greatest(F.lit(0), left))
         used += [keyed, hot]
         held = held.select(*keys, "id", "ws", "n", "t", F.col("key").alias("k"), F.col("at").alias("from"), F.posexplode(later).alias("on", "w"))
-        keyed = scratch.save(held.select(*keys, "id", "ws", "n", "t", (F.col("from") + F.col("on") + 1).alias("at"), F.concat("k", F.lit(" "), "w").alias("key")), "keyed")
+        keyed = scratch.save(held.select(*keys, "id", "ws", "n", "t", (F.col("from") + F.col("on") + 1).alias("at"), F.array_append("k", F.col("w")).alias("key")), "keyed")
     done = scratch.save(done.union(keyed.select(*here, "id", "ws")), "done")
     scratch.drop(*used, keyed)
     # a key of many rows is cut into chunks, each of which meets all its rows
@@ -183,7 +183,7 @@ def bucket_pairs(rows: DataFrame, bucket: str, id: str, title: str, words: str,
         size = base.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") <= biggest).select("bucket")
         base = base.join(size, "bucket", "left_semi")
     base = scratch.save(base, "rows")
-    pairs = _meeting(scratch, _ordered(base, ["bucket", "id"]), ["bucket"], jaccard)
+    pairs = _meeting(scratch, _ordered(scratch, base, ["bucket", "id"]), ["bucket"], jaccard)
     side = lambda s: base.select("bucket", F.col("id").alias(s), F.col("title").alias(f"t{s}"), F.col("words").alias(f"w{s}"), F.col("sig").alias(f"s{s}"))
     both = pairs.join(side("a"), ["bucket", "a"]).join(side("b"), ["bucket", "b"]).withColumn("jaccard", X.jaccard("wa", "wb"))
     la, lb = F.length("ta"), F.length("tb")
@@ -191,40 +191,28 @@ def bucket_pairs(rows: DataFrame, bucket: str, id: str, title: str, words: str,
     return both.where(ok).select("a", "b", "jaccard").distinct()
 
 
-def rare_word_pairs(rows: DataFrame, id: str, words: str, jaccard: float = 0.5, biggest: int = 2000) -> DataFrame:
-    """``a, b, jaccard``: pairs that share one of their two rarest words and have the wanted Jaccard, at least a half.
+def rare_word_pairs(rows: DataFrame, id: str, words: str, jaccard: float = 0.5, biggest: int | None = None) -> DataFrame:
+    """``a, b, jaccard``: pairs that share one of their two rarest words and have the wanted Jaccard.
 
-    Words that are the rarest of more than ``biggest`` rows make no block,
-    which is part of the definition. Two sets of at least two words with a
-    Jaccard of a half share two words, the rarest two of them within a prefix of
-    both; so rows meet on one of their two rarest words together with another
-    word of the prefix, and only sets of one word, and their partners of two,
-    on single words. Blocks are never crossed with
-    themselves.
+    Words that are the rarest of any number of rows count, unless ``biggest``
+    limits them. The rarest common word of such a pair is among the two rarest of
+    both, so rows meet on it, and where many do, together with the next common
+    words; blocks are never crossed with themselves.
     """
     from strandloom.functions import text as X
 
-    if jaccard < 0.5:
-        raise ValueError("the prefix of two words needs a Jaccard of at least 0.5")
     scratch = Scratch(rows.sparkSession, "rare")
-    flat = rows.select(F.col(id).alias("id"), F.explode(F.array_distinct(words)).alias("w"))
-    df = flat.groupBy("w").agg(F.count("*").alias("df"))
-    each = flat.join(df, "w").groupBy("id").agg(F.transform(F.sort_array(F.collect_list(F.struct("df", "w"))), lambda x: x["w"]).alias("ws"))
-    each = scratch.save(each, "ordered")
-    two = each.select("id", F.explode(F.slice("ws", 1, 2)).alias("w"))
-    block = two.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n").between(2, biggest)).select("w")
-    held = two.join(block, "w", "left_semi").groupBy("id").agg(F.collect_set("w").alias("top"))
-    each = scratch.save(each.join(held, "id"), "held")
-    prefix = F.slice("ws", F.lit(1), (F.size("ws") - F.ceil(F.size("ws") * F.lit(jaccard) - 1e-9) + 2).cast("int"))
-    both = F.flatten(F.transform("top", lambda x: F.transform(F.filter(prefix, lambda y: y != x), lambda y: F.concat(x, F.lit(" "), y))))
-    keys = F.when(F.size("ws") <= 2, F.concat(both, F.col("top"))).otherwise(both)
-    keyed = scratch.save(each.select("id", F.explode(keys).alias("key")), "keys")
-    more = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    keyed = keyed.join(more, "key", "left_semi")
-    pairs = keyed.alias("p").join(keyed.alias("q"), "key").where("p.id < q.id").select(F.col("p.id").alias("a"), F.col("q.id").alias("b")).distinct()
+    base = rows.select(F.col(id).alias("id"), F.col(words).alias("words"))
+    each = scratch.save(_ordered(scratch, base, ["id"]).withColumn("top", F.slice("ws", 1, 2)), "ordered")
+    pairs = _meeting(scratch, each, [], jaccard, 2)
+    if biggest is not None:
+        two = each.select("id", F.explode("top").alias("w"))
+        block = two.groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") <= biggest).select("w")
+        held = two.join(block, "w", "left_semi").groupBy("id").agg(F.collect_set("w").alias("top"))
+        each = scratch.save(each.drop("top").join(held, "id"), "held")
     side = lambda s: each.select(F.col("id").alias(s), F.col("ws").alias(f"w{s}"), F.col("top").alias(f"t{s}"))
     full = pairs.join(side("a"), "a").join(side("b"), "b").where(F.arrays_overlap("ta", "tb"))
-    return full.withColumn("jaccard", X.jaccard("wa", "wb")).where(F.col("jaccard") >= jaccard).select("a", "b", "jaccard")
+    return full.withColumn("jaccard", X.jaccard("wa", "wb")).select("a", "b", "jaccard")
 
 
 def _common_words(gap: int, least: int, below: float, k: int):

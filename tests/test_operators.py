@@ -208,6 +208,14 @@ def test_bucket_of_many_rows_is_searched(spark):
     assert S.bucket_pairs(df, "topic", "id", "title", "w", "w").count() == 800
 
 
+def test_rare_words_of_many_rows_are_searched(spark):
+    # both words of a row are among the two rarest of more than 2000 rows
+    df = spark.range(2001).selectExpr("concat('r', lpad(id, 4, '0')) as id", "case when id = 0 then array('x', 'y') when id = 1 then array('y', 'x') else array('x', 'y', concat('a', id), concat('b', id), concat('c', id)) end as w")
+    df = df.union(spark.range(2001).selectExpr("concat('s', lpad(id, 4, '0'))", "array('x', concat('d', id))"))
+    df = df.union(spark.range(2001).selectExpr("concat('t', lpad(id, 4, '0'))", "array('y', concat('e', id))"))
+    assert rows(S.rare_word_pairs(df, "id", "w").select("a", "b")) == {("r0000", "r0001")}
+
+
 def test_common_word_pairs_equal_brute_force(spark, monkeypatch):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(14)]  # every word is common
