@@ -115,33 +115,50 @@ def components(edges: DataFrame) -> DataFrame:
     return found if found is not None else core.select(F.col("dep").alias("id"), F.col("pre").alias("component"))
 
 
-def weak_components(edges: DataFrame) -> DataFrame:
-    """``id, component``: nodes joined by edges in either direction, named by their smallest id.
-
-    Every node takes the smallest id next to it, labels jump twice, and edges
-    are rewritten to labels, so that they dwindle by half or more a round.
+def min_labels(links: DataFrame, scratch: Scratch) -> tuple[DataFrame, int]:
+    """``v, label``, the smallest vertex of each component of the links ``u, v``, and the number of rounds.
+
+    A round hooks every vertex to the smallest one next to it and then
+    shortcuts the hooks until each leads to its end, tripling their reach with
+    every table, so a sorted chain of any length is one hook. Links are then
+    rewritten to ends. In two such rounds every end that is left has taken in
+    all that lay next to it, so the ends at least halve.
     """
-    scratch = Scratch(edges.sparkSession, "weak")
-    left = scratch.save(clean_edges(edges), "edges")
+    pairs = links.select("u", "v").where("u is not null and v is not null and u <> v").distinct()
+    left, seen = scratch.counted(pairs, "links")
     labels: DataFrame | None = None
-    while not left.isEmpty():
-        both = left.select(F.col("dep").alias("id"), F.col("pre").alias("o")).union(left.select("pre", "dep"))
-        low = scratch.save(both.groupBy("id").agg(F.min("o").alias("o")).select("id", F.least("id", "o").alias("to")), "low")
-        for _ in range(2):
-            jumped = scratch.save(low.join(low.select(F.col("id").alias("to"), F.col("to").alias("far")), "to").select("id", F.col("far").alias("to")), "low")
+    rounds = 0
+    while seen["rows"]:
+        both = left.select("u", "v").union(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = scratch.save(both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p")), "low")
+        moved = 1
+        while moved:
+            rounds += 1
+            up, far = (low.select(F.col("u").alias(a), F.col("p").alias(b)) for a, b in (("p", "q"), ("q", "r")))
+            hop = low.join(up, "p").join(far, "q").select("u", F.col("r").alias("p"), (F.col("r") != F.col("p")).alias("moved"))
+            jumped, figures = scratch.counted(hop, "low", moved=F.count_if("moved"))
             scratch.drop(low)
-            low = jumped
+            low, moved = jumped, figures["moved"]
         if labels is None:
-            labels = scratch.save(low.select("id", F.col("to").alias("component")), "labels")
+            labels = low.select(F.col("u").alias("v"), F.col("p").alias("label"))
+            kept: tuple[DataFrame, ...] = ()
         else:
-            moved = scratch.save(labels.join(low.select(F.col("id").alias("component"), "to"), "component", "left").select("id", F.coalesce("to", "component").alias("component")), "labels")
-            scratch.drop(labels)
-            labels = moved
-        ends = left.join(low.select(F.col("id").alias("dep"), F.col("to").alias("d")), "dep").join(low.select(F.col("id").alias("pre"), F.col("to").alias("p")), "pre")
-        fewer = scratch.save(ends.where("d <> p").select(F.greatest("d", "p").alias("dep"), F.least("d", "p").alias("pre")).distinct(), "edges")
-        scratch.drop(left, low)
+            ends = low.select(F.col("u").alias("label"), F.col("p").alias("next"))
+            moved_on = scratch.save(labels.join(ends, "label", "left").select("v", F.coalesce("next", "label").alias("label")), "labels")
+            scratch.drop(*kept)
+            labels, kept = moved_on, (moved_on,)
+        a = low.select("u", F.col("p").alias("pu"))
+        b = low.select(F.col("u").alias("v"), F.col("p").alias("pv"))
+        fewer, seen = scratch.counted(left.join(a, "u").join(b, "v").select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).where("u <> v").distinct(), "links")
+        scratch.drop(left)
         left = fewer
-    return labels if labels is not None else left.select(F.col("dep").alias("id"), F.col("pre").alias("component"))
+    return (labels if labels is not None else left.select("v", F.col("u").alias("label"))), rounds
+
+
+def weak_components(edges: DataFrame) -> DataFrame:
+    """``id, component``: nodes joined by edges in either direction, named by their smallest id."""
+    labels, _ = min_labels(edges.select(F.col("dep").alias("u"), F.col("pre").alias("v")), Scratch(edges.sparkSession, "weak"))
+    return labels.select(F.col("v").alias("id"), F.col("label").alias("component"))
 
 
 def transitive_reduction(edges: DataFrame, known: DataFrame | None = None) -> DataFrame:

@@ -29,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,8 +57,8 @@ class Hierarchy:
         parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         self.names = self.scratch.save(rows.repartitionByRange(parts, "id").sortWithinPartitions("id").withColumn("n", F.monotonically_increasing_id()), "names")
         above = self.names.select(F.col("id").alias("parent"), F.col("n").alias("p"))
-        tree = self.scratch.save(self.names.where("parent is not null").join(above, "parent").select("n", "p"), "links")
-        loops = self._loops(tree)
+        tree, seen = self.scratch.counted(self.names.where("parent is not null").join(above, "parent").select("n", "p"), "links")
+        loops = self._loops(tree, seen["rows"])
         self.loops = self.scratch.save(self._least(tree.join(loops, "n")), "loops")
         cut = tree.join(loops, "n", "left_anti")
         self.ranked = self.scratch.save(self._rank(cut), "ranked")
@@ -65,43 +66,42 @@ class Hierarchy:
 
     # --- loops -----------------------------------------------------------------------------------
 
-    def _loops(self, tree: DataFrame) -> DataFrame:
+    def _loops(self, tree: DataFrame, size: int) -> DataFrame:
         """``n`` of every node on a loop."""
-        core, size = tree, tree.count()
+        core = tree
         for _ in range(PEELS):
             with_child = core.select(F.col("p").alias("n")).distinct()
             kept = core.join(with_child, "n", "left_semi")
             kept = kept.join(core.select(F.col("n").alias("p")), "p", "left_semi").select("n", "p")
-            kept = self.scratch.save(kept, "core")
-            left = kept.count()
+            kept, seen = self.scratch.counted(kept, "core")
             if core is not tree:
                 self.scratch.drop(core)
-            core, before, size = kept, size, left
+            core, before, size = kept, size, seen["rows"]
             if size in (0, before):
                 return core.select("n")
+        # ways are doubled twice a table; the images stop dwindling when only loops are left of them
         jump, images = core, -1
         while True:
-            found = jump.select("p").distinct()
-            count = found.count()
-            if count in (0, images):
-                return self.scratch.save(found.select(F.col("p").alias("n")), "onloop")
-            images = count
-            again = self.scratch.save(jump.join(jump.select(F.col("n").alias("p"), F.col("p").alias("q")), "p").select("n", F.col("q").alias("p")), "jump")
+            found, seen = self.scratch.counted(jump.select(F.col("p").alias("n")).distinct(), "images")
+            if seen["rows"] in (0, images):
+                return found
+            images = seen["rows"]
+            self.scratch.drop(found)
+            step = jump.select(F.col("n").alias("p"), F.col("p").alias("q"))
+            twice = jump.join(step, "p").select("n", F.col("q").alias("p"))
+            again = self.scratch.save(twice.join(step, "p").select("n", F.col("q").alias("p")), "jump")
             if jump is not core:
                 self.scratch.drop(jump)
             jump = again
 
     def _least(self, loop: DataFrame) -> DataFrame:
         """``n, loop``: the smallest node of the loop, by doubling along the loop."""
-        reach = self.scratch.save(loop.select("n", "p", F.least("n", "p").alias("loop")), "loop")
-        while not reach.isEmpty():
+        reach, seen = self.scratch.counted(loop.select("n", "p", F.least("n", "p").alias("loop"), F.lit(True).alias("new")), "loop", new=F.count_if("new"))
+        while seen["new"]:
             ahead = reach.select(F.col("n").alias("p"), F.col("p").alias("q"), F.col("loop").alias("far"))
-            grown = self.scratch.save(reach.join(ahead, "p").select("n", F.col("q").alias("p"), F.least("loop", "far").alias("loop"), (F.col("far") < F.col("loop")).alias("new")), "loop")
+            grown, seen = self.scratch.counted(reach.drop("new").join(ahead, "p").select("n", F.col("q").alias("p"), F.least("loop", "far").alias("loop"), (F.col("far") < F.col("loop")).alias("new")), "loop", new=F.count_if("new"))
             self.scratch.drop(reach)
-            if grown.where("new").isEmpty():
-                return grown.select("n", "loop")
-            reach = grown.drop("new")
-            reach._scratch_path = grown._scratch_path  # type: ignore[attr-defined]
+            reach = grown
         return reach.select("n", "loop")
 
     # --- Euler tours -----------------------------------------------------------------------------
@@ -126,13 +126,16 @@ class Hierarchy:
 
     def _rank(self, tree: DataFrame) -> DataFrame:
         """``n, root, depth, entry, exit`` by list ranking."""
-        tour = self.scratch.save(self._tour(tree).withColumn("tail", F.col("e")), "tour")
-        while not tour.where("nxt is not null").isEmpty():
+        going = F.count("nxt")
+        tour, seen = self.scratch.counted(self._tour(tree).withColumn("tail", F.col("e")), "tour", going=going)
+        while seen["going"]:
             step = tour.select(F.col("e").alias("nxt"), F.col("nxt").alias("n2"), F.col("dist").alias("d2"), F.col("bal").alias("b2"), F.col("tail").alias("t2"))
+            # an element that has reached the end of its tour waits; only the others are joined
+            hop = tour.where("nxt is not null")
             for _ in range(2):
-                hop = tour.join(step, "nxt", "left") if _ == 0 else hop.join(step, "nxt", "left")  # noqa: F821
+                hop = hop.join(step, "nxt", "left")
                 hop = hop.select("e", F.col("n2").alias("nxt"), (F.col("dist") + F.coalesce("d2", F.lit(0))).alias("dist"), (F.col("bal") + F.coalesce("b2", F.lit(0))).alias("bal"), F.coalesce("t2", "tail").alias("tail"))
-            longer = self.scratch.save(hop, "tour")
+            longer, seen = self.scratch.counted(hop.union(tour.where("nxt is null").select("e", "nxt", "dist", "bal", "tail")), "tour", going=going)
             self.scratch.drop(tour)
             tour = longer
         half = F.shiftright("e", 1)
@@ -143,8 +146,8 @@ class Hierarchy:
     def _named(self, tree: DataFrame) -> DataFrame:
         plain = self.names.select("n", "id")
         roots = self.ranked.where("depth = 0").select("n").join(plain, "n").join(self.loops, "n", "left").join(plain.select(F.col("n").alias("loop"), F.col("id").alias("loop_id")), "loop", "left")
-        roots = self.scratch.save(roots.select(F.col("n").alias("root"), F.col("id").alias("root_id"), "loop_id"), "roots")
-        few = F.broadcast(roots) if roots.count() <= BROADCAST_ROWS else roots
+        roots, seen = self.scratch.counted(roots.select(F.col("n").alias("root"), F.col("id").alias("root_id"), "loop_id"), "roots")
+        few = F.broadcast(roots) if seen["rows"] <= BROADCAST_ROWS else roots
         known = tree.select("n", F.lit(True).alias("has_parent"))
         out = self.ranked.join(self.names, "n").join(known, "n", "left").join(few, "root")
         return out.select(
@@ -156,10 +159,22 @@ class Hierarchy:
     # --- paths and pairs -------------------------------------------------------------------------
 
     def under(self, ids: DataFrame) -> DataFrame:
-        """``id, descendant`` for the given ids (a column ``id``): all their descendants, by intervals."""
-        top = self.nodes.join(ids.select("id").distinct(), "id").select(F.col("id").alias("top"), F.col("root_n").alias("r"), F.col("entry").alias("lo"), F.col("exit").alias("hi"))
-        found = self.nodes.join(top, (F.col("root_n") == F.col("r")) & (F.col("entry") > F.col("lo")) & (F.col("exit") <= F.col("hi")))
-        return found.select(F.col("top").alias("id"), F.col("id").alias("descendant"))
+        """``id, descendant`` for the given ids (a column ``id``): all their descendants, by intervals.
+
+        An interval is cut at the chunks of the tour, and meets the nodes of
+        each chunk by an equal join, so a root with a third of all nodes is
+        spread over all its chunks.
+        """
+        chunk = lambda c: F.floor(F.col(c) / CHUNK)
+        top = self.nodes.join(ids.select("id").distinct(), "id").where("descendants > 0").select(F.col("id").alias("top"), "root_n", F.col("entry").alias("lo"), F.col("exit").alias("hi"))
+        top = top.withColumn("chunk", F.explode(F.sequence(chunk("lo"), chunk("hi"))))
+        found = self.nodes.select("id", "root_n", "entry", "exit", chunk("entry").alias("chunk")).join(top, ["root_n", "chunk"])
+        return found.where("entry > lo and exit <= hi").select(F.col("top").alias("id"), F.col("id").alias("descendant"))
+
+    def descendants(self) -> DataFrame:
+        """``id, descendant, steps`` of every node and all that lies under it: as many rows as the depths add up to."""
+        way = self.paths().select(F.col("id").alias("descendant"), F.size("path").alias("n"), F.posexplode(F.expr("slice(path, 1, size(path) - 1)")).alias("at", "id"))
+        return way.select("id", "descendant", (F.col("n") - 1 - F.col("at")).alias("steps"))
 
     def paths(self) -> DataFrame:
         """``id, path``: the ids from the root down to each node, as an array.
@@ -179,21 +194,49 @@ class Hierarchy:
         shift = F.col("entry") - F.col("chunk") * CHUNK
         todo = states.union(rows.select("root_n", "chunk", "depth", shift.alias("rank"), "id"))
         todo = todo.repartition("root_n", "chunk").sortWithinPartitions("root_n", "chunk", "rank", "depth").select("depth", "rank", "id")
-
-        def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            stack: list[str] = []
-            for batch in batches:
-                ids, out = [], []
-                for depth, rank, id in zip(*(c.to_pylist() for c in batch.columns)):
-                    del stack[depth:]
-                    stack.append(id)
-                    if rank >= 0:
-                        ids.append(id)
-                        out.append(list(stack))
-                    if len(out) >= 4096:
-                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.list_(pa.string()))], ["id", "path"])
-                        ids, out = [], []
-                if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(out, pa.list_(pa.string()))], ["id", "path"])
-
-        return todo.mapInArrow(walk, "id string, path array<string>")
+        return todo.mapInArrow(_walk, "id string, path array<string>")
+
+
+#: Path entries that one output batch is meant to hold.
+ENTRIES = 1 << 20
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths of rows in preorder: the ancestor at depth k is the last row of depth k that came before."""
+    stack = pa.array([], pa.string())
+    for batch in batches:
+        depth = batch.column(0).to_numpy().astype(np.int64)
+        shown = batch.column(1).to_numpy() >= 0
+        start = 0
+        while start < depth.size:
+            # a slice of about ENTRIES path entries; entries count for rows that are shown
+            size = np.cumsum(np.where(shown[start:], depth[start:] + 1, 1))
+            stop = start + max(1, int(np.searchsorted(size, ENTRIES, "right")))
+            d, here = depth[start:stop], shown[start:stop]
+            # the stack before the slice, then the slice's own ids
+            ids = pa.concat_arrays([stack, batch.column(2).slice(start, stop - start).cast(pa.string())])
+            old = len(stack)
+            low = int(d.min())
+            rows = np.flatnonzero(here)
+            offsets = np.zeros(rows.size + 1, np.int64)
+            np.cumsum(d[rows] + 1, out=offsets[1:])
+            flat = np.empty(int(offsets[-1]), np.int64)
+            if low and rows.size:
+                flat[(offsets[:-1, None] + np.arange(low)).ravel()] = np.tile(np.arange(low), rows.size)
+            last = np.arange(old)[: max(int(d.max()) + 1, old)]
+            top = np.full(max(int(d.max()) + 1, old), -1, np.int64)
+            top[:old] = last
+            for k in range(low, int(d.max()) + 1):
+                at = np.flatnonzero(d == k)
+                deep = np.flatnonzero(d[rows] >= k)
+                place = np.searchsorted(at, rows[deep], "right") - 1
+                if not at.size:
+                    flat[offsets[deep] + k] = top[k]
+                    continue
+                flat[offsets[deep] + k] = np.where(place >= 0, at[np.maximum(place, 0)] + old, top[k])
+                top[k] = at[-1] + old
+            stack = ids.take(pa.array(top[: int(d[-1]) + 1]))
+            if rows.size:
+                path = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), ids.take(pa.array(flat)))
+                yield pa.RecordBatch.from_arrays([ids.slice(old).take(pa.array(rows)), path], ["id", "path"])
+            start = stop

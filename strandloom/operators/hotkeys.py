@@ -2,15 +2,18 @@
 
 1. Rows are put in order by range partitions of the order column, which do not
    depend on the key, and written; every written block holds a like number of rows.
+   Inside a block they are sorted by key and order.
 2. Keys are counted per block, by partial aggregation.
 3. Prefix sums over the blocks give the offset of each key's rows in each block.
 4. A row's number within its key is the offset of its block plus its place in
-   the block; the number divided by ``chunk_rows`` is its chunk. All chunks of
-   a key but the last hold exactly ``chunk_rows`` rows.
+   the key's run there; the number divided by ``chunk_rows`` is its chunk. All
+   chunks of a key but the last hold exactly ``chunk_rows`` rows.
 5. Chunks are processed by themselves, each giving a state, and the few states
    of a key are merged in order, across their boundaries.
 
-Keys of no more than one chunk skip steps 3 and 4.
+Every key goes this way, rare ones with one chunk. A chunk is meant to be a
+small part of one task's share: ``chunk_rows`` is all rows divided by
+``CHUNKS_A_TASK`` times the number of shuffle partitions, unless it is given.
 
 Defined results: null keys are left out; ties in the order are broken by the
 position in the written block; an empty table gives no keys.
@@ -23,35 +26,32 @@ from pyspark.sql import functions as F
 
 from strandloom.runtime import Scratch
 
-CHUNK_ROWS = 50_000
+#: Chunks that the rows of one shuffle partition would make if all belonged to one key.
+CHUNKS_A_TASK = 4
 #: Bits that ``monotonically_increasing_id`` keeps for the place in a partition.
 PLACE_BITS = 33
 
 
 class KeyChunks:
-    """``rows``: ``key columns, order, chunk``; ``counts``: rows of each key."""
+    """``rows``: ``key columns, order, _place, chunk``; ``chunk_rows``: rows of a full chunk."""
 
-    def __init__(self, df: DataFrame, keys: list[str], order: str, chunk_rows: int = CHUNK_ROWS):
+    def __init__(self, df: DataFrame, keys: list[str], order: str, chunk_rows: int | None = None):
         spark = df.sparkSession
         self.keys, self.order = keys, order
         scratch = Scratch(spark, "hotkeys")
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         keyed = df.select(*keys, order).where(" and ".join(f"`{k}` is not null" for k in keys))
-        placed = keyed.repartitionByRange(parts, order).sortWithinPartitions(order).withColumn("_place", F.monotonically_increasing_id())
-        placed = scratch.save(placed, "placed")
+        placed = keyed.repartitionByRange(parts, order).sortWithinPartitions(*keys, order).withColumn("_place", F.monotonically_increasing_id())
+        placed, seen = scratch.counted(placed, "placed")
+        self.chunk_rows = chunk_rows or max(1, -(-seen["rows"] // (CHUNKS_A_TASK * parts)))
         block = F.shiftright("_place", PLACE_BITS)
-        blocks = scratch.save(placed.groupBy(*keys, block.alias("_block")).agg(F.count("*").alias("_n")), "blocks")
-        self.counts = scratch.save(blocks.groupBy(*keys).agg(F.sum("_n").alias("n_rows")), "counts")
-        # at most (all rows / chunk_rows) keys are hot; their offsets take one row per block
-        hot = self.counts.where(F.col("n_rows") > chunk_rows).select(*keys)
-        run = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = blocks.join(hot, keys, "left_semi").withColumn("_offset", F.coalesce(F.sum("_n").over(run), F.lit(0))).drop("_n")
+        # a key's rows in a block are one run, which starts at its least place
+        runs = placed.groupBy(*keys, block.alias("_block")).agg(F.count("*").alias("_n"), F.min("_place").alias("_start"))
+        before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = runs.select(*keys, "_block", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_start")).alias("_shift"))
         offsets = scratch.save(offsets, "offsets")
-        placed = placed.withColumn("_block", block)
-        cold = placed.join(offsets.select(*keys).distinct(), keys, "left_anti").select(*keys, order, "_place", F.lit(0).cast("long").alias("chunk"))
-        number = F.col("_offset") + F.row_number().over(Window.partitionBy("_block", *keys).orderBy("_place")) - 1
-        warm = placed.join(offsets, [*keys, "_block"]).select(*keys, order, "_place", F.floor(number / chunk_rows).alias("chunk"))
-        self.rows = cold.union(warm)
+        number = F.col("_place") + F.col("_shift")
+        self.rows = placed.withColumn("_block", block).join(offsets, [*keys, "_block"]).select(*keys, order, "_place", F.floor(number / self.chunk_rows).alias("chunk"))
 
     def merge_counts(self) -> DataFrame:
         """``keys, n_rows``: chunks are counted by themselves and added up."""

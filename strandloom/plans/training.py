@@ -37,6 +37,11 @@ def p1_paths(spark: SparkSession, folder: str) -> DataFrame:
     return concept_hierarchy(spark, folder).paths().select(F.col("id").alias("concepturi"), F.array_join("path", " > ").alias("path"))
 
 
+def p1_descendants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every concept with each concept below it and the steps down to it."""
+    return concept_hierarchy(spark, folder).descendants().select(F.col("id").alias("concepturi"), F.col("descendant").alias("descendanturi"), "steps")
+
+
 def slugs(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Skills, and ``fieldname, keyname, rec_id`` of every slug that a row holds, once a row."""
     skills = table(spark, folder, "skills")
@@ -56,7 +61,7 @@ def p2_runs(spark: SparkSession, folder: str) -> DataFrame:
     return KeyChunks(lists, ["fieldname", "keyname"], "rec_id").runs()
 
 
-QUERIES = {"p1_found": p1_found, "p1_hierarchy": p1_hierarchy, "p1_paths": p1_paths, "p2_found": p2_found, "p2_runs": p2_runs}
+QUERIES = {"p1_found": p1_found, "p1_hierarchy": p1_hierarchy, "p1_paths": p1_paths, "p1_descendants": p1_descendants, "p2_found": p2_found, "p2_runs": p2_runs}
 
 _URI = "nullif(regexp_replace(regexp_replace(regexp_replace(lower({0}), '^\\s+|\\s+$', '', 'g'), '^https://', 'http://'), '/+$', ''), '')"
 _TREE = f"""
@@ -84,6 +89,9 @@ over_ AS (SELECT a.anc, count(*) AS n FROM (SELECT id, unnest(way[2:depth + 1])
 SELECT t.id AS concepturi, tree.parent, t.root, CAST(t.depth AS INTEGER) AS depth, t.to_loop AND t.depth = 0 AS in_loop, CAST(coalesce(o.n, 0) AS BIGINT) AS descendants
 FROM tops t JOIN tree ON tree.id = t.id LEFT JOIN over_ o ON o.anc = t.id""",
     "p1_paths": _TREE + " SELECT id AS concepturi, array_to_string(list_reverse(way[:depth + 1]), ' > ') AS path FROM tops",
+    "p1_descendants": _TREE
+    + """
+SELECT way[k + 1] AS concepturi, id AS descendanturi, CAST(k AS INTEGER) AS steps FROM (SELECT id, way, unnest(range(1, depth + 1)) AS k FROM tops)""",
     "p2_found": """
 WITH items AS (
   SELECT rec_id, 'prereqs' AS fieldname, lower(trim(unnest(string_split(prereqs, ',')))) AS keyname FROM skills

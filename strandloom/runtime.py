@@ -15,7 +15,8 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Rows and bytes up to which a side may be broadcast by hint; beyond it the same join runs as a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -94,6 +95,12 @@ class Scratch:
         out._scratch_path = path  # type: ignore[attr-defined]
         return out
 
+    def counted(self, df: DataFrame, label: str = "t", **figures: Column) -> tuple[DataFrame, dict[str, int]]:
+        """``save``, and figures that the write itself observes: ``rows`` and the given aggregates. No job of their own is run."""
+        seen = Observation()
+        out = self.save(df.observe(seen, F.count(F.lit(1)).alias("rows"), *(c.alias(k) for k, c in figures.items())), label)
+        return out, {k: v or 0 for k, v in seen.get.items()}
+
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             path = getattr(table, "_scratch_path", None)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from strandloom.operators import candidates as K
 from strandloom.operators import folds as O
 from strandloom.operators import graph as G
+from strandloom.runtime import Scratch
 
 
 def rows(df):
@@ -32,6 +33,13 @@ def test_weak_components(spark):
     assert G.weak_components(df.where("false")).count() == 0
 
 
+def test_sorted_chain_takes_few_rounds(spark):
+    chain = spark.range(10_000).select(F.format_string("c%05d", "id").alias("u"), F.format_string("c%05d", F.col("id") + 1).alias("v"))
+    labels, rounds = G.min_labels(chain, Scratch(spark, "chain"))
+    assert rounds < 20
+    assert rows(labels.select("label").distinct()) == {("c00000",)} and labels.count() == 10_001
+
+
 def merge(titles, pairs):
     """One sequential pass over all pairs."""
     root = {x: x for x in titles}

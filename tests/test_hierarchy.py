@@ -46,6 +46,11 @@ def check(spark, links):
     for node, path in paths.items():
         assert path[0] == rows[node].root and path[-1] == node and len(path) == rows[node].depth + 1
         assert all(parent[b] == a for a, b in zip(path, path[1:]))
+    pairs = {(r.id, r.descendant): r.steps for r in h.descendants().collect()}
+    assert pairs == {(up, node): len(path) - 1 - k for node, path in paths.items() for k, up in enumerate(path[:-1])}
+    some = [n for n in paths if rows[n].descendants][:40]
+    under = h.under(spark.createDataFrame([(n,) for n in some], "id string"))
+    assert {tuple(r) for r in under.collect()} == {p for p in pairs if p[0] in some}
     return h
 
 
@@ -59,6 +64,7 @@ def test_trees_loops_and_dirt(spark):
 def test_long_chain_hot_parent_and_random(spark, monkeypatch):
     monkeypatch.setattr(hierarchy, "PART", 7)
     monkeypatch.setattr(hierarchy, "CHUNK", 16)
+    monkeypatch.setattr(hierarchy, "ENTRIES", 50)
     rng = random.Random(1)
     links = [(f"c{i:03}", f"c{i - 1:03}" if i else None) for i in range(130)]
     links += [(f"h{i:03}", "c007") for i in range(90)]
@@ -70,3 +76,4 @@ def test_empty(spark):
     h = Hierarchy(spark.createDataFrame([], "child string, up string"), "child", "up")
     assert h.nodes.count() == 0
     assert h.paths().count() == 0
+    assert h.descendants().count() == 0

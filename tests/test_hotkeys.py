@@ -19,6 +19,10 @@ def test_runs_equal_brute_force_and_chunks_are_equal(spark):
     assert {r.key: r.n_rows for r in chunks.merge_counts().collect()} == {k: v[0] for k, v in want.items()}
     sizes = [r["count"] for r in chunks.rows.where("key = 'hot'").groupBy("chunk").count().orderBy("chunk").collect()]
     assert set(sizes[:-1]) == {100} and 0 < sizes[-1] <= 100
+    # the chunk size that follows from the rows cuts the hot key as well
+    own = KeyChunks(df, ["key"], "at")
+    assert own.rows.where("key = 'hot'").select("chunk").distinct().count() >= 7
+    assert {r.key: (r.n_rows, r.first, r.last, r.longest_gap) for r in own.runs().collect()} == want
 
 
 def test_empty_and_lists(spark):
