@@ -5,13 +5,15 @@
 2. From the vertex of highest degree, frontier joins find its component, as a
    rule the giant one, and an anti-join takes it away.
 3. What remains, many small components, is labelled by minimum propagation:
-   every vertex takes the smallest label next to it, labels jump, and the
-   links are rewritten to labels, so that they dwindle by half or more a round.
+   every vertex takes the smallest label next to it, labels jump until they
+   stand, and the links are rewritten to labels. Two such rounds at least halve
+   the labels, and a sorted chain of any length takes one.
 
-If the first component is so long that ``FRONTIERS`` joins do not exhaust it,
-what was reached is merged into one vertex and goes on with the rest; nothing
-is lost. Links between equal labels vanish and parallel ones are merged before
-they are shuffled on, so a vertex that holds a third of all links does no harm.
+Frontiers advance one step a join, so a component of great diameter would take
+as many joins. After ``FRONTIERS`` of them, what was reached is merged into one
+vertex and goes on with the rest, in step 3; nothing is lost. Links between
+equal labels vanish and parallel ones are merged before they are shuffled on,
+so a vertex that holds a third of all links does no harm.
 
 Defined results: null or blank ends and pairs of an id with itself link
 nothing; order and repeats do not matter; no links give no rows.
@@ -22,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.operators.graph import min_labels
 from strandloom.runtime import Scratch
 
 FRONTIERS = 24
@@ -46,16 +49,13 @@ def _peel(scratch: Scratch, edges: DataFrame) -> tuple[DataFrame, DataFrame, int
     left = edges
     whole = False
     for _ in range(FRONTIERS):
-        # links that touch the frontier are used up; the others stay
         f = frontier
         out = left.join(f.select(F.col("v").alias("u")), "u").select("v").union(left.join(f, "v").select(F.col("u").alias("v")))
-        fresh = scratch.save(out.distinct().join(reached, "v", "left_anti"), "frontier")
-        if fresh.isEmpty():
+        fresh, seen = scratch.counted(out.distinct().join(reached, "v", "left_anti"), "frontier")
+        if not seen["rows"]:
             whole = True
             break
-        grown = scratch.save(reached.union(fresh), "reached")
-        scratch.drop(reached)
-        reached, frontier = grown, fresh
+        reached, frontier = reached.union(fresh), fresh
     if whole:
         rest = left.join(reached.select(F.col("v").alias("u")), "u", "left_anti")
     else:
@@ -64,47 +64,19 @@ def _peel(scratch: Scratch, edges: DataFrame) -> tuple[DataFrame, DataFrame, int
     return reached, scratch.save(rest, "rest"), root, whole
 
 
-def _propagate(scratch: Scratch, edges: DataFrame) -> DataFrame:
-    """``v, label``: the smallest vertex of each component, by minimum propagation with jumps over shrinking links."""
-    labels: DataFrame | None = None
-    while not edges.isEmpty():
-        low = _both_ways(edges).groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("p"))
-        low = scratch.save(low, "low")
-        # two jumps: a label leads on to the label of that vertex
-        for _ in range(2):
-            up = low.select(F.col("u").alias("p"), F.col("p").alias("q"))
-            jumped = scratch.save(low.join(up, "p").select("u", F.col("q").alias("p")), "low")
-            scratch.drop(low)
-            low = jumped
-        to = low.select(F.col("u").alias("label"), F.col("p").alias("next"))
-        if labels is None:
-            merged = scratch.save(low.select(F.col("u").alias("v"), F.col("p").alias("label")), "labels")
-        else:
-            merged = scratch.save(labels.join(to, "label", "left").select("v", F.coalesce("next", "label").alias("label")), "labels")
-            scratch.drop(labels)
-        labels = merged
-        a = low.select("u", F.col("p").alias("pu"))
-        b = low.select(F.col("u").alias("v"), F.col("p").alias("pv"))
-        moved = edges.join(a, "u").join(b, "v").select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).where("u <> v").distinct()
-        moved = scratch.save(moved, "links")
-        scratch.drop(edges, low)
-        edges = moved
-    return labels if labels is not None else edges.sparkSession.createDataFrame([], "v long, label long")
-
-
 def groups(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``id, group_id``: every linked id with the smallest id of its group."""
     spark = pairs.sparkSession
     scratch = Scratch(spark, "groups")
     links = pairs.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).where("a <> b and trim(a) <> '' and trim(b) <> ''").distinct()
-    links = scratch.save(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    links, seen = scratch.counted(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     names = _numbered(scratch, links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id"))))
-    if links.isEmpty():
+    if not seen["rows"]:
         return spark.createDataFrame([], "id string, group_id string")
     edges = links.join(names.select(F.col("id").alias("a"), F.col("n").alias("u")), "a").join(names.select(F.col("id").alias("b"), F.col("n").alias("v")), "b").select("u", "v")
     edges = scratch.save(edges, "links")
     reached, rest, root, whole = _peel(scratch, edges)
-    small = _propagate(scratch, rest)
+    small, _ = min_labels(rest, scratch)
     if whole:
         least = reached.agg(F.min("v")).first()[0]
         label = small.union(reached.select("v", F.lit(least).alias("label")))

@@ -7,7 +7,10 @@ the highest sum; its confidence is the probability of that sum against the
 others, tempered by the number of words that were scored.
 
 The model is fitted here, on a bounded sample of labelled documents
-(``FIT_DOCUMENTS`` a language, those of smallest hash). Labels may be wrong
+(``FIT_DOCUMENTS`` a language, those of smallest hash). Languages are counted,
+which fixes a threshold of the hash for each; only the hashes below it, which
+are little more than the sample, are put in order, and the texts are read where
+they lie, so no text is shuffled to be drawn. Labels may be wrong
 and texts mixed, so it is fitted twice: the first model, from the documents'
 labels, gives every paragraph of the sample its language, and the second is
 fitted on these. ``MODEL_WORDS`` and ``MODEL_GRAMS`` bound the model's size.
@@ -39,6 +42,8 @@ FIT_DOCUMENTS = 2_000
 MODEL_WORDS = 20_000
 MODEL_GRAMS = 20_000
 LONGEST = 5
+#: Counts that a task holds at most before it sends them.
+MOST_COUNTS = 4_000_000
 #: Log probability that is taken off for a gram of one character less.
 SMOOTH = 0.5
 
@@ -175,6 +180,15 @@ def _features(languages: list[str], held=None):
     """Counts of words and grams by language: ``kind, hash, lang, n``. The language is the label's, or the one that a first model gives."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # counts are added up in the task before they are sent
+        held_back: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for kind, parts in held_back.items():
+                key, of, count = _summed(*(np.concatenate(p) for p in zip(*parts)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(key.size, kind, np.int32)), pa.array(key.view(np.int64)), pa.array(of.astype(np.int32)), pa.array(count)], ["kind", "hash", "lang", "n"])
+            held_back.clear()
+
         for batch in _small(batches):
             rows, _, paragraphs = _paragraphs(batch)
             if not rows.size:
@@ -195,17 +209,23 @@ def _features(languages: list[str], held=None):
             hashes, starts, ends, lang = hashes[letters], starts[letters], ends[letters], lang[letters]
             for kind in range(LONGEST + 1):
                 key, word = (hashes, np.arange(hashes.size)) if kind == 0 else _grams(cps, starts, ends, kind)
-                if not key.size:
-                    continue
-                order = np.lexsort((lang[word], key))
-                key, of = key[order], lang[word][order]
-                new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (of[1:] != of[:-1]))))
-                count = np.diff(np.append(new, key.size))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(new.size, kind, np.int32)), pa.array(key[new].view(np.int64)), pa.array(of[new].astype(np.int32)), pa.array(count.astype(np.int64))], ["kind", "hash", "lang", "n"])
+                if key.size:
+                    held_back.setdefault(kind, []).append(_summed(key, lang[word], np.ones(key.size, np.int64)))
+            if sum(part[0].size for parts in held_back.values() for part in parts) > MOST_COUNTS:
+                yield from flush()
+        yield from flush()
 
     return run
 
 
+def _summed(key: np.ndarray, lang: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of equal (key, language), added up."""
+    order = np.lexsort((lang, key))
+    key, lang, n = key[order], lang[order], n[order]
+    new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (lang[1:] != lang[:-1]))))
+    return key[new], lang[new], np.add.reduceat(n, new)
+
+
 def _fit(sample: DataFrame, languages: list[str], held=None) -> Model:
     counted = sample.mapInArrow(_features(languages, held), "kind int, hash long, lang int, n long").groupBy("kind", "hash").pivot("lang", list(range(len(languages)))).agg(F.sum("n")).fillna(0)
     cols = [str(k) for k in range(len(languages))]
@@ -224,10 +244,25 @@ def _fit(sample: DataFrame, languages: list[str], held=None) -> Model:
 
 def fit(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "lang", per_language: int = FIT_DOCUMENTS) -> Model:
     """A model from at most ``per_language`` labelled documents of each language that the labels name."""
-    named = documents.select(named_language(label).alias("lang"), F.xxhash64(doc_id).alias("order"), F.col(text).alias("text")).where("lang is not null and text is not null")
-    top = Window.partitionBy("lang").orderBy("order")
-    sample = named.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= per_language).select("lang", "text")
-    sample = Scratch(documents.sparkSession, "language").save(sample, "sample")
+    scratch = Scratch(documents.sparkSession, "language")
+    named = documents.select(F.col(doc_id).alias("doc_id"), named_language(label).alias("lang"), F.col(text).alias("text")).where("doc_id is not null and lang is not null and text is not null")
+    named = named.withColumn("order", F.shiftrightunsigned(F.xxhash64("doc_id"), 1))
+    # a row per language that a label can name
+    labelled = documents.select(named_language(label).alias("lang")).where("lang is not null")
+    counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return Model(["und"], {}, np.ones((LONGEST + 1, 1)))
+    # the share of hashes that holds the sample, with a margin of six deviations
+    margin = per_language + 6 * per_language**0.5 + 20
+    limits = [x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(2**63 - 1, int(margin / n * 2.0**63))))]
+    below = scratch.save(named.where(F.col("order") <= F.element_at(F.create_map(*limits), F.col("lang"))), "below")
+    top = Window.partitionBy("lang").orderBy("order", "doc_id")
+    picked = below.groupBy("lang", "order", "doc_id").agg(F.lit(1)).withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= per_language).select("lang", "order", "doc_id")
+    # a document given again under its id is taken once; the picked ids are at most per_language a language
+    sample = below.join(F.broadcast(picked), ["lang", "order", "doc_id"], "left_semi")
+    unique = below.groupBy("lang", "doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    sample = (sample if unique else sample.dropDuplicates(["lang", "doc_id"])).select("lang", "text")
+    sample = scratch.save(sample, "sample")
     languages = sorted(r.lang for r in sample.select("lang").distinct().collect())
     if not languages:
         return Model(["und"], {}, np.ones((LONGEST + 1, 1)))

@@ -23,12 +23,15 @@ from __future__ import annotations
 
 import base64
 import functools
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.llm import textform
 from strandloom.runtime import Scratch, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -38,19 +41,20 @@ SLOTS = 4096
 
 
 @functools.lru_cache(maxsize=4)
-def _encoding(path: str):
+def _encoding(name: str):
+    """The tokenizer of a vocabulary file that was sent to the executors."""
     import tiktoken
 
-    with open(path, "rb") as lines:
+    with open(SparkFiles.get(name), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _count(path: str):
+def _count(name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(path).encode_ordinary
-        for batch in batches:
-            n = [len(encode(text)) for text in batch.column(batch.num_columns - 1).to_pylist()]
+        encode = _encoding(name).encode_ordinary_batch
+        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in textform.slices(b.column(b.num_columns - 1))):
+            n = [len(tokens) for tokens in encode(batch.column(batch.num_columns - 1).to_pylist(), num_threads=1)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64())], [*batch.schema.names[:-1], "tokens"])
 
     return run
@@ -95,7 +99,9 @@ class Mixture:
         goal = {r.source: (float(r.share or 0), int(r.repeats or 0)) for r in rows}
         key = source_key(source)
         docs = documents.select(F.col(doc_id).cast("long").alias("doc_id"), key.alias("source"), F.col(text).alias("text")).where(F.col("text").isNotNull() & F.col("source").isin(list(goal)))
-        sized = spread(docs).mapInArrow(_count(tokenizer), "doc_id long, source string, tokens long")
+        # the vocabulary is read on the driver and sent along; executors need no copy of their own
+        spark.sparkContext.addFile(tokenizer)
+        sized = spread(docs).mapInArrow(_count(os.path.basename(tokenizer)), "doc_id long, source string, tokens long")
         order = F.xxhash64(F.lit(seed), "doc_id", "tokens")
         slot = F.shiftrightunsigned(order, 52).cast("int")
         fine = F.shiftrightunsigned(order, 40).bitwiseAND(F.lit(SLOTS - 1)).cast("int")

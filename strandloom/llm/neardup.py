@@ -3,20 +3,31 @@
 Similarity is the Jaccard similarity of the sets of words in the form of
 problem 6. The join is exact for every pair of different word sets:
 
-1. Words are hashed per record in one vectorised pass. Records with the same
-   set form a class; one record stands for it.
+1. Words are hashed to 64 bits per record in one vectorised pass. The pass also
+   gives every word once a task, and the table of these proves that no two
+   words of the collection share a hash; if two did, another seed is taken. To
+   compare hashes is then to compare words. Records with the same set form a
+   class; one record stands for it.
 2. Words are put in one global order, rarest first. If two sets reach the
    limit, their two rarest common words lie within a short prefix of both, so
    a record is sent once per prefix word, with the prefix words that follow
-   it. A hot word is split by its following words into salted parts.
-3. Within a part, records that share both words form a block. A record's set
-   is hashed to a parity signature of 128 bits; differing bits never exceed
-   differing words. Signatures are stored as vertical bit planes, 64 records a
-   machine word, and the distances of many records are updated at once by
-   carry-save bitwise counters. Block words whose 64 distances all exceed the
-   radius are abandoned while planes remain.
+   it. A hot word is split by its following words into salted parts. Sets of
+   ``LARGE`` words and more, whose following words would be too many, and sets
+   that may share one word only are sent without them; a hot word is then split
+   into blocks, and every two blocks make a part.
+3. Within a part, records that share both words form a block (in parts of at
+   most ``WHOLE`` records, all form one). A record's set is hashed to a parity
+   signature; differing bits never exceed differing words. Signatures are
+   stored as vertical bit planes, 64 records a machine word, and the distances
+   of many records are updated at once by carry-save bitwise counters. Block
+   words whose 64 distances all exceed the radius are abandoned while planes
+   remain. Longer sets have more planes (``BANDS``); a set that is within the
+   limit of a longer band is compared there too. Beyond the last band distances
+   say little, and step 4 does the work.
 4. Survivors are compared by their words.
 
+The constants change how the work is laid out, never which pairs are found.
+
 Defined results: null texts take no part; records with fewer than ``least``
 words take no part; rows repeated with one key count once; an empty table
 gives an empty result.
@@ -35,33 +46,30 @@ from pyspark.sql import functions as F
 from strandloom.llm import textform
 from strandloom.runtime import BROADCAST_ROWS, Scratch, spread
 
-PLANES = 128
+#: Bands of sizes: the least number of words, and the bit planes of a signature there.
+BANDS = [(0, 128), (96, 512), (384, 2048)]
 #: Bytes of a word's hash in the word table.
-WIDTH = 5
+WIDTH = 8
 #: The most words whose counts are broadcast for the global order (16 bytes each); rarer ones count as equally rare.
 ORDERED_WORDS = 200_000
 #: Rows of one word that one part is meant to hold; a hotter word is salted into more parts.
 PART_ROWS = 20_000
 #: A block that size is compared as a whole, without looking at second words.
 WHOLE = 64
-#: Copies of one word set that are paired with one another; further copies are paired with the first.
+#: Rows of one identical text that are paired with one another; further copies are paired with the first.
 COPIES = 32
-
-
-#: Words of a set beyond which it is searched by single prefix words: following words would be too many.
+#: Rows of a class of one word set that are paired at once.
+CHUNK = 2_000
+#: Words of a set from which it is searched by single prefix words: following words would be too many.
 LARGE = 2_000
-#: What is sent of a record: key, signature, number of words, and whether the word is in the prefix for partners that are no smaller.
-HEAD = np.dtype([("key", "<i8"), ("sig", "<u8", PLANES // 64), ("size", "<u4"), ("low", "u1")])
-
-
-def _pack(hashes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(hashes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :WIDTH]
+#: Words that a task remembers to have sent to the table of words.
+REMEMBERED = 4_000_000
+#: What is sent of a record before its signature: key, number of words, band, and whether the word is in the prefix for partners that are no smaller.
+HEAD = np.dtype([("key", "<i8"), ("size", "<u4"), ("low", "u1"), ("band", "u1")])
 
 
 def _unpack(blob: np.ndarray) -> np.ndarray:
-    out = np.zeros((blob.size // WIDTH, 8), np.uint8)
-    out[:, :WIDTH] = blob.reshape(-1, WIDTH)
-    return out.view("<u8").ravel()
+    return np.ascontiguousarray(blob).view("<u8")
 
 
 def _binary(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
@@ -86,22 +94,36 @@ def _distinct(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray,
     return hashes, np.searchsorted(rows, np.arange(n + 1))
 
 
-def _word_sets(least: int):
-    mask = np.uint64((1 << (8 * WIDTH)) - 1)
+def _word_sets(least: int, seed: int):
+    """``tab, key, text, sa, sb, words`` of every record that takes part; and, with a null ``tab``, every word once a task: its hash and letters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in textform.slices(b.column(2))):
+        met = np.zeros(0, np.uint64)
+        for batch in (b.slice(lo, hi - lo) for b in batches for lo, hi in textform.slices(b.column(3))):
             n = batch.num_rows
-            hashes, _, _, offsets = textform.words(*textform.canonical(batch.column(2)))
-            hashes, offsets = _distinct(hashes & mask, np.repeat(np.arange(n), np.diff(offsets)), n)
+            cps, ends = textform.canonical(batch.column(3))
+            hashes, begin, end, offsets = textform.words(cps, ends, seed)
+            rows = np.repeat(np.arange(n), np.diff(offsets))
+            some, first = np.unique(hashes, return_index=True)
+            new = ~np.isin(some, met, assume_unique=True)
+            some, first = some[new], first[new]
+            met = np.union1d(met, some) if met.size < REMEMBERED else some
+            if some.size:
+                length = (end - begin)[first]
+                stop = np.zeros(length.size + 1, np.int64)
+                np.cumsum(length, out=stop[1:])
+                letters = textform.tables().lower[cps[np.repeat(begin[first] - stop[:-1], length) + np.arange(int(stop[-1]))]]
+                none = pa.nulls(some.size, pa.int64())
+                yield pa.RecordBatch.from_arrays([none.cast(pa.int32()), none, none, pa.array(some.view(np.int64)), none, _binary(letters.astype("<u4").view(np.uint8), stop * 4)], ["tab", "key", "text", "sa", "sb", "words"])
+            hashes, offsets = _distinct(hashes, rows, n)
             size = np.diff(offsets)
             wide = np.concatenate((textform.mix(hashes + np.uint64(1)), [np.uint64(0)]))
             starts = np.minimum(offsets[:-1], hashes.size)
             a = np.where(size > 0, np.add.reduceat(wide, starts), 0).view(np.int64)
             b = np.where(size > 0, np.bitwise_xor.reduceat(textform.mix(wide), starts), 0).view(np.int64)
-            keep = np.flatnonzero(size >= least)
-            blobs = _binary(_pack(hashes).ravel(), offsets * WIDTH).take(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), pa.array(a[keep]), pa.array(b[keep]), blobs], ["tab", "key", "sa", "sb", "words"])
+            keep = pa.array(np.flatnonzero(size >= least))
+            blobs = _binary(hashes.astype("<u8").view(np.uint8), offsets * WIDTH).take(keep)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(keep) for k in range(3)), pa.array(a).take(keep), pa.array(b).take(keep), blobs], ["tab", "key", "text", "sa", "sb", "words"])
 
     return run
 
@@ -130,25 +152,39 @@ def _missing(size: np.ndarray, share: Fraction) -> np.ndarray:
     return size - -(-size * share.numerator // share.denominator)
 
 
-def _signature(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Parity signatures, rows of two machine words."""
-    bit = textform.mix(hashes ^ np.uint64(0xA5A5A5A5)) % np.uint64(PLANES)
-    one = np.left_shift(np.uint64(1), bit & np.uint64(63))
-    out = np.zeros((offsets.size - 1, PLANES // 64), np.uint64)
-    for k in range(PLANES // 64):
-        out[:, k] = np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == k, one, np.uint64(0)), offsets[:-1])
+def _signature(hashes: np.ndarray, offsets: np.ndarray, planes: int) -> np.ndarray:
+    """Parity signatures of sets that are not empty, [row, byte]."""
+    bit = (textform.mix(hashes ^ np.uint64(0xA5A5A5A5)) % np.uint64(planes)).astype(np.int64)
+    n = offsets.size - 1
+    out = np.zeros((n, planes // 8), np.uint8)
+    step = max(1, (1 << 23) // planes)
+    for lo in range(0, n, step):
+        hi = min(n, lo + step)
+        at = slice(offsets[lo], offsets[hi])
+        row = np.repeat(np.arange(hi - lo), np.diff(offsets[lo : hi + 1]))
+        odd = np.bincount(row * planes + bit[at], minlength=(hi - lo) * planes).reshape(hi - lo, planes) & 1
+        out[lo:hi] = np.packbits(odd.astype(np.uint8), axis=1, bitorder="little")
     return out
 
 
-def _send_singles(tab, key, size, sig, hashes, place, row, m, mi, by_one) -> Iterator[pa.RecordBatch]:
-    first = np.flatnonzero((place <= m[row]) & by_one[row])
-    for lo in range(0, first.size, 100_000):
-        at = first[lo : lo + 100_000]
-        r = row[at]
-        head = np.zeros(at.size, HEAD)
-        head["key"], head["sig"], head["size"], head["low"] = key[r], sig[r], size[r], place[at] <= mi[r]
-        part = textform.mix(hashes[at] ^ textform.mix(tab[r].astype(np.uint64) * np.uint64(8191) + np.uint64(977)))
-        yield pa.RecordBatch.from_arrays([pa.array(tab[r].astype(np.int32)), pa.array(part.view(np.int64)), _binary(head.view(np.uint8), np.arange(at.size + 1) * HEAD.itemsize)], ["tab", "part", "record"])
+def _records(head: np.ndarray, sig: np.ndarray, tail: np.ndarray, run_len: np.ndarray) -> pa.Array:
+    """Records of one band: head, signature, and the codes of the following words."""
+    n, fixed = head.size, HEAD.itemsize + sig.shape[1]
+    stop = np.zeros(n + 1, np.int64)
+    np.cumsum(fixed + 2 * run_len, out=stop[1:])
+    out = np.empty(int(stop[-1]), np.uint8)
+    out[(stop[:-1, None] + np.arange(fixed)).ravel()] = np.concatenate((head.view(np.uint8).reshape(n, -1), sig), axis=1).ravel()
+    if tail.size:
+        begin = np.cumsum(run_len) - run_len
+        out[np.repeat(stop[:-1] + fixed - 2 * begin, 2 * run_len) + np.arange(tail.size)] = tail
+    return _binary(out, stop)
+
+
+def _in_band(size: np.ndarray, band: int, share: Fraction) -> np.ndarray:
+    """Sets that are compared in a band: its own, and those that a set of it may match."""
+    low = BANDS[band][0]
+    high = BANDS[band + 1][0] if band + 1 < len(BANDS) else np.iinfo(np.int64).max
+    return (size * share.denominator >= low * share.numerator) & (size < high)
 
 
 def _send(common, share: Fraction):
@@ -156,71 +192,94 @@ def _send(common, share: Fraction):
     words_, counts_ = common.value
     no_smaller = 2 * share / (1 + share)
 
+    def part_of(word: np.ndarray, tab: np.ndarray, band: int, more: np.ndarray) -> pa.Array:
+        key = textform.mix(tab.astype(np.uint64) * np.uint64(8191) + np.uint64(977 * band + 1))
+        return pa.array(textform.mix(word ^ textform.mix(key + more.astype(np.uint64))).view(np.int64))
+
+    def head_of(key, size, low, band) -> np.ndarray:
+        head = np.zeros(key.size, HEAD)
+        head["key"], head["size"], head["low"], head["band"] = key, size, low, band
+        return head
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            tab = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            key = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             data, ends = _blob(batch.column(2))
-            hashes, offsets = _unpack(data), ends // WIDTH
-            size = np.diff(offsets)
-            row = np.repeat(np.arange(n), size)
-            sig = _signature(hashes, offsets)
-            at = np.minimum(np.searchsorted(words_, hashes), max(words_.size - 1, 0))
-            count = np.where(words_[at] == hashes, counts_[at], 0) if words_.size else np.zeros(hashes.size, np.int64)
-            order = np.lexsort((hashes, count, row))
-            hashes, count = hashes[order], count[order]
-            place = np.arange(hashes.size) - offsets[:-1][row]  # 0 is the rarest
-            # first words: up to place m; second words: up to place m + 1
-            m, mi = _missing(size, share), _missing(size, no_smaller)
-            # sets that may share one word only, and very large ones, are also sent without following words
-            by_one = (size * share.numerator <= share.denominator) | (size >= LARGE * share)
-            yield from _send_singles(tab, key, size, sig, hashes, place, row, m, mi, by_one)
-            first = np.flatnonzero((place <= m[row]) & (size[row] <= LARGE))
-            r = row[first]
-            follow = np.minimum(m[r] + 1, size[r] - 1) - place[first]
-            parts = np.maximum(1, -(-count[first] // PART_ROWS))
-            # entries: (first word, second word); in a salted word each part gets the second words of its salt
-            owner = np.repeat(np.arange(first.size), follow)
-            step = np.arange(owner.size) - np.repeat(np.cumsum(follow) - follow, follow)
-            second_at = first[owner] + 1 + step
-            second = hashes[second_at]
-            low = (place[first[owner]] <= mi[r[owner]]) & (place[second_at] <= mi[r[owner]] + 1)
-            salt = (textform.mix(second) % parts[owner].astype(np.uint64)).astype(np.int64)
-            order = np.lexsort((salt, owner))
-            owner, second, low, salt = owner[order], second[order], low[order], salt[order]
-            new = np.ones(owner.size, np.bool_)
-            new[1:] = (owner[1:] != owner[:-1]) | (salt[1:] != salt[:-1])
-            begin = np.flatnonzero(new)
-            if not begin.size:
-                continue
-            o, rr = owner[begin], r[owner[begin]]
-            run_len = np.diff(np.append(begin, owner.size))
-            part = textform.mix(hashes[first[o]] + textform.mix(tab[rr].astype(np.uint64) * np.uint64(8191) + salt[begin].astype(np.uint64)))
-            head = np.zeros(o.size, HEAD)
-            head["key"], head["sig"], head["size"], head["low"] = key[rr], sig[rr], size[rr], place[first[o]] <= mi[rr]
-            tail = (((second & np.uint64(0x7FFF)) << np.uint64(1)) | low.astype(np.uint64)).astype("<u2").view(np.uint8)
-            width = head.dtype.itemsize + 2 * run_len
-            stop = np.zeros(o.size + 1, np.int64)
-            np.cumsum(width, out=stop[1:])
-            out = np.empty(int(stop[-1]), np.uint8)
-            out[(stop[:-1, None] + np.arange(head.dtype.itemsize)).ravel()] = head.view(np.uint8)
-            if tail.size:
-                tail_at = np.repeat(stop[:-1] + head.dtype.itemsize - 2 * begin, 2 * run_len) + np.arange(tail.size)
-                out[tail_at] = tail
-            yield pa.RecordBatch.from_arrays([pa.array(tab[rr].astype(np.int32)), pa.array(part.view(np.int64)), _binary(out, stop)], ["tab", "part", "record"])
+            length = np.diff(ends) // WIDTH
+            for band, (_, planes) in enumerate(BANDS):
+                members = np.flatnonzero(_in_band(length, band, share))
+                # slices bound the memory that long sets take
+                cost = np.cumsum(length[members])
+                cuts = np.searchsorted(cost, np.arange(0, int(cost[-1]) if cost.size else 0, 1 << 20))
+                for lo, hi in zip(cuts, [*cuts[1:], members.size]):
+                    if hi > lo:
+                        yield from send(batch, data, ends, members[lo:hi], band, planes)
+
+    def send(batch, data, ends, rows, band, planes) -> Iterator[pa.RecordBatch]:
+        tab = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+        key = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)[rows]
+        size = (np.diff(ends) // WIDTH)[rows]
+        offsets = np.concatenate(([0], np.cumsum(size)))
+        hashes = _unpack(data)[np.repeat(ends[:-1][rows] // WIDTH - offsets[:-1], size) + np.arange(int(offsets[-1]))]
+        row = np.repeat(np.arange(rows.size), size)
+        sig = _signature(hashes, offsets, planes)
+        at = np.minimum(np.searchsorted(words_, hashes), max(words_.size - 1, 0))
+        count = np.where(words_[at] == hashes, counts_[at], 0) if words_.size else np.zeros(hashes.size, np.int64)
+        order = np.lexsort((hashes, count, row))
+        hashes, count = hashes[order], count[order]
+        place = np.arange(hashes.size) - offsets[:-1][row]  # 0 is the rarest
+        # first words: up to place m; second words: up to place m + 1
+        m, mi = _missing(size, share), _missing(size, no_smaller)
+        # sets that may share one word only, and very large ones, are also sent without following words
+        by_one = (size * share.numerator <= share.denominator) | (size >= LARGE * share)
+        single = np.flatnonzero((place <= m[row]) & by_one[row])
+        blocks = np.maximum(1, -(-count[single] // PART_ROWS))
+        # a block of a hot word meets every block of it
+        times = np.repeat(np.arange(single.size), blocks)
+        other = np.arange(times.size) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        own = (textform.mix(key[row[single]].astype(np.uint64) + np.uint64(5)) % blocks.astype(np.uint64)).astype(np.int64)[times]
+        pair = np.minimum(own, other) * (1 << 20) + np.maximum(own, other)
+        for lo in range(0, times.size, 50_000):
+            some = single[times[lo : lo + 50_000]]
+            r = row[some]
+            head = head_of(key[r], size[r], place[some] <= mi[r], band)
+            part = part_of(hashes[some], tab[r], band, pair[lo : lo + 50_000] + (1 << 40))
+            yield pa.RecordBatch.from_arrays([pa.array(tab[r].astype(np.int32)), part, _records(head, sig[r], np.zeros(0, np.uint8), np.zeros(r.size, np.int64))], ["tab", "part", "record"])
+        first = np.flatnonzero((place <= m[row]) & (size[row] <= LARGE))
+        r = row[first]
+        follow = np.minimum(m[r] + 1, size[r] - 1) - place[first]
+        parts = np.maximum(1, -(-count[first] // PART_ROWS))
+        # entries: (first word, second word); in a salted word each part gets the second words of its salt
+        owner = np.repeat(np.arange(first.size), follow)
+        step = np.arange(owner.size) - np.repeat(np.cumsum(follow) - follow, follow)
+        second_at = first[owner] + 1 + step
+        second = hashes[second_at]
+        low = (place[first[owner]] <= mi[r[owner]]) & (place[second_at] <= mi[r[owner]] + 1)
+        salt = (textform.mix(second) % parts[owner].astype(np.uint64)).astype(np.int64)
+        order = np.lexsort((salt, owner))
+        owner, second, low, salt = owner[order], second[order], low[order], salt[order]
+        new = np.ones(owner.size, np.bool_)
+        new[1:] = (owner[1:] != owner[:-1]) | (salt[1:] != salt[:-1])
+        begin = np.flatnonzero(new)
+        run_len = np.diff(np.append(begin, owner.size))
+        for lo in range(0, begin.size, 50_000):
+            some = begin[lo : lo + 50_000]
+            length = run_len[lo : lo + 50_000]
+            o = owner[some]
+            rr = r[o]
+            head = head_of(key[rr], size[rr], place[first[o]] <= mi[rr], band)
+            here = slice(some[0], some[-1] + length[-1])
+            tail = (((second[here] & np.uint64(0x7FFF)) << np.uint64(1)) | low[here].astype(np.uint64)).astype("<u2").view(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array(tab[rr].astype(np.int32)), part_of(hashes[first[o]], tab[rr], band, salt[some]), _records(head, sig[rr], tail, length)], ["tab", "part", "record"])
 
     return run
 
 
 def _planes(sig: np.ndarray) -> np.ndarray:
-    """Vertical bit planes of records, 64 records a word: [plane, word]."""
-    n = sig.shape[0]
-    lanes = np.zeros((-(-n // 64) * 64, PLANES), np.uint8)
-    lanes[:n] = np.unpackbits(sig.view(np.uint8).reshape(n, -1), axis=1, bitorder="little")
-    return np.packbits(lanes.reshape(-1, 64, PLANES), axis=1, bitorder="little").transpose(2, 0, 1).copy().view(np.uint64)[:, :, 0]
+    """Vertical bit planes of signatures [row, byte], 64 records a word: [plane, word]."""
+    n, planes = sig.shape[0], sig.shape[1] * 8
+    lanes = np.zeros((-(-n // 64) * 64, planes), np.uint8)
+    lanes[:n] = np.unpackbits(sig, axis=1, bitorder="little")
+    return np.packbits(lanes.reshape(-1, 64, planes), axis=1, bitorder="little").transpose(2, 0, 1).copy().view(np.uint64)[:, :, 0]
 
 
 def _add(total: list[np.ndarray], bits: np.ndarray, weight: int) -> None:
@@ -236,15 +295,17 @@ def _add(total: list[np.ndarray], bits: np.ndarray, weight: int) -> None:
 def within_radius(planes: np.ndarray, masks: np.ndarray, word: np.ndarray, query: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each (query, word of 64 lanes): the lanes whose distance is at most the radius.
 
-    Eight planes at a time go through carry-save adders. Counters start at
-    ``128 - radius - 1``, so that their top bit tells that a lane is beyond the
-    radius; a word is abandoned once all its lanes are. Returns the positions
+    Eight planes at a time go through carry-save adders. Counters start at the
+    number of planes - radius - 1, so that their top bit tells that a lane is
+    beyond the radius; a word is abandoned once all its lanes are. Returns the positions
     of the words that are left, and their lanes as bits.
     """
     alive = np.arange(word.size)
-    start = (127 - radius).astype(np.int64)
-    total = [np.where((start >> k) & 1 == 1, ~np.uint64(0), np.uint64(0)) for k in range(8)]
-    for g in range(0, PLANES, 8):
+    many = planes.shape[0]
+    top = many.bit_length() - 1  # the number of planes is a power of two
+    start = (many - 1 - radius).astype(np.int64)
+    total = [np.where((start >> k) & 1 == 1, ~np.uint64(0), np.uint64(0)) for k in range(top + 1)]
+    for g in range(0, many, 8):
         x = planes[g : g + 8][:, word] ^ masks[g : g + 8][:, query]
         # carry-save tree: 8 bits to ones, twos, fours
         a = x[0] ^ x[1]
@@ -258,19 +319,19 @@ def within_radius(planes: np.ndarray, masks: np.ndarray, word: np.ndarray, query
         t1, d1 = a ^ c3, (c1 & c2) | (a & c3)
         twos, d2 = t1 ^ c4, t1 & c4
         fours, eights = d1 ^ d2, d1 & d2
-        # a counter beyond the radius keeps its top bit: it starts below 128 and gains at most 128
+        # a counter beyond the radius keeps its top bit: it starts below the number of planes and gains at most that
         _add(total, ones, 0)
         _add(total, twos, 1)
         _add(total, fours, 2)
         _add(total, eights, 3)
-        if g % 16 == 8 or g + 8 == PLANES:
-            left = total[7] != ~np.uint64(0)
+        if g % 16 == 8 or g + 8 == many:
+            left = total[top] != ~np.uint64(0)
             if not left.all():
                 alive, word, query = alive[left], word[left], query[left]
                 total = [t[left] for t in total]
             if not alive.size:
                 break
-    return alive, ~total[7]
+    return alive, ~total[top]
 
 
 def _compare(share: Fraction):
@@ -278,13 +339,13 @@ def _compare(share: Fraction):
     ratio = float((1 - share) / (1 + share))
     share_ = float(share)
 
-    def block_pairs(rec: np.ndarray, member: np.ndarray, block: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def block_pairs(rec: np.ndarray, sig: np.ndarray, member: np.ndarray, block: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """member: entries as record numbers, block: their block; both sorted by block and then by size. low: may be the smaller one."""
         if member.size < 2:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         size = rec["size"][member].astype(np.int64)
-        planes = _planes(rec["sig"][member])
-        bits = np.unpackbits(rec["sig"].view(np.uint8).reshape(len(rec), -1), axis=1, bitorder="little")
+        planes = _planes(sig[member])
+        most = planes.shape[0] - 1
         last = np.searchsorted(block, block, "right")
         # a query looks ahead of itself, as far as a partner can be in size
         scale = np.int64(1 << 33)
@@ -295,7 +356,7 @@ def _compare(share: Fraction):
         span = hi - lo
         found_a, found_b = [], []
         stop = np.cumsum(span)
-        cuts = np.searchsorted(stop, np.arange(0, int(stop[-1]) if stop.size else 0, 1 << 15))
+        cuts = np.searchsorted(stop, np.arange(0, int(stop[-1]) if stop.size else 0, (1 << 22) // (most + 1)))
         for c0, c1 in zip(cuts, [*cuts[1:], at.size]):
             if c1 <= c0:
                 continue
@@ -304,8 +365,8 @@ def _compare(share: Fraction):
             word = np.arange(query.size) - np.repeat(np.cumsum(sp) - sp, sp) + np.repeat(lo[c0:c1], sp)
             largest = size[np.minimum((word + 1) * 64, reach[q[query]]) - 1]
             top = np.maximum(largest, size[q[query]])
-            radius = np.minimum(np.floor(ratio * (size[q[query]] + top) + 1e-9).astype(np.int64), 127)
-            masks = np.where(bits[member[q]].T > 0, ~np.uint64(0), np.uint64(0))
+            radius = np.minimum(np.floor(ratio * (size[q[query]] + top) + 1e-9).astype(np.int64), most)
+            masks = np.where(np.unpackbits(sig[member[q]], axis=1, bitorder="little").T > 0, ~np.uint64(0), np.uint64(0))
             alive, lanes = within_radius(planes, masks, word, query, radius)
             if not alive.size:
                 continue
@@ -315,7 +376,7 @@ def _compare(share: Fraction):
             ok = (b > a) & (b < reach[a])
             a, b = member[a[ok]], member[b[ok]]
             # the radius of the pair itself
-            apart = np.bitwise_count(rec["sig"][a] ^ rec["sig"][b]).sum(axis=1)
+            apart = np.bitwise_count(sig[a] ^ sig[b]).sum(axis=1, dtype=np.int64)
             ok = apart <= ratio * (rec["size"][a].astype(np.int64) + rec["size"][b]) + 1e-9
             found_a.append(a[ok])
             found_b.append(b[ok])
@@ -324,10 +385,16 @@ def _compare(share: Fraction):
         return np.concatenate(found_a), np.concatenate(found_b)
 
     def work(part: np.ndarray, tab: np.ndarray, data: np.ndarray, ends: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Whole parts, rows sorted by part."""
+        """Whole parts, rows sorted by part; a part's rows are of one band."""
+        head = np.frombuffer(data[(ends[:-1, None] + np.arange(HEAD.itemsize)).ravel()].tobytes(), HEAD)
+        for band in np.unique(head["band"]):
+            at = np.flatnonzero(head["band"] == band)
+            fixed = HEAD.itemsize + BANDS[band][1] // 8
+            sig = data[ends[:-1][at][:, None] + np.arange(HEAD.itemsize, fixed)]
+            yield from compare(part[at], tab[at], data, ends[:-1][at] + fixed, (np.diff(ends)[at] - fixed) // 2, head[at], sig)
+
+    def compare(part, tab, data, start, count, rec, sig) -> Iterator[pa.RecordBatch]:
         n = part.size
-        rec = np.frombuffer(data[(ends[:-1, None] + np.arange(HEAD.itemsize)).ravel()].tobytes(), HEAD)
-        count = (np.diff(ends) - HEAD.itemsize) // 2
         _, group, members = np.unique(part, return_inverse=True, return_counts=True)
         sized = members[group]
         row = np.arange(n)
@@ -338,7 +405,7 @@ def _compare(share: Fraction):
         large = np.flatnonzero((sized > WHOLE) & ~bare)
         owner = np.repeat(large, count[large])
         step = np.arange(owner.size) - np.repeat(np.cumsum(count[large]) - count[large], count[large])
-        where = ends[:-1][owner] + HEAD.itemsize + 2 * step
+        where = start[owner] + 2 * step
         code = data[where].astype(np.int64) | (data[where + 1].astype(np.int64) << 8)
         block = np.concatenate((group[small].astype(np.int64) << 16, (group[owner].astype(np.int64) << 16) | 0x8000 | (code >> 1)))
         member = np.concatenate((row[small], owner))
@@ -349,7 +416,7 @@ def _compare(share: Fraction):
         block, member, low = block[order], member[order], low[order]
         _, block, members = np.unique(block, return_inverse=True, return_counts=True)
         keep = members[block] > 1
-        a, b = block_pairs(rec, member[keep], block[keep].astype(np.int64), low[keep])
+        a, b = block_pairs(rec, sig, member[keep], block[keep].astype(np.int64), low[keep])
         if a.size:
             x, y = rec["key"][a], rec["key"][b]
             pair = np.unique(np.stack((tab[a], np.minimum(x, y), np.maximum(x, y))), axis=1)
@@ -411,36 +478,43 @@ def _verify(share: Fraction):
 class NearDuplicates:
     """The classes of equal word sets and the links between them.
 
-    ``rows``: ``tab, key, sa, sb`` of every record that takes part (``sa, sb``
-    name its class). ``classes``: ``tab, sa, sb, rep, copies``. ``links``:
-    ``tab, a, b, similarity``, pairs of class representatives at or above the
-    limit. Everything is written to scratch once.
+    ``rows``: ``tab, key, text, sa, sb`` of every record that takes part (``sa, sb``
+    name its class, ``text`` its string). ``classes``: ``tab, sa, sb, rep,
+    copies``. ``links``: ``tab, a, b, similarity``, pairs of class
+    representatives at or above the limit. Everything is written to scratch once.
     """
 
-    def __init__(self, df: DataFrame, least: int = 14, share: Fraction = Fraction(7, 10)):
+    def __init__(self, df: DataFrame, least: int = 14, share: Fraction = Fraction(7, 10), seeds: int = 5):
         """``df``: ``tab`` int, ``key`` long, ``text`` string. Records of different ``tab`` are never compared."""
         spark = df.sparkSession
         self.scratch = Scratch(spark, "neardup")
         share = Fraction(share)
-        source = spread(df.select(F.col("tab").cast("int"), F.col("key").cast("long"), "text").where("key is not null and text is not null"))
-        sets = source.mapInArrow(_word_sets(least), "tab int, key long, sa long, sb long, words binary")
-        sets = self.scratch.save(sets, "sets")
-        self.rows = sets.select("tab", "key", "sa", "sb").distinct()
+        source = df.select(F.col("tab").cast("int"), F.col("key").cast("long"), F.xxhash64("text").alias("string"), "text").where("tab is not null and key is not null and text is not null")
+        self.seed = 0
+        while True:
+            all_ = self.scratch.save(spread(source).mapInArrow(_word_sets(least, self.seed), "tab int, key long, text long, sa long, sb long, words binary"), "sets")
+            words = all_.where("tab is null").groupBy("sa").agg(F.min("words").alias("lo"), F.max("words").alias("hi"))
+            if words.where("lo <> hi").isEmpty():
+                break
+            self.scratch.drop(all_)
+            self.seed += 1
+            if self.seed == seeds:
+                raise RuntimeError(f"{seeds} seeds in a row gave two words one hash of 64 bits")
+        sets = all_.where("tab is not null")
+        self.rows = sets.select("tab", "key", "text", "sa", "sb").distinct()
         name = ["tab", "sa", "sb"]
-        self.classes = self.scratch.save(self.rows.groupBy(name).agg(F.min("key").alias("rep"), F.count("*").alias("copies")), "classes")
+        self.classes, seen = self.scratch.counted(self.rows.groupBy(name).agg(F.min("key").alias("rep"), F.countDistinct("key").alias("copies")), "classes", total=F.sum("copies"))
         # records that another one stands for
         more = self.classes.where("copies > 1")
-        spare = self.rows.join(more, name).where("key <> rep").select("tab", "key")
-        spare = self.scratch.save(spare, "spare")
+        spare, seen = self.scratch.counted(self.rows.join(more, name).where("key <> rep").select("tab", "key").distinct(), "spare")
         one = sets.select("tab", "key", "words")
-        n_spare = spare.count()
-        if n_spare:
-            one = one.join(F.broadcast(spare) if n_spare <= BROADCAST_ROWS else spare, ["tab", "key"], "left_anti")
+        if seen["rows"]:
+            one = one.join(F.broadcast(spare) if seen["rows"] <= BROADCAST_ROWS else spare, ["tab", "key"], "left_anti")
         # the commonest words, at most ORDERED_WORDS of them, by a bound on their number: total words / count
         counts = sets.select("words").mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
         total = sets.select(F.sum(F.length("words"))).first()[0] or 0
         common = counts.where(F.col("n") > total // WIDTH // ORDERED_WORDS + 1).toArrow()
-        word, n = common["word"].to_numpy().astype(np.uint64), common["n"].to_numpy().astype(np.int64)
+        word, n = common["word"].to_numpy().astype(np.int64).view(np.uint64), common["n"].to_numpy().astype(np.int64)
         order = np.argsort(word)
         held = spark.sparkContext.broadcast((word[order], n[order]))
         sent = one.mapInArrow(_send(held, share), "tab int, part long, record binary")
@@ -449,8 +523,8 @@ class NearDuplicates:
         pairs = self.scratch.save(pairs.distinct(), "candidates")
         # exact check, with the words of candidates only
         ends = pairs.select("tab", F.col("a").alias("key")).union(pairs.select("tab", F.col("b").alias("key"))).distinct()
-        ends = self.scratch.save(ends, "ends")
-        wanted = sets.select("tab", "key", "words").join(F.broadcast(ends) if ends.count() <= BROADCAST_ROWS else ends, ["tab", "key"], "left_semi").dropDuplicates(["tab", "key"])
+        ends, seen = self.scratch.counted(ends, "ends")
+        wanted = sets.select("tab", "key", "words").join(F.broadcast(ends) if seen["rows"] <= BROADCAST_ROWS else ends, ["tab", "key"], "left_semi").dropDuplicates(["tab", "key"])
         left = wanted.select("tab", F.col("key").alias("a"), F.col("words").alias("wa"))
         right = wanted.select("tab", F.col("key").alias("b"), F.col("words").alias("wb"))
         checked = pairs.join(left, ["tab", "a"]).join(right, ["tab", "b"]).select("tab", "a", "b", "wa", "wb")
@@ -459,27 +533,39 @@ class NearDuplicates:
     def pairs(self) -> DataFrame:
         """``tab, key_a, key_b``: pairs of rows.
 
-        Up to ``COPIES`` rows of a class stand for it in full. Each further copy
-        is paired with the class's representative, by which it has the same
-        links.
+        All different texts are paired. Of one identical text, up to ``COPIES``
+        rows stand for it in full; each further copy is paired with the first,
+        by which it has the same links.
         """
         name = ["tab", "sa", "sb"]
-        small = self.classes.select(*name, "rep", "copies")
-        member = self.rows.join(small, name)
+        member = self.rows.join(self.classes.select(*name, "rep", "copies"), name)
         single = member.where("copies = 1").select("tab", "rep", "key")
-        several = member.where("copies > 1")
-        ranked = several.withColumn("copy", F.row_number().over(Window.partitionBy(*name).orderBy("key"))).where(F.col("copy") <= COPIES)
-        kept = self.scratch.save(single.union(ranked.select("tab", "rep", "key")), "kept")
-        a, b = kept.select("tab", F.col("rep").alias("a"), F.col("key").alias("x")), kept.select("tab", F.col("rep").alias("b"), F.col("key").alias("y"))
+        # the limit runs before the shuffle, so a hot text sends at most COPIES rows per task
+        by_text = Window.partitionBy(*name, "text").orderBy("key")
+        several = self.rows.withColumn("copy", F.row_number().over(by_text)).where(F.col("copy") <= COPIES).join(self.classes.where("copies > 1"), name)
+        kept = self.scratch.save(several.select("tab", "rep", "text", "key", "copy"), "kept")
+        ends = self.scratch.save(single.union(kept.select("tab", "rep", "key")), "ends")
+        a, b = ends.select("tab", F.col("rep").alias("a"), F.col("key").alias("x")), ends.select("tab", F.col("rep").alias("b"), F.col("key").alias("y"))
         across = self.links.select("tab", "a", "b").join(a, ["tab", "a"]).join(b, ["tab", "b"]).select("tab", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
-        twin = self.scratch.save(ranked.select("tab", "rep", "key"), "twins")
-        inside = twin.alias("p").join(twin.alias("q"), ["tab", "rep"]).where("p.key < q.key").select("tab", F.col("p.key").alias("key_a"), F.col("q.key").alias("key_b"))
-        far = several.where(F.col("copies") > COPIES).join(twin, ["tab", "rep", "key"], "left_anti").select("tab", F.col("rep").alias("key_a"), F.col("key").alias("key_b"))
+        # inside a class: chunks of it against all of it
+        cut = kept.join(kept.groupBy("tab", "rep").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks")), ["tab", "rep"])
+        p = cut.select("tab", "rep", F.col("key").alias("key_a"), F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int").alias("chunk"))
+        q = cut.select("tab", "rep", F.col("key").alias("key_b"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+        inside = p.join(q, ["tab", "rep", "chunk"]).where("key_a < key_b").select("tab", "key_a", "key_b")
+        far = self._beyond(kept)
         return across.union(inside).union(far)
 
+    def _beyond(self, kept: DataFrame) -> DataFrame:
+        """Copies beyond the limit with the first row of their text."""
+        full = kept.where(F.col("copy") == COPIES).select("tab", "rep", "text")
+        first = kept.where("copy = 1").join(full, ["tab", "rep", "text"], "left_semi").select("tab", "rep", "text", F.col("key").alias("first"))
+        rows = self.rows.join(self.classes.where(F.col("copies") > COPIES), ["tab", "sa", "sb"]).select("tab", "rep", "text", "key")
+        rest = rows.join(first, ["tab", "rep", "text"]).join(kept.select("tab", "rep", "text", "key"), ["tab", "rep", "text", "key"], "left_anti")
+        return rest.select("tab", F.col("first").alias("key_a"), F.col("key").alias("key_b"))
+
     def members(self) -> DataFrame:
         """One row per record: ``tab, key, class_id`` (its representative), ``copies`` and ``links`` to other classes."""
         ends = self.links.select("tab", F.col("a").alias("rep")).union(self.links.select("tab", F.col("b").alias("rep")))
         degree = ends.groupBy("tab", "rep").agg(F.count("*").alias("links"))
-        found = self.rows.join(self.classes, ["tab", "sa", "sb"]).join(degree, ["tab", "rep"], "left")
+        found = self.rows.select("tab", "key", "sa", "sb").distinct().join(self.classes, ["tab", "sa", "sb"]).join(degree, ["tab", "rep"], "left")
         return found.select("tab", "key", F.col("rep").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).alias("links"))

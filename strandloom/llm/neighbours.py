@@ -4,17 +4,22 @@
   and its copies are expanded at the end, so copies neither crowd a leaf nor
   multiply work.
 * Trees are fitted on a bounded sample of ``FIT_ROWS`` directions: a node
-  splits by the plane between two of its sample points. A leaf is meant to
-  hold ``leaf_rows`` vectors of the whole table; where the sample is used up,
-  further planes through the leaf's middle are drawn. Every row is indexed.
-* A query descends all trees with one queue of priorities: the priority of a
-  node is the smallest signed margin on its way. The ``probes`` leaves of the
-  highest priority over all trees are searched. Priorities never rise on the
-  way down, so these are the leaves that a best-first search pops first; they
-  are found for a block of queries at once.
-* A leaf's vectors are compared with its queries by their exact cosine. A leaf
-  that holds too many vectors is split into blocks, and its queries visit them
-  all.
+  splits by the plane between two centres of its sample points. Where a node
+  has fewer than ``FIT_LEAF`` points and still too many rows of the table, it is
+  split on by random planes through its middle, one for each further depth of a
+  tree. They take no room, so leaves grow in number with the table and hold
+  ``leaf_rows`` vectors on average, while the forest that is broadcast is
+  bounded by the sample. Every row is indexed.
+* A query descends all trees with one queue of at most ``probes`` nodes: the
+  priority of a node is the least of its margins against the query on its way.
+  The near child keeps its parent's priority, so the nodes that a best-first
+  search over all trees would pop are always among the ``probes`` first of a
+  depth, and the queue can be cut there without loss.
+* Ids go to the leaves with vectors of one byte a number and the length of the
+  rounding error, which bounds every cosine from both sides. What can't be
+  among the ``k`` best by these bounds is dropped in the leaf and once more per
+  query; the few that are left are reranked by their exact cosine. A leaf that
+  holds too many vectors is split into blocks, and its queries visit them all.
 
 Defined results: vectors that are null, of another length than ``dim``, hold
 nulls, NaN or infinities, or are all zero take no part; ties in cosine go to
@@ -35,9 +40,11 @@ from strandloom.runtime import BROADCAST_ROWS, Scratch, spread
 
 #: Directions that the trees are fitted on at most; those of smallest hash.
 FIT_ROWS = 20_000
-#: Leaves of a tree at most; the forest is broadcast, and this bounds it to 4 MB a tree of 64 dimensions.
-MAX_LEAVES = 16_384
+#: Sample points of a node below which its planes are no longer fitted; nodes of a tree are at most FIT_ROWS / FIT_LEAF.
+FIT_LEAF = 16
 BLOCK_ROWS = 8_192
+#: Trees, vectors of a leaf on average, and leaves that a query searches for each depth of a tree.
+TREES, LEAF_ROWS, PROBES_A_DEPTH = 8, 256, 5
 
 
 def _flat(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,83 +82,130 @@ def _units(dim: int):
     return run
 
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+def _bytes(column: pa.Array, width: int) -> np.ndarray:
+    """A binary column of one width, [row, byte]."""
     column = column.cast(pa.large_binary())
     ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
-    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view("<f4").reshape(-1, dim)
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, width)
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return _bytes(column, 4 * dim).view("<f4")
+
+
+def coded(x: np.ndarray) -> np.ndarray:
+    """Unit vectors in one byte a number: scale, length of the rounding error, codes."""
+    scale = np.abs(x).max(axis=1) / 127
+    code = np.rint(x / scale[:, None])
+    error = np.sqrt(((x - code * scale[:, None]) ** 2).sum(axis=1)) + 1e-6
+    out = np.zeros((x.shape[0], 8 + x.shape[1]), np.uint8)
+    out[:, :4] = scale.astype("<f4")[:, None].view(np.uint8)
+    out[:, 4:8] = error.astype("<f4")[:, None].view(np.uint8)
+    out[:, 8:] = code.astype(np.int8).view(np.uint8)
+    return out
+
+
+def decoded(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rounded vectors and the lengths of their errors."""
+    head = np.ascontiguousarray(data[:, :8]).view("<f4")
+    return data[:, 8:].view(np.int8).astype(np.float32) * head[:, :1], head[:, 1]
 
 
 class Forest:
-    """Planes and children of all trees. ``down[k]`` holds the nodes of depth k; a child below 0 is leaf ``-1 - child``."""
+    """Planes and children of all trees; a child below 0 is the fitted leaf ``-1 - child``, which ``extra`` random planes split on."""
 
     def __init__(self, sample: np.ndarray, rows: int, trees: int, leaf_rows: int, seed: int):
         rng = np.random.default_rng(seed)
         self.dim = sample.shape[1]
-        planes, offsets, kids = [], [], []
-        self.roots, self.leaves = [], 0
-        want = max(1, min(MAX_LEAVES, -(-rows // leaf_rows)))
-        for _ in range(trees):
-            made = 0
-
-            def grow(points: np.ndarray, share: float) -> int:
-                nonlocal made
-                if share * want <= 1.0 or made >= MAX_LEAVES:
-                    made += 1
-                    self.leaves += 1
-                    return -self.leaves
-                plane = offset = None
-                if len(points) >= 2:
-                    for _ in range(3):
-                        # two centres, moved a few times to the middle of their halves
-                        i, j = rng.choice(len(points), 2, replace=False)
-                        p, q = points[i], points[j]
-                        for _ in range(3):
-                            near = points @ (p - q) > ((p * p).sum() - (q * q).sum()) / 2
-                            if near.all() or not near.any():
-                                break
-                            p, q = points[near].mean(axis=0), points[~near].mean(axis=0)
-                        normal = p - q
-                        size = np.sqrt((normal * normal).sum())
-                        if size < 1e-6:
-                            continue
-                        normal = normal / size
-                        side = points @ normal
-                        cut = float(np.median(side))
-                        if (side > cut).any() and (side <= cut).any():
-                            plane, offset = normal, cut
-                            break
-                if plane is None:
-                    plane = rng.standard_normal(self.dim)
-                    plane /= np.sqrt((plane * plane).sum())
-                    offset = float(points.mean(axis=0) @ plane) if len(points) else 0.0
-                me = len(planes)
-                planes.append(plane.astype(np.float32))
-                offsets.append(offset)
-                kids.append([0, 0])
-                side = points @ plane if len(points) else np.zeros(0)
-                kids[me][0] = grow(points[side <= offset], share / 2)
-                kids[me][1] = grow(points[side > offset], share / 2)
-                return me
+        planes, offsets, kids, centres, tree_of = [], [], [], [], []
+        self.roots: list[int] = []
+        want = max(1, -(-rows // leaf_rows))
+
+        def plane_of(points: np.ndarray) -> tuple[np.ndarray, float] | None:
+            for _ in range(3):
+                # two centres, moved a few times to the middle of their halves
+                i, j = rng.choice(len(points), 2, replace=False)
+                p, q = points[i], points[j]
+                for _ in range(3):
+                    near = points @ (p - q) > ((p * p).sum() - (q * q).sum()) / 2
+                    if near.all() or not near.any():
+                        break
+                    p, q = points[near].mean(axis=0), points[~near].mean(axis=0)
+                size = np.sqrt(((p - q) ** 2).sum())
+                if size < 1e-6:
+                    continue
+                normal = (p - q) / size
+                side = points @ normal
+                cut = float(np.median(side))
+                if (side > cut).any() and (side <= cut).any():
+                    return normal, cut
+            return None
+
+        def grow(points: np.ndarray, share: float) -> int:
+            found = plane_of(points) if share * want > 1.0 and len(points) >= max(2, FIT_LEAF) else None
+            if found is None:
+                centres.append(points.mean(axis=0) if len(points) else np.zeros(self.dim))
+                tree_of.append(len(self.roots))
+                return -len(centres)
+            me = len(planes)
+            planes.append(found[0].astype(np.float32))
+            offsets.append(found[1])
+            kids.append([0, 0])
+            side = points @ found[0] > found[1]
+            kids[me][0] = grow(points[~side], share / 2)
+            kids[me][1] = grow(points[side], share / 2)
+            return me
 
+        for _ in range(trees):
             self.roots.append(grow(sample, 1.0))
         self.planes = np.array(planes, np.float32).reshape(-1, self.dim)
         self.offsets = np.array(offsets, np.float32)
         self.kids = np.array(kids, np.int64).reshape(-1, 2)
-
-    def priorities(self, x: np.ndarray) -> np.ndarray:
-        """Priority of every leaf for every query, [query, leaf]."""
-        side = x @ self.planes.T - self.offsets
-        out = np.empty((x.shape[0], self.leaves), np.float32)
-        todo = [(root, None) for root in self.roots]
-        while todo:
-            node, p = todo.pop()
-            if node < 0:
-                out[:, -1 - node] = np.inf if p is None else p
-                continue
-            s = side[:, node]
-            todo.append((self.kids[node][0], -s if p is None else np.minimum(p, -s)))
-            todo.append((self.kids[node][1], s if p is None else np.minimum(p, s)))
-        return out
+        self.tree = np.array(tree_of, np.int64)
+        # further depths: as many as the fullest trees need
+        fitted = np.bincount(self.tree, minlength=trees).min() if trees else 1
+        self.extra = max(0, int(np.ceil(np.log2(want / max(1, fitted)) - 1e-9)))
+        more = rng.standard_normal((trees, self.extra, self.dim))
+        self.more = (more / np.sqrt((more * more).sum(axis=2, keepdims=True))).astype(np.float32)
+        middle = np.array(centres, np.float32).reshape(-1, self.dim)
+        self.cuts = np.einsum("ld,led->le", middle, self.more[self.tree]).astype(np.float32)
+        self.leaves = len(centres) << self.extra
+
+    def seek(self, x: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray]:
+        """The leaves of the ``probes`` highest priorities over all trees, [query, probe], -1 where there are fewer; and the nodes looked at."""
+        n = x.shape[0]
+        node = np.tile(np.array(self.roots, np.int64), (n, 1))
+        rank = np.zeros(node.shape, np.float32)
+        looked = np.zeros(n, np.int64)
+        row = np.arange(n)[:, None]
+
+        def cut(node: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if node.shape[1] <= probes:
+                return node, rank
+            best = np.argpartition(-rank, probes - 1, axis=1)[:, :probes]
+            return node[row, best], rank[row, best]
+
+        node, rank = cut(node, rank)
+        while ((node >= 0) & (rank > -np.inf)).any():
+            inner = (node >= 0) & (rank > -np.inf)
+            q, at = np.nonzero(inner)
+            looked += inner.sum(axis=1)
+            which = node[q, at]
+            side = np.einsum("ij,ij->i", x[q], self.planes[which]) - self.offsets[which]
+            right = (side > 0).astype(np.int64)
+            far_node, far_rank = np.full(node.shape, -1), np.full(node.shape, -np.inf, np.float32)
+            far_node[q, at] = self.kids[which, 1 - right]
+            far_rank[q, at] = np.minimum(rank[q, at], -np.abs(side))
+            node[q, at] = self.kids[which, right]
+            node, rank = cut(np.concatenate((node, far_node), axis=1), np.concatenate((rank, far_rank), axis=1))
+        leaf = np.where(rank > -np.inf, -1 - node, 0)
+        for depth in range(self.extra):
+            top = leaf >> depth
+            side = np.einsum("qd,qpd->qp", x, self.more[self.tree[top], depth]) - self.cuts[top, depth]
+            looked += (rank > -np.inf).sum(axis=1)
+            near = (leaf << 1) | (side > 0)
+            leaf, rank = cut(np.concatenate((near, near ^ 1), axis=1), np.concatenate((rank, np.where(rank > -np.inf, np.minimum(rank, -np.abs(side)), -np.inf)), axis=1))
+        return np.where(rank > -np.inf, leaf, -1), looked
 
     def home(self, x: np.ndarray) -> np.ndarray:
         """The leaf of every vector in every tree, [vector, tree]."""
@@ -162,58 +216,55 @@ class Forest:
                 n = node[inner]
                 side = np.einsum("ij,ij->i", x[inner], self.planes[n]) > self.offsets[n]
                 node[inner] = self.kids[n, side.astype(np.int64)]
-            out[:, t] = -1 - node
+            leaf = top = -1 - node
+            for depth in range(self.extra):
+                leaf = (leaf << 1) | (x @ self.more[t, depth] > self.cuts[top, depth])
+            out[:, t] = leaf
         return out
 
 
+#: Queries that descend at once.
+STEP = 2_048
+
+
 def _visits(held, dim: int, probes: int, blocks):
     """A row per leaf that a vector lives in (role bit 1) or searches (role bit 2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, many = held.value, blocks.value
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            x, asks = _matrix(batch.column(2), dim), batch.column(1).to_numpy(zero_copy_only=False)
-            ids = batch.column(0).to_numpy()
-            home = forest.home(x)
-            step = max(1, (8 << 20) // max(1, forest.leaves))
-            for lo in range(0, n, step):
-                hi = min(n, lo + step)
-                live = (np.repeat(np.arange(lo, hi), home.shape[1]), home[lo:hi].ravel())
-                who = np.flatnonzero(asks[lo:hi]) + lo
-                if who.size:
-                    score = forest.priorities(x[who])
-                    top = min(probes, forest.leaves)
-                    best = np.argpartition(-score, top - 1, axis=1)[:, :top]
-                    seek = (np.repeat(who, top), best.ravel())
-                else:
-                    seek = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-                rows = np.concatenate((live[0], seek[0]))
-                leaf = np.concatenate((live[1], seek[1]))
-                role = np.repeat([1, 2], [live[0].size, seek[0].size])
+        for whole in batches:
+            for batch in (whole.slice(at, STEP) for at in range(0, whole.num_rows, STEP)):
+                x, asks = _matrix(batch.column(2), dim), batch.column(1).to_numpy(zero_copy_only=False)
+                ids = batch.column(0).to_numpy()
+                home = forest.home(x)
+                who = np.flatnonzero(asks)
+                best = forest.seek(x[who], probes)[0] if who.size else np.zeros((0, 1), np.int64)
+                rows = np.concatenate((np.repeat(np.arange(x.shape[0]), home.shape[1]), np.repeat(who, best.shape[1])))
+                leaf = np.concatenate((home.ravel(), best.ravel()))
+                role = np.repeat([1, 2], [home.size, best.size])
+                rows, leaf, role = rows[leaf >= 0], leaf[leaf >= 0], role[leaf >= 0]
                 # a split leaf: a vector lives in one block, a query visits all
-                split = many.get("leaf")
-                if split is not None and split.size:
+                split = many["leaf"]
+                count = np.ones(leaf.size, np.int64)
+                if split.size:
                     at = np.minimum(np.searchsorted(split, leaf), split.size - 1)
                     count = np.where(split[at] == leaf, many["blocks"][at], 1)
-                else:
-                    count = np.ones(leaf.size, np.int64)
                 times = np.where(role == 1, 1, count)
                 own = (textform.mix(ids[rows].astype(np.uint64)) % count.astype(np.uint64)).astype(np.int64)
                 again = np.repeat(np.arange(rows.size), times)
                 block = np.where(role[again] == 1, own[again], np.arange(again.size) - np.repeat(np.cumsum(times) - times, times))
-                key = (leaf[again] << 20) | block
-                rows, role = rows[again], role[again]
-                order = np.lexsort((rows, key))
-                key, rows, role = key[order], rows[order], role[order]
-                new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (rows[1:] != rows[:-1]))))
+                leaf, rows, role = leaf[again], rows[again], role[again]
+                order = np.lexsort((rows, block, leaf))
+                leaf, block, rows, role = leaf[order], block[order], rows[order], role[order]
+                new = np.flatnonzero(np.concatenate(([True], (leaf[1:] != leaf[:-1]) | (block[1:] != block[:-1]) | (rows[1:] != rows[:-1]))))
                 role = np.bitwise_or.reduceat(role, new)
-                key, rows = key[new], rows[new]
-                for c in range(0, rows.size, 20_000):
-                    take = pa.array(rows[c : c + 20_000])
-                    yield pa.RecordBatch.from_arrays([pa.array(key[c : c + 20_000]), pa.array(role[c : c + 20_000].astype(np.int32)), batch.column(0).take(take), batch.column(2).take(take)], ["leaf", "role", "id", "vec"])
+                leaf, block, rows = leaf[new], block[new], rows[new]
+                codes = coded(x.astype(np.float64))
+                for c in range(0, rows.size, 50_000):
+                    some = rows[c : c + 50_000]
+                    data = np.ascontiguousarray(codes[some]).reshape(-1)
+                    packed = pa.Array.from_buffers(pa.binary(), some.size, [None, pa.py_buffer((np.arange(some.size + 1) * (8 + dim)).astype(np.int32)), pa.py_buffer(data)])
+                    yield pa.RecordBatch.from_arrays([pa.array(leaf[c : c + 50_000]), pa.array(block[c : c + 50_000].astype(np.int32)), pa.array(role[c : c + 50_000].astype(np.int8)), batch.column(0).take(pa.array(some)), packed], ["leaf", "block", "role", "id", "code"])
 
     return run
 
@@ -228,99 +279,121 @@ def _leaf_sizes(held, dim: int):
     return run
 
 
-def _rerank(dim: int, k: int, floor: float):
-    """The best k of each query in each leaf; rows are sorted by leaf."""
+def _shortlist(dim: int, k: int, floor: float):
+    """Of each query in each leaf, those that can be among the best k; rows are sorted by leaf and block."""
 
-    def best(ids: np.ndarray, role: np.ndarray, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def best(ids: np.ndarray, role: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
         data, asks = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
         if not data.size or not asks.size:
             return
-        order = np.argsort(ids[data])
-        data = data[order]
+        x, error = decoded(codes)
+        y, ey = x[data], error[data]
         for lo in range(0, asks.size, 1024):
             q = asks[lo : lo + 1024]
-            s = x[q] @ x[data].T
-            s[ids[q][:, None] == ids[data][None, :]] = -2
-            if floor > -1:
-                row, col = np.nonzero(s >= floor)
-                if row.size:
-                    value = s[row, col]
-                    order = np.lexsort((ids[data[col]], -value, row))
-                    row, col, value = row[order], col[order], value[order]
-                    rank = np.arange(row.size) - np.searchsorted(row, row)
-                    row, col, value = row[rank < k], col[rank < k], value[rank < k]
+            s = x[q] @ y.T
+            # both rounded vectors are off by no more than their errors
+            slack = error[q][:, None] * (1 + ey)[None, :] + ey[None, :]
+            low, high = s - slack, s + slack
+            self_ = ids[q][:, None] == ids[data][None, :]
+            low[self_], high[self_] = -3, -3
+            if data.size > k:
+                kth = -np.partition(-low, k - 1, axis=1)[:, k - 1]
+                row, col = np.nonzero((high >= kth[:, None]) & (high >= floor) & ~self_)
             else:
-                top = min(k, data.size)
-                col = np.argsort(-s, axis=1, kind="stable")[:, :top] if data.size <= 64 else np.argpartition(-s, top - 1, axis=1)[:, :top]
-                row, col = np.repeat(np.arange(q.size), top), col.ravel()
-                value = s[row, col]
-                ok = value > -1.5
-                row, col, value = row[ok], col[ok], value[ok]
+                row, col = np.nonzero((high >= floor) & ~self_)
             if row.size:
-                yield pa.RecordBatch.from_arrays([pa.array(ids[q[row]]), pa.array(ids[data[col]]), pa.array(value.astype(np.float64))], ["id", "other", "cosine"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q[row]]), pa.array(ids[data[col]]), pa.array(low[row, col]), pa.array(high[row, col])], ["id", "other", "low", "high"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
+        at = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            leaf = batch.column(0).to_numpy()
-            cuts = [0, *(np.flatnonzero(leaf[1:] != leaf[:-1]) + 1).tolist(), leaf.size]
-            parts = (batch.column(2).to_numpy(), batch.column(1).to_numpy(), _matrix(batch.column(3), dim))
+            leaf, block = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = [0, *(np.flatnonzero((leaf[1:] != leaf[:-1]) | (block[1:] != block[:-1])) + 1).tolist(), leaf.size]
+            parts = (batch.column(3).to_numpy(), batch.column(2).to_numpy(), _bytes(batch.column(4), 8 + dim))
             for a, b in zip(cuts, cuts[1:]):
-                if held and held[0][0] != leaf[a]:
-                    yield from best(*(np.concatenate(p) for p in zip(*(h[1:] for h in held))))
+                if held and at != (leaf[a], block[a]):
+                    yield from best(*(np.concatenate(p) for p in zip(*held)))
                     held = []
-                held.append((leaf[a], *(p[a:b] for p in parts)))
+                at = (leaf[a], block[a])
+                held.append(tuple(p[a:b] for p in parts))
         if held:
-            yield from best(*(np.concatenate(p) for p in zip(*(h[1:] for h in held))))
+            yield from best(*(np.concatenate(p) for p in zip(*held)))
+
+    return run
+
+
+def _exact(dim: int):
+    """The exact cosine of pairs of vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = _matrix(batch.column(2), dim).astype(np.float64), _matrix(batch.column(3), dim).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.einsum("ij,ij->i", x, y))], ["id", "other", "cosine"])
 
     return run
 
 
-def nearest(vectors: DataFrame, k: int = 10, id: str = "vec_id", vector: str = "embedding", queries: str = "true", floor: float = -1.0, dim: int = 64, trees: int = 8, leaf_rows: int = 256, probes: int = 16, seed: int = 5) -> DataFrame:
+def nearest(vectors: DataFrame, k: int = 10, id: str = "vec_id", vector: str = "embedding", queries: str = "true", floor: float = -1.0, dim: int = 64, trees: int = TREES, leaf_rows: int = LEAF_ROWS, probes: int | None = None, seed: int = 5) -> DataFrame:
     """``id, other, cosine``: the ``k`` others of highest cosine for every vector that satisfies the condition ``queries`` on ``id``.
 
     With ``floor``, of these only the ones whose cosine reaches it; candidates
-    below it are then dropped in the leaf.
+    below it are then dropped in the leaf. Without ``probes``, their number
+    grows with the depth of the trees, as ``PROBES_A_DEPTH``.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "neighbours")
     context = spark.sparkContext
     rows = spread(vectors.select(F.col(id).cast("long").alias("id"), F.col(vector).alias("v")).where("id is not null and v is not null"))
-    units = rows.mapInArrow(_units(dim), "id long, da long, db long, vec binary")
-    units = scratch.save(units, "units")
+    units, seen = scratch.counted(rows.mapInArrow(_units(dim), "id long, da long, db long, vec binary"), "units")
+    all_units = seen["rows"]
     asked = units.select("id", "da", "db").groupBy("id").agg(F.min(F.struct("da", "db")).alias("d")).select("id", "d.da", "d.db")
-    asked = scratch.save(asked.withColumn("asks", F.expr(queries.replace(id, "id"))), "ids")
+    asked, seen = scratch.counted(asked.withColumn("asks", F.expr(queries.replace(id, "id"))), "ids")
+    repeated = all_units > seen["rows"]
     direction = ["da", "db"]
     classes = asked.groupBy(direction).agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.max(F.col("asks").cast("int")).alias("asks"))
-    classes = scratch.save(classes, "classes")
-    size = classes.count()
+    classes, seen = scratch.counted(classes, "classes", asking=F.count_if(F.col("asks") == 1))
+    size, asking = seen["rows"], seen["asking"]
     if not size:
         return spark.createDataFrame([], "id long, other long, cosine double")
     # one row per class: the others are few and sent along, or, if they are many, joined
-    spare = scratch.save(asked.join(classes.where("copies > 1"), direction).where("id <> rep").select("id"), "spare")
-    reps = units.dropDuplicates(["id"]) if units.count() > asked.count() else units
-    n_spare = spare.count()
+    spare, seen = scratch.counted(asked.join(classes.where("copies > 1"), direction).where("id <> rep").select("id"), "spare")
+    n_spare = seen["rows"]
+    reps = units
+    if repeated:  # of an id given twice, the smallest vector
+        reps = units.join(asked.select("id", "da", "db"), ["id", "da", "db"], "left_semi").dropDuplicates(["id"])
     if n_spare:
         reps = reps.join(F.broadcast(spare) if n_spare <= BROADCAST_ROWS else spare, "id", "left_anti")
+    reps = reps.select("id", "vec")
     # a class asks if any of its members does
-    if queries == "true":
-        reps = reps.select("id", F.lit(True).alias("asks"), "vec")
+    if asking == size:
+        sent = reps.select("id", F.lit(True).alias("asks"), "vec")
     else:
-        askers = scratch.save(classes.where("asks = 1").select(F.col("rep").alias("id"), F.lit(True).alias("asks")), "askers")
-        reps = reps.join(F.broadcast(askers) if askers.count() <= BROADCAST_ROWS else askers, "id", "left").select("id", F.coalesce("asks", F.lit(False)).alias("asks"), "vec")
+        askers = classes.where("asks = 1").select(F.col("rep").alias("id"), F.lit(True).alias("asks"))
+        sent = reps.join(F.broadcast(askers) if asking <= BROADCAST_ROWS else askers, "id", "left").select("id", F.coalesce("asks", F.lit(False)).alias("asks"), "vec")
     sample = units.select("vec", F.xxhash64("da", "db").alias("h")).orderBy("h").limit(FIT_ROWS).select("vec").toArrow()
-    sample = np.unique(_matrix(sample["vec"].combine_chunks() if not isinstance(sample["vec"].combine_chunks(), pa.ChunkedArray) else pa.concat_arrays(sample["vec"].chunks), dim), axis=0)
-    held = context.broadcast(Forest(sample.astype(np.float64), size, trees, leaf_rows, seed))
+    sample = np.unique(np.concatenate([_matrix(chunk, dim) for chunk in sample["vec"].chunks if len(chunk)]), axis=0)
+    forest = Forest(sample.astype(np.float64), size, trees, leaf_rows, seed)
+    probes = probes or PROBES_A_DEPTH * max(1, int(np.ceil(np.log2(forest.leaves / trees))))
+    held = context.broadcast(forest)
     # leaves that hold more than a block: at most rows / BLOCK_ROWS of each tree
     big = reps.select("vec").mapInArrow(_leaf_sizes(held, dim), "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).where(F.col("n") > BLOCK_ROWS).orderBy("leaf").toArrow()
     blocks = context.broadcast({"leaf": big["leaf"].to_numpy(), "blocks": -(-big["n"].to_numpy() // BLOCK_ROWS)})
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
-    visits = reps.mapInArrow(_visits(held, dim, probes, blocks), "leaf long, role int, id long, vec binary")
-    close = visits.repartition(tasks, "leaf").sortWithinPartitions("leaf").mapInArrow(_rerank(dim, k, floor), "id long, other long, cosine double")
+    visits = sent.mapInArrow(_visits(held, dim, probes, blocks), "leaf long, block int, role byte, id long, code binary")
+    short = visits.repartition(tasks, "leaf", "block").sortWithinPartitions("leaf", "block").mapInArrow(_shortlist(dim, k, floor), "id long, other long, low float, high float")
+    short = short.groupBy("id", "other").agg(F.max("low").alias("low"), F.min("high").alias("high"))
+    # a pair that k others surely surpass is out
+    by_low = Window.partitionBy("id").orderBy(F.desc("low"), "other")
+    short = short.withColumn("r", F.row_number().over(by_low)).withColumn("kth", F.max(F.when(F.col("r") == k, F.col("low"))).over(Window.partitionBy("id")))
+    short = scratch.save(short.where("kth is null or high >= kth").select("id", "other"), "short")
+    ends = short.join(reps, "id").select("id", "other", F.col("vec").alias("x")).join(reps.select(F.col("id").alias("other"), F.col("vec").alias("y")), "other").select("id", "other", "x", "y")
     top = lambda by: Window.partitionBy(by).orderBy(F.desc("cosine"), "other")
-    close = close.groupBy("id", "other").agg(F.max("cosine").alias("cosine")).withColumn("r", F.row_number().over(top("id"))).where(F.col("r") <= k).drop("r")
+    close = ends.mapInArrow(_exact(dim), "id long, other long, cosine double").where(F.col("cosine") >= floor)
+    close = close.withColumn("r", F.row_number().over(top("id"))).where(F.col("r") <= k).drop("r")
     if not n_spare:
         return close
     close = scratch.save(close, "close")

@@ -13,12 +13,12 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return neighbours.close_pairs(_table(spark, folder, "skill_vectors"), k=10, floor=0.9)
+    return neighbours.close_pairs(_table(spark, folder, "skill_vectors"), k=10, floor=0.9, probes=12)
 
 
 def p3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
-    """The 10 nearest of every vector whose id is divisible by 50, against all; as many probes as a recall of 0.9 needs."""
-    near = neighbours.nearest(_table(spark, folder, "skill_vectors"), k=10, queries="vec_id % 50 = 0", probes=256)
+    """The 10 nearest of every vector whose id is divisible by 50, against all."""
+    near = neighbours.nearest(_table(spark, folder, "skill_vectors"), k=10, queries="vec_id % 50 = 0")
     return near.select(F.col("id").alias("vec_id"), F.col("other").alias("neighbour"), F.round("cosine", 6).alias("cosine"))
 
 
@@ -60,6 +60,13 @@ def p6_forms(spark: SparkSession, folder: str) -> DataFrame:
     return skills.union(items)
 
 
+def p6_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose text looks like another string of their table: their class, their string, and the strings of the class."""
+    skills = visual.alike_classes(_table(spark, folder, "skills"), "rec_id", "title").withColumn("tab", F.lit("skills"))
+    items = visual.alike_classes(_table(spark, folder, "cf_items"), "item_no", "fullstatement").withColumn("tab", F.lit("cf_items"))
+    return skills.unionByName(items)
+
+
 TABS = ["skills", "cf_items"]
 
 
@@ -90,6 +97,12 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.report(_table(spark, folder, "documents"), _table(spark, folder, "eval_items"))
 
 
+def p8_containment(spark: SparkSession, folder: str) -> DataFrame:
+    """How much of each leaked item every document holds, in shingles of five words."""
+    documents, items = _table(spark, folder, "documents"), _table(spark, folder, "eval_items")
+    return leakage.containment(documents, items, leakage.leaks(documents, items))
+
+
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.Mixture(_table(spark, folder, "documents"), _table(spark, folder, "mix_targets")).chosen
 
@@ -108,8 +121,8 @@ def p10_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_records": p4_records, "p5_found": p5_found, "p6_found": p6_found, "p6_forms": p6_forms,
-    "p7_found": p7_found, "p7_classes": p7_classes, "p8_found": p8_found, "p8_report": p8_report, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_paragraphs": p10_paragraphs,
+    "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_records": p4_records, "p5_found": p5_found, "p6_found": p6_found, "p6_forms": p6_forms, "p6_classes": p6_classes,
+    "p7_found": p7_found, "p7_classes": p7_classes, "p8_found": p8_found, "p8_report": p8_report, "p8_containment": p8_containment, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_paragraphs": p10_paragraphs,
 }
 
 
@@ -154,6 +167,17 @@ def _alike(tab: str, key: str, text: str) -> str:
 FROM (SELECT {key} AS k, {text} AS x, {_form(text)} AS f FROM {tab}) a JOIN (SELECT {key} AS k, {text} AS x, {_form(text)} AS f FROM {tab}) b ON a.f = b.f AND a.k < b.k AND a.x <> b.x"""
 
 
+_NEAR = f"""
+WITH sets AS (
+  SELECT tab, k, list_sort(list_distinct(w)) AS s FROM (
+    SELECT 'skills' AS tab, rec_id AS k, {_words("coalesce(title, '') || ' ' || coalesce(description, '')")} AS w FROM skills
+    UNION ALL SELECT 'cf_items', item_no, {_words('fullstatement')} FROM cf_items WHERE fullstatement IS NOT NULL) WHERE len(list_distinct(w)) >= 14),
+flat AS (SELECT tab, k, unnest(s) AS w FROM sets),
+common AS (SELECT x.tab, x.k AS a, y.k AS b, count(*) AS c FROM flat x JOIN flat y ON x.tab = y.tab AND x.w = y.w AND x.k < y.k GROUP BY 1, 2, 3),
+near AS (SELECT c.tab, a, b FROM common c JOIN sets p ON p.tab = c.tab AND p.k = a JOIN sets q ON q.tab = c.tab AND q.k = b WHERE 10 * c >= 7 * (len(p.s) + len(q.s) - c)),
+both_ways AS (SELECT tab, a, b FROM near UNION ALL SELECT tab, b, a FROM near)
+"""
+
 ORACLE = {
     "p3_found": """
 WITH usable AS (
@@ -172,10 +196,23 @@ reach AS (SELECT a AS id, a AS other FROM links UNION SELECT r.id, l.b FROM reac
 SELECT id, min(other) AS group_id FROM reach GROUP BY id""",
     "p6_found": _alike("skills", "rec_id", "title") + " UNION ALL " + _alike("cf_items", "item_no", "fullstatement"),
     "p6_forms": f"SELECT 'skills' AS tab, rec_id AS key, {_form('title')} AS form FROM skills UNION ALL SELECT 'cf_items', item_no, {_form('fullstatement')} FROM cf_items",
+    "p7_found": _NEAR + "SELECT tab, a AS key_a, b AS key_b FROM near",
+    "p7_classes": _NEAR
+    + """, c AS (SELECT tab, k, min(k) OVER (PARTITION BY tab, s) AS class_id, count(*) OVER (PARTITION BY tab, s) AS copies FROM sets),
+l AS (SELECT a.tab, a.class_id, count(DISTINCT b.class_id) AS links FROM both_ways n JOIN c a ON a.tab = n.tab AND a.k = n.a JOIN c b ON b.tab = n.tab AND b.k = n.b WHERE a.class_id <> b.class_id GROUP BY 1, 2)
+SELECT c.tab, k AS key, class_id, copies, coalesce(links, 0) AS links FROM c LEFT JOIN l USING (tab, class_id)""",
     "p8_found": f"""
 WITH d AS (SELECT doc_id, {_words('text')} AS w FROM documents), e AS (SELECT item_id, {_words('text')} AS w FROM eval_items),
 dw AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 9], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 8)) AS i FROM d)),
 ew AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 9], ' ') AS run FROM (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS i FROM e))
 SELECT DISTINCT doc_id, item_id FROM dw JOIN ew USING (run)""",
 }
+_CLASSES = """SELECT '{0}' AS tab, k AS key, min(k) OVER (PARTITION BY f) AS class_id, min(k) OVER (PARTITION BY x) AS string_id, n AS strings
+FROM (SELECT {1} AS k, {2} AS x, {3} AS f FROM {0} WHERE {2} IS NOT NULL) JOIN (SELECT {3} AS f, count(DISTINCT {2}) AS n FROM {0} WHERE {2} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {2}) > 1) USING (f)"""
+ORACLE["p6_classes"] = _CLASSES.format("skills", "rec_id", "title", _form("title")) + " UNION ALL " + _CLASSES.format("cf_items", "item_no", "fullstatement", _form("fullstatement"))
+ORACLE["p8_containment"] = f"""
+WITH leaks AS ({ORACLE['p8_found']}), d AS (SELECT doc_id, {_words('text')} AS w FROM documents SEMI JOIN leaks USING (doc_id)), e AS (SELECT item_id, {_words('text')} AS w FROM eval_items),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+es AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM e))
+SELECT doc_id, item_id, n AS shingles, count(*) AS held FROM leaks JOIN es USING (item_id) JOIN ds USING (doc_id, s) JOIN (SELECT item_id, count(*) AS n FROM es GROUP BY 1) USING (item_id) GROUP BY 1, 2, 3"""
 ORACLE["p8_report"] = f"SELECT item_id, count(*) AS documents FROM ({ORACLE['p8_found']}) GROUP BY item_id"

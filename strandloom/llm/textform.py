@@ -305,7 +305,7 @@ class _Powers:
         return cls.up, cls.down
 
 
-def words(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(cps: np.ndarray, offsets: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The lower-case runs of letters and digits: 64-bit hash, first and past-last code point of each word, and each row's offset into them."""
     t = tables()
     if not cps.size:
@@ -319,6 +319,6 @@ def words(cps: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     starts, ends = np.flatnonzero(begin), np.flatnonzero(end) + 1
     up, down = _Powers.get(cps.size)
     total = np.zeros(cps.size + 1, np.uint64)
-    np.cumsum(mix(t.lower[cps].astype(np.uint64) + np.uint64(1)) * up[: cps.size], out=total[1:])
+    np.cumsum(mix(t.lower[cps].astype(np.uint64) + np.uint64(1 + (seed << 32))) * up[: cps.size], out=total[1:])
     hashes = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
     return hashes, starts, ends, _offsets(begin, offsets)

@@ -23,15 +23,20 @@ def test_alike_pairs(spark):
     assert visual.alike_pairs(df.where("false"), "key", "text").count() == 0
 
 
-def test_alike_hot_group_keeps_every_row(spark, monkeypatch):
+def test_alike_hot_group_keeps_every_link(spark, monkeypatch):
     monkeypatch.setattr(visual, "COPIES", 3)
-    monkeypatch.setattr(visual, "TEXTS", 2)
-    rows = [(i, "talk") for i in range(50)] + [(50 + i, "t" + "​" * (i + 1) + "alk") for i in range(6)]
-    got = pairs(visual.alike_pairs(spark.createDataFrame(rows, "key int, text string"), "key", "text"), "key_a", "key_b")
+    monkeypatch.setattr(visual, "CHUNK", 10)
+    rows = [(i, "talk") for i in range(50)] + [(50 + i, "t" + "\u200b" * (i + 1) + "alk") for i in range(45)]
+    df = spark.createDataFrame(rows, "key int, text string")
+    got = pairs(visual.alike_pairs(df, "key", "text"), "key_a", "key_b")
     text = dict(rows)
     assert all(text[a] != text[b] for a, b in got)
     assert {x for p in got for x in p} == set(text)
-    assert len(got) < 100
+    # all different strings are paired, copies beyond the limit are linked once
+    assert {frozenset((text[a], text[b])) for a, b in got} == {frozenset((x, y)) for x in text.values() for y in text.values() if x != y}
+    assert len(got) == 45 * 44 // 2 + 3 * 45 + 47
+    classes = {r.key: (r.class_id, r.string_id, r.strings) for r in visual.alike_classes(df, "key", "text").collect()}
+    assert classes == {k: (0, 0 if t == "talk" else k, 46) for k, t in rows}
 
 
 # --- problem 7 ---
@@ -104,11 +109,57 @@ def test_near_duplicates_very_long_text(spark):
 
 def test_near_duplicates_copies_stay_linear(spark, monkeypatch):
     monkeypatch.setattr(neardup, "COPIES", 4)
+    monkeypatch.setattr(neardup, "CHUNK", 10)
     base = " ".join(f"w{i}" for i in range(20))
     rows = [(0, k, base) for k in range(300)] + [(0, 300, base + " extra"), (0, 301, base + " extra")]
+    # the same words in other strings are no copies: all of them are paired
+    rows += [(0, 400 + k, base + "!" * (k + 1)) for k in range(40)]
     got = pairs(neardup.NearDuplicates(spark.createDataFrame(rows, "tab int, key long, text string")).pairs(), "key_a", "key_b")
-    assert {x for p in got for x in p} == set(range(302))
-    assert len(got) < 400 and (0, 300) in got and (0, 299) in got
+    assert {x for p in got for x in p} == {r[1] for r in rows}
+    text = {k: t for _, k, t in rows}
+    assert {frozenset((text[a], text[b])) for a, b in got if text[a] != text[b]} == {frozenset((x, y)) for x in text.values() for y in text.values() if x != y}
+    assert (0, 300) in got and (0, 299) in got and len(got) < 2000
+
+
+def test_near_duplicates_long_texts(spark, monkeypatch):
+    rng = random.Random(21)
+    shared = [f"s{i}" for i in range(750)]
+    rows = []
+    for k in range(2000):
+        own = [f"v{rng.randrange(40_000)}" for _ in range(750)]
+        if k % 100 == 1:  # a near copy of the record before
+            own = rows[-1][2].split()[750:]
+            for _ in range(100):
+                own[rng.randrange(750)] = f"v{rng.randrange(40_000)}"
+        rows.append((0, k, " ".join(shared + own)))
+    got = pairs(neardup.NearDuplicates(spark.createDataFrame(rows, "tab int, key long, text string").repartition(8)).pairs(), "key_a", "key_b")
+    sets = [frozenset(t.split()) for _, _, t in rows]
+    want = {(k, k + 1) for k in range(0, 2000, 100) if len(sets[k] & sets[k + 1]) >= 0.7 * len(sets[k] | sets[k + 1])}
+    assert len(want) == 20 and got == want
+
+
+def test_near_duplicates_across_bands_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BANDS", [(0, 128), (18, 256), (24, 512)])
+    monkeypatch.setattr(neardup, "LARGE", 22)
+    monkeypatch.setattr(neardup, "PART_ROWS", 15)
+    rows = texts(500, 11)
+    df = spark.createDataFrame(rows, "tab int, key long, text string")
+    assert pairs(neardup.NearDuplicates(df, 5, Fraction(7, 10)).pairs(), "tab", "key_a", "key_b") == jaccard_pairs(rows, 5, Fraction(7, 10))
+
+
+def test_table_of_words_shows_words_of_one_hash(monkeypatch):
+    whole = neardup.textform.words
+
+    def words(cps, offsets, seed=0):
+        hashes, *rest = whole(cps, offsets, seed)
+        return (hashes & np.uint64(31) if seed == 0 else hashes), *rest
+
+    batch = neardup.pa.RecordBatch.from_arrays([neardup.pa.array([0], "int32"), neardup.pa.array([1]), neardup.pa.array([1]), neardup.pa.array([" ".join(f"w{i}" for i in range(50))])], ["tab", "key", "string", "text"])
+    monkeypatch.setattr(neardup.textform, "words", words)
+    for seed, same in ((0, True), (1, False)):
+        table = next(iter(neardup._word_sets(1, seed)(iter([batch]))))
+        assert table.column(0).null_count == table.num_rows
+        assert (table.num_rows < 50) == same
 
 
 def test_near_duplicates_empty(spark):
@@ -118,10 +169,10 @@ def test_near_duplicates_empty(spark):
 
 def test_bit_sliced_counters():
     rng = np.random.default_rng(3)
-    sig = rng.integers(0, 2**63, (200, 2)).astype(np.uint64)
-    sig[50:60] = sig[0] ^ np.uint64(7)
+    sig = rng.integers(0, 256, (200, 16)).astype(np.uint8)
+    sig[50:60] = sig[0] ^ np.uint8(7)
     planes = neardup._planes(sig)
-    bits = np.unpackbits(sig.view(np.uint8).reshape(200, -1), axis=1, bitorder="little")
+    bits = np.unpackbits(sig, axis=1, bitorder="little")
     query = np.repeat(np.arange(200), 4)
     word = np.tile(np.arange(4), 200)
     for radius in (0, 6, 60, 127):
@@ -129,7 +180,7 @@ def test_bit_sliced_counters():
         alive, lanes = neardup.within_radius(planes, masks, word, query, np.full(query.size, radius))
         k, lane = np.nonzero(np.unpackbits(np.ascontiguousarray(lanes).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
         got = {(q, j) for q, j in zip(query[alive[k]].tolist(), (word[alive[k]] * 64 + lane).tolist()) if j < 200}
-        dist = np.bitwise_count(sig[:, None] ^ sig[None]).sum(axis=2)
+        dist = np.bitwise_count(sig[:, None] ^ sig[None]).sum(axis=2, dtype=int)
         assert got == {(a, b) for a, b in zip(*np.nonzero(dist <= radius))}
 
 
@@ -192,6 +243,50 @@ def test_nearest(spark):
     assert neighbours.nearest(df.where("vec_id >= 900"), dim=16).count() == 0
 
 
+def test_queue_finds_the_leaves_of_a_full_search():
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((600, 8)).astype(np.float32)
+    # fitted nodes end early here, so that random planes split on
+    forest = neighbours.Forest(x[:200].astype(np.float64), 5000, 3, 40, 1)
+    assert forest.extra > 0
+    got, looked = forest.seek(x, 9)
+    assert (got >= 0).all() and looked.max() < forest.leaves / 2
+
+    def every(q):
+        out, todo = {}, [(root, 0.0) for root in forest.roots]
+        while todo:
+            node, p = todo.pop()
+            if node >= 0:
+                side = q @ forest.planes[node] - forest.offsets[node]
+                for kid in (0, 1):
+                    todo.append((forest.kids[node][kid], p if kid == (side > 0) else min(p, -abs(side))))
+                continue
+            ends = [(-1 - node, p)]
+            for d in range(forest.extra):
+                top = -1 - node
+                side = q @ forest.more[forest.tree[top], d] - forest.cuts[top, d]
+                ends = [((leaf << 1) | bit, p if bit == (side > 0) else min(p, -abs(side))) for leaf, p in ends for bit in (0, 1)]
+            out.update(ends)
+        return out
+
+    home = forest.home(x)
+    for k in range(40):
+        all_ = every(x[k])
+        assert len(all_) == forest.leaves
+        want = sorted(all_.values(), reverse=True)[:9]
+        np.testing.assert_allclose(sorted((all_[leaf] for leaf in got[k]), reverse=True), want, atol=1e-5)
+        assert {leaf for leaf, p in all_.items() if p == 0} == set(home[k])
+
+
+def test_codes_bound_the_cosine():
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((200, 24))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    y, error = neighbours.decoded(neighbours.coded(x))
+    slack = error[:, None] * (1 + error)[None] + error[None]
+    assert (np.abs(y @ y.T - x @ x.T) <= slack + 1e-6).all() and slack.max() < 0.05
+
+
 def test_split_leaf_gives_the_same(spark, monkeypatch):
     rng = np.random.default_rng(7)
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.standard_normal((300, 8)))]

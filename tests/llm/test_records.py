@@ -46,10 +46,28 @@ def test_survivors_detect_copies(spark):
     title = {r[0]: r[2] for r in rows}
     right = sum(title[r.rec_id].startswith("true") for r in got.winners.where("field = 'title'").collect())
     assert right >= 290
-    dep = {(r.rank_a, r.rank_b): r.probability for r in got.dependence.collect()}
-    assert dep[5, 4] > 0.9 and dep[6, 5] > 0.9 and dep[1, 0] < 0.1 and dep[5, 0] < 0.1
-    accuracy = {r["rank"]: r.accuracy for r in got.accuracy.collect()}
-    assert accuracy[0] > accuracy[4]
+    dep = {frozenset((r.source_a, r.source_b)): r.probability for r in got.dependence.collect()}
+    assert dep[frozenset(("copy1", "bad"))] > 0.9 and dep[frozenset(("copy2", "copy1"))] > 0.9
+    assert dep[frozenset(("good2", "good1"))] < 0.1 and dep[frozenset(("copy1", "good1"))] < 0.1
+    accuracy = {r.source: r.accuracy for r in got.accuracy.collect()}
+    assert accuracy["good1"] > accuracy["bad"]
+    # one rank for all, and no list at all: estimates and copying decide in the same way
+    one = spark.createDataFrame([(s, 1) for s in names], "source string, trust_rank int")
+    for trust in (one, one.where("false")):
+        got = survivor.Survivors(spark.createDataFrame(rows, SKILL), trust, "trusted", 2)
+        assert sum(title[r.rec_id].startswith("true") for r in got.winners.where("field = 'title'").collect()) >= 290
+    # a step in trust outweighs every vote, however few the better sources and however bad
+    two = spark.createDataFrame([(s, 1 if s == "bad" else 2) for s in names], "source string, trust_rank int")
+    got = survivor.Survivors(spark.createDataFrame(rows, SKILL), two, "trusted", 2)
+    assert {r.source for r in got.winners.where("field = 'title'").collect()} == {"bad"}
+
+
+def test_survivors_many_unlisted_sources(spark, monkeypatch):
+    monkeypatch.setattr(survivor, "MOST_SOURCES", 2)
+    rows = [(k, "a", f"Value {k % 3}", None, None, f"s{k % 7}", day(k)) for k in range(40)]
+    got = survivor.Survivors(spark.createDataFrame(rows, SKILL), spark.createDataFrame(TRUST, "source string, trust_rank int"), "ranked", 2)
+    assert [r.rec_id for r in got.winners.collect()] == [39]
+    assert got.accuracy.count() == len(TRUST) + 3
 
 
 def test_survivors_empty(spark):
@@ -74,9 +92,34 @@ def test_leaks(spark):
     want = {(1, 10), (2, 10), (6, 10), (7, 10), (1, 13), (6, 13), (7, 13)}
     for rows in (10**6, 0):
         assert {tuple(r) for r in leakage.leaks(d, e, broadcast_rows=rows).collect()} == want
+    short = {(d, 11) for d, t in [(20, "It is too short: an item!"), (21, "too short an item of its own"), (22, "too short, item")] if "an item" in t.lower() and "short an" in t.replace(":", "")}
+    more = d.unionByName(spark.createDataFrame([(20, "It is too short: an item!", 1), (21, "so, TOO short an item of its own", 1), (22, "too short, item", 1)], d.schema))
+    assert {tuple(r) for r in leakage.leaks(more, e, least=2).collect()} == want | short
+    held = {(r.doc_id, r.item_id): (r.shingles, r.held) for r in leakage.containment(d, e, leakage.leaks(d, e)).collect()}
+    assert held[1, 10] == (8, 8) and held[2, 10] == (8, 6) and held[1, 13] == (8, 7)
     assert leakage.leaks(d.where("false"), e).count() == leakage.leaks(d, e.where("false")).count() == 0
 
 
+def test_leaks_of_many_items_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "BITS", 1 << 16)
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(12)]
+    items = [(k, " ".join(rng.choice(words) for _ in range(rng.randrange(4, 40)))) for k in range(300)]
+    docs = []
+    for k in range(300):
+        parts = [rng.choice(words) for _ in range(rng.randrange(3, 60))]
+        for _ in range(rng.randrange(3)):
+            w = rng.choice(items)[1].split()
+            at = rng.randrange(len(w))
+            parts[rng.randrange(len(parts)) :] = w[at : at + rng.randrange(5, 25)]
+        docs.append((k, " ".join(parts)))
+    runs = lambda text, n: {" ".join(text.split()[i : i + n]) for i in range(len(text.split()) - n + 1)}
+    want = {(d, i) for d, t in docs for i, u in items if runs(t, 7) & runs(u, 7)}
+    d, e = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for rows in (10**6, 0):
+        assert {tuple(r) for r in leakage.leaks(d, e, run=7, shingle=3, broadcast_rows=rows).collect()} == want
+
+
 # --- problem 9 ---
 
 
