@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandloom.runtime import Scratch
+
 
 def band(value: Column | str) -> Column:
     """A difficulty on the scale of bands, 1 to 20: rounded half up, plus one."""
@@ -94,30 +96,38 @@ class Isotonic:
         return F.arrow_udf(run, T.DoubleType())((F.col(value) if isinstance(value, str) else value).cast("double"))
 
 
-def kendall_tau(pairs: DataFrame, a: str, b: str, most: int = 2000) -> DataFrame:
-    """``n, concordant, discordant, tau`` over a stride of at most ``most`` rows, in order of ``ord``.
+def kendall_tau(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """``n, concordant, discordant, tau`` over all pairs of rows; pairs with a tie in either count as neither.
+
+    Both values are scales of few steps (bands, grades), so the rows are counted
+    in a table of their combinations, and pairs of combinations stand for pairs
+    of rows. Rows that lack a value are left out; fewer than two have no tau.
+    """
+    cells = pairs.select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b")).where("a is not null and b is not null").groupBy("a", "b").agg(F.count("*").alias("c"))
+    cells = Scratch(pairs.sparkSession, "tau").save(cells, "cells")
+    p, q = cells.alias("p"), cells.alias("q")
+    # every pair of different combinations once, by the first value
+    both = p.join(q, F.col("p.a") < F.col("q.a")).select((F.col("p.c") * F.col("q.c")).alias("n"), F.signum(F.col("q.b") - F.col("p.b")).alias("way"))
+    out = both.agg(F.coalesce(F.sum(F.when(F.col("way") > 0, F.col("n"))), F.lit(0)).alias("concordant"), F.coalesce(F.sum(F.when(F.col("way") < 0, F.col("n"))), F.lit(0)).alias("discordant"))
+    total = cells.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
+    return total.crossJoin(out).withColumn("tau", F.try_divide((F.col("concordant") - F.col("discordant")).cast("double"), F.col("n") * (F.col("n") - 1) / 2))
+
+
+def scaled_anchors(rows: DataFrame, grades: str, position: str, span: int = 12, top: float = 12.0) -> DataFrame:
+    """``rows`` with ``anchor``: the lowest of its grades; else the place of ``position`` between its least and greatest, on a scale of ``top``."""
+    ends = rows.agg(F.min(position).alias("_lo"), F.max(position).alias("_hi"))  # one row
+    place = F.try_divide((F.col(position) - F.col("_lo")).cast("double"), F.col("_hi") - F.col("_lo")) * top
+    return rows.crossJoin(F.broadcast(ends)).withColumn("anchor", F.coalesce(anchors(F.col(grades), span).cast("double"), place)).drop("_lo", "_hi")
+
+
+def inversions(rows: DataFrame, most: float = 5, samples: int = 10) -> tuple[DataFrame, DataFrame]:
+    """``n, inverted, widest, share`` of rows whose estimated and anchored bands are further apart than ``most``, and the widest of them.
 
-    The stride is the operator's definition: every k-th row, so at most ``most``
-    rows are compared with one another.
+    ``rows``: ``id, estimate, anchor`` in bands; rows without an anchor are left out.
     """
-    from pyspark.sql import Window
-
-    rows = pairs.select("ord", F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
-    n = rows.count()
-    step = max(1, -(-n // most))
-    # range partitions number the rows without one task holding all of them
-    from strandloom.runtime import Scratch
-
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = Scratch(pairs.sparkSession, "tau").save(rows.repartitionByRange(parts, "ord").sortWithinPartitions("ord").withColumn("m", F.monotonically_increasing_id()), "rows")
-    block = F.shiftright("m", 33)
-    before = placed.groupBy(block.alias("blk")).agg(F.count("*").alias("c")).withColumn("skip", F.coalesce(F.sum("c").over(Window.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    place = F.col("m") - F.shiftleft(F.col("blk"), 33) + F.col("skip")
-    some = placed.withColumn("blk", block).join(F.broadcast(before), "blk").where((place % step) == 0).select("ord", "a", "b")
-    two = some.alias("p").join(F.broadcast(some).alias("q"), F.col("p.ord") < F.col("q.ord"))
-    sign = F.signum(F.col("p.a").cast("double") - F.col("q.a")) * F.signum(F.col("p.b").cast("double") - F.col("q.b"))
-    out = two.agg(F.count_if(sign > 0).alias("concordant"), F.count_if(sign < 0).alias("discordant"))
-    return some.agg(F.count("*").alias("n")).crossJoin(out).withColumn("tau", F.try_divide((F.col("concordant") - F.col("discordant")).cast("double"), F.col("n") * (F.col("n") - 1) / 2))
+    known = rows.where("anchor is not null and estimate is not null").withColumn("gap", F.abs(F.col("estimate") - F.col("anchor")))
+    worst = known.where(F.col("gap") > most).orderBy(F.desc("gap"), "id").limit(samples).select("id", "estimate", "anchor", "gap")
+    return known.agg(F.count("*").alias("n"), F.count_if(F.col("gap") > most).alias("inverted"), F.max("gap").alias("widest"), F.avg((F.col("gap") > most).cast("double")).alias("share")), worst
 
 
 def grade_score(value: Column, good: float, bad: float) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandloom.operators.lists_index import ListIndex
+from strandloom.runtime import BROADCAST_ROWS, Scratch
+
 
 def easier(pre_raw: Column, pre_band: Column, raw: Column, band: Column) -> Column:
     """A prerequisite is easier if its raw value or its band is lower."""
@@ -32,23 +35,159 @@ def tool_rule(seed: Column, dep_tool: Column, pre_tool: Column, gap: Column, is_
     return seed | ~pre_tool | F.when(dep_tool, gap >= 2.0).otherwise(is_topic)
 
 
-def topic_candidates(skills: DataFrame, per_skill: int = 5, least_gap: float = 2.0) -> DataFrame:
-    """``id, candidate, rank``: for each skill the easiest members of its topics that pass the guards.
+# Skills about studying itself; topics that name a framework; tokens of fewer letters link unrelated ids.
+STUDY = r"(?i)^(take[- ]notes?|mental[- ]concentration|find[- ]a[- ]dedicated|test[- ]anxiety|time[- ]management|study[- ]space|ask[- ]for[- ]help)"
+FRAME = r"-standards|^sced-|-\d{4}|framework|curriculum|scope-and-sequence"
+TOKEN = 7
+
+
+def _long_tokens(c: Column) -> Column:
+    return F.filter(F.split(c, "-"), lambda t: F.length(t) >= TOKEN)
+
+
+def profiles(skills: DataFrame, language, foundations: list[str] = ()) -> DataFrame:
+    """What the guards need of a skill.
+
+    ``skills``: ``id, raw, band, start, end, topics, occupations, sources``
+    (arrays), ``tags`` (text), ``pathological`` (boolean). ``language`` gives the
+    language that an id names.
+    """
+    none = F.array().cast("array<string>")
+    topics = F.coalesce("topics", none)
+    tokens = F.transform(topics, lambda t: F.filter(F.split(t, "-"), lambda w: F.length(w) >= TOKEN))
+    return skills.select(
+        "id", "raw", "band", "start", "end", topics.alias("topics"), F.coalesce("occupations", none).alias("occupations"), F.coalesce("sources", none).alias("sources"), F.coalesce("tags", F.lit("")).alias("tags"),
+        F.coalesce("pathological", F.lit(False)).alias("pathological"), language(F.col("id")).alias("language"), F.col("id").rlike(STUDY).alias("study"), F.col("id").isin(list(foundations)).alias("foundation"),
+        (F.coalesce("tags", F.lit("")).contains("sced:catalog") & ~F.arrays_overlap(F.coalesce("sources", none), F.array(*map(F.lit, ("esco", "onet", "lightcast"))))).alias("catalogue"),
+        _long_tokens(F.col("id")).alias("id_tokens"), tokens.alias("topic_tokens"), F.forall(topics, lambda t: t.rlike(FRAME)).alias("framework_only"),
+    )
+
+
+def admissible(d: str, c: str) -> Column:
+    """Whether the profile ``c`` may be a prerequisite of the profile ``d`` (struct columns): the guard of every pool."""
+    at = lambda s, name: F.col(f"{s}.{name}")
+    same_language = F.coalesce(at(c, "language") == at(d, "language"), F.lit(True))
+    fine = ~at(c, "pathological") & ~at(c, "catalogue") & (~at(c, "study") | at(d, "study")) & same_language
+    return (at(c, "id") != at(d, "id")) & fine & ~grade_gap(at(d, "start"), at(c, "end")) & ~level_inverted(at(d, "tags"), at(c, "tags")) & easier(at(c, "raw"), at(c, "band"), at(d, "raw"), at(d, "band"))
+
 
-    ``skills``: ``id, raw, band, topics`` (array), ``start, end`` grades. A topic
-    of very many members never meets itself: its members are ranked by raw value
-    once, only the easiest ``64 * per_skill`` can fill the slots of a skill, and
-    these are joined to the skills of the topic.
+def akin(d: str, c: str) -> Column:
+    """Inside a topic: a foundation, a shared occupation, or a long token of a topic of ``d`` in the id or a topic of ``c``."""
+    own = F.flatten(F.col(f"{d}.topic_tokens"))
+    return F.col(f"{c}.foundation") | F.arrays_overlap(f"{c}.occupations", f"{d}.occupations") | F.arrays_overlap(own, F.concat(F.col(f"{c}.id_tokens"), F.flatten(F.col(f"{c}.topic_tokens"))))
+
+
+def across(d: str, c: str) -> Column:
+    """Between topics: not only frameworks for topics, and a shared occupation or two topics that hold a long token of ``d``'s."""
+    own = F.flatten(F.col(f"{d}.topic_tokens"))
+    sharing = F.size(F.filter(F.col(f"{c}.topic_tokens"), lambda t: F.arrays_overlap(t, own)))
+    return ~F.col(f"{c}.framework_only") & (F.arrays_overlap(f"{c}.occupations", f"{d}.occupations") | (sharing >= 2))
+
+
+def upper_fifth(skills: DataFrame) -> float:
+    """The raw value that a fifth of all rows reach: the element at place ``floor(0.8 n)`` in order, exactly.
+
+    Two estimates bracket it; only the values between them are put in order.
     """
-    flat = skills.select("id", "raw", "band", "start", "end", F.explode(F.array_distinct("topics")).alias("topic"))
-    first = F.row_number().over(Window.partitionBy("topic").orderBy("raw", "id"))
-    pool = flat.withColumn("k", first).where(F.col("k") <= 64 * per_skill).select("topic", F.col("id").alias("candidate"), F.col("raw").alias("rc"), F.col("band").alias("bc"), F.col("end").alias("ec"))
-    pairs = flat.join(pool, "topic").where((F.col("id") != F.col("candidate")) & (F.col("rc") <= F.col("raw") - least_gap) & easier(F.col("rc"), F.col("bc"), F.col("raw"), F.col("band")) & ~grade_gap(F.col("start"), F.col("ec")))
-    once = pairs.groupBy("id", "candidate").agg(F.min("rc").alias("rc"))
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("rc", "candidate"))
+    rows = skills.select(F.col("raw").cast("double").alias("raw")).where("raw is not null")
+    n = rows.count()
+    if not n:
+        return float("inf")
+    low, high = rows.approxQuantile("raw", [0.79, 0.81], 0.005)
+    below = rows.where(F.col("raw") < low).count()
+    values = rows.where(F.col("raw").between(low, high)).groupBy("raw").agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(Window.orderBy("raw"))
+    return values.withColumn("upto", upto + below).where(F.col("upto") > int(n * 0.8)).agg(F.min("raw")).first()[0]
+
+
+def topic_candidates(profiled: DataFrame, per_skill: int = 5, least_gap: float = 2.0, relaxed_gap: float = 0.1, relaxed: Column | None = None, window: int = 32) -> DataFrame:
+    """``id, candidate, rank``: the first ``per_skill`` members of a skill's topics that pass the guards.
+
+    Topics are visited in their order, members of a topic from the easiest on,
+    those of one raw value by id; a candidate counts at its first topic. A
+    candidate is easier by ``least_gap``, or by ``relaxed_gap`` for skills that
+    satisfy ``relaxed``. A topic never meets itself: members are ranked once and
+    met in windows, the first of ``window``, each further one four times as
+    long, only by skills whose slots the topic can still fill. The search of a
+    skill ends with its slots full or its topics at their end, so none is cut.
+    """
+    spark = profiled.sparkSession
+    scratch = Scratch(spark, "topics")
+    base = profiled.withColumn("gap", F.when(relaxed if relaxed is not None else F.lit(False), F.lit(relaxed_gap)).otherwise(F.lit(least_gap)))
+    base = scratch.save(base, "profiles")
+    flat = base.select("id", "raw", "gap", F.posexplode(F.array_distinct("topics")).alias("pos", "topic"))
+    place = F.row_number().over(Window.partitionBy("topic").orderBy("raw", "id"))
+    members = scratch.save(flat.select("topic", "id", "raw").withColumn("k", place).select("topic", F.col("id").alias("candidate"), F.col("raw").alias("rc"), "k"), "members")
+    sizes = members.groupBy("topic").agg(F.max("k").alias("size"))
+    # what of a topic can be a candidate: the members up to the skill's raw value less the gap
+    d = base.select("id", F.struct(*base.columns).alias("d"))
+    open_ = scratch.save(flat.join(sizes, "topic").join(d, "id").select("id", "topic", "pos", (F.col("raw") - F.col("gap")).alias("most"), "size", "d"), "open")
+    c = base.select(F.col("id").alias("candidate"), F.struct(*base.columns).alias("c"))
+    found, start, length = None, 0, window
+    while True:
+        pool, seen = scratch.counted(members.where((F.col("k") > start) & (F.col("k") <= start + length)).join(c, "candidate"), "pool")
+        if not seen["rows"]:
+            break
+        few = F.broadcast(pool) if seen["rows"] <= BROADCAST_ROWS // 10 else pool  # rows with their profiles
+        pairs = open_.join(few, "topic").where(F.col("rc") <= F.col("most")).where(admissible("d", "c"))
+        new = pairs.select("id", "topic", "pos", "candidate", "rc")
+        rank = F.row_number().over(Window.partitionBy("id", "topic").orderBy("rc", "candidate"))
+        new = new if found is None else found.union(new)
+        found = scratch.save(new.withColumn("r", rank).where(F.col("r") <= per_skill).drop("r"), "found")
+        # a topic stays open while it has members left that are easy enough, and fewer passed than there are slots
+        full = found.groupBy("id", "topic").agg(F.count("*").alias("n")).where(F.col("n") >= per_skill).select("id", "topic")
+        last = pool.groupBy("topic").agg(F.max("rc").alias("reached"))
+        left = open_.join(full, ["id", "topic"], "left_anti").where(F.col("size") > start + length).join(last, "topic").where("reached <= most").drop("reached")
+        open_, seen = scratch.counted(left, "open")
+        start, length = start + length, length * 4
+        if not seen["rows"]:
+            break
+    if found is None:
+        return spark.createDataFrame([], "id string, candidate string, rank int")
+    once = found.groupBy("id", "candidate").agg(F.min(F.struct("pos", "rc")).alias("at"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("at.pos", "at.rc", "candidate"))
     return once.withColumn("rank", rank).where(F.col("rank") <= per_skill).select("id", "candidate", "rank")
 
 
+def slots(profiled: DataFrame, index: ListIndex, ancestors: DataFrame, vectors: DataFrame, dim: int, most: int = 15, far: int = 5, probe: int = 24) -> DataFrame:
+    """``id, candidate, kind, score``: the candidates of each skill in its slots, ancestors first, then its topics', then others'.
+
+    ``profiled``: profiles with a numeric ``key``; ``index`` over vectors by that
+    key; ``ancestors``: ``id, candidate, rank``; ``vectors``: ``key, vector`` of the
+    skills that ask. The pool inside the topics counts if it has ``most`` members;
+    a smaller one gives way to all skills, unless the skill has several sources
+    and the pool fewer than three. ``far`` slots are for other topics.
+    """
+    scratch = Scratch(profiled.sparkSession, "slots")
+    fields = [f for f in profiled.columns if f != "key"]
+    taken = ancestors.groupBy("id").agg(F.collect_set("candidate").alias("taken"))
+    d = profiled.join(taken, "id", "left").select("key", F.struct(*fields).alias("d"), F.coalesce("taken", F.array().cast("array<string>")).alias("taken"))
+    asked = scratch.save(vectors.join(d, "key"), "asked")
+    c = scratch.save(profiled.select(F.col("key").alias("other"), F.struct(*fields).alias("c")), "candidates")
+    named = c.select("other", F.col("c.id").alias("candidate"))
+
+    def search(who: DataFrame, k: int, condition: Column) -> DataFrame:
+        got = index.top(who, k, "key", "vector", probe, condition, ["d", "taken"], c)
+        return scratch.save(got.select(F.col("id").alias("key"), "other", "cosine", "rank"), "near")
+
+    inside = F.arrays_overlap("d.topics", "c.topics") & admissible("d", "c") & akin("d", "c")
+    free = ~F.array_contains("taken", F.col("c.id"))
+    pool = search(asked, most, inside)
+    size = asked.select("key", F.size("d.sources").alias("sources"), F.size("taken").alias("n_taken")).join(pool.groupBy("key").agg(F.count("*").alias("n")), "key", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    wide = scratch.save(size.where((F.col("n") < most) & ~((F.col("sources") >= 2) & (F.col("n") < 3))).select("key"), "wide")
+    near = search(asked.join(wide, "key", "left_anti"), most, inside & free).union(search(asked.join(wide, "key", "left_semi"), most, admissible("d", "c") & free))
+    slot = F.greatest(F.lit(1), F.lit(most - far) - F.col("n_taken"))
+    top = scratch.save(near.join(size, "key").where(F.col("rank") <= slot).join(named, "other").select("key", "candidate", F.lit("topic").alias("kind"), F.col("cosine").alias("score"), "rank"), "top")
+    used = top.groupBy("key").agg(F.collect_set("candidate").alias("used"))
+    second = asked.join(used, "key", "left").withColumn("taken", F.array_union("taken", F.coalesce("used", F.array().cast("array<string>")))).drop("used")
+    linked = F.exists("d.topic_tokens", lambda t: F.exists("c.topic_tokens", lambda u: F.arrays_overlap(t, u)))
+    others = search(second.where(F.size("d.topic_tokens") > 0), far, linked & admissible("d", "c") & across("d", "c") & free)
+    others = others.join(named, "other").select("key", "candidate", F.lit("far").alias("kind"), F.col("cosine").alias("score"), "rank")
+    ids = profiled.select("key", "id")
+    first = ancestors.join(ids, "id").join(asked.select("key"), "key", "left_semi").select("key", "candidate", F.lit("ancestor").alias("kind"), F.lit(0.0).alias("score"), "rank")
+    return first.unionByName(top).unionByName(others).join(ids, "key").select("id", "candidate", "kind", "score", "rank")
+
+
 def neighbour_candidates(near: DataFrame, skills: DataFrame, slots: int) -> DataFrame:
     """``id, candidate, cosine, rank``: the nearest easier skills of each skill.
 

@@ -283,23 +283,176 @@ def drop_inside_components(edges: DataFrame, droppable: str) -> DataFrame:
     return inside.where(~(F.expr(droppable) & F.coalesce(F.col("_cd") == F.col("_cp"), F.lit(False)))).select(edges.columns)
 
 
+def _seed_order(scc: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``id, phase, place``: the order in which a component's nodes are ready, by their seed prerequisites and then by ``raw, id``.
+
+    ``scc``: ``id, component, raw``; ``seeds``: ``dep, pre, component``, those
+    inside. Always the ready node of least ``(raw, id)`` comes next; nodes that
+    wait for each other come last, by ``(raw, id)``. A node without seeds comes
+    when the ready ones before it are used up, so only nodes with seeds are gone
+    through one by one; ``phase`` is the greatest ``(raw, id)`` up to a node's turn
+    and orders it among all others.
+    """
+    import heapq
+
+    import pandas as pd
+
+    held = seeds.select("component", F.explode(F.array("dep", "pre")).alias("id")).distinct()
+    nodes = scc.join(held, ["component", "id"])
+    rows = nodes.select("component", "id", "raw", F.lit(None).cast("string").alias("pre")).union(seeds.join(nodes.select("component", F.col("id").alias("dep"), "raw"), ["component", "dep"]).select("component", F.col("dep").alias("id"), "raw", "pre"))
+
+    def ready(df: pd.DataFrame) -> pd.DataFrame:
+        raw = dict(zip(df["id"], df["raw"]))
+        after: dict[str, list[str]] = {}
+        wait = dict.fromkeys(raw, 0)
+        for dep, pre in zip(df["id"], df["pre"]):
+            if pre is not None:
+                after.setdefault(pre, []).append(dep)
+                wait[dep] += 1
+        heap = [(raw[n], n) for n, k in wait.items() if not k]
+        heapq.heapify(heap)
+        out, phase = [], None
+        while heap:
+            at = heapq.heappop(heap)
+            phase = at if phase is None or at > phase else phase
+            out.append((at[1], False, *phase, len(out)))
+            for dep in after.get(at[1], ()):
+                wait[dep] -= 1
+                if not wait[dep]:
+                    heapq.heappush(heap, (raw[dep], dep))
+        rest = sorted((raw[n], n) for n, k in wait.items() if k)
+        out += [(n, True, r, n, len(out)) for r, n in rest]
+        return pd.DataFrame(out, columns=["id", "last", "phase_raw", "phase_id", "place"])
+
+    turn = rows.groupBy("component").applyInPandas(ready, "id string, last boolean, phase_raw double, phase_id string, place long")
+    full = scc.select("id", "component", "raw").join(turn, "id", "left")
+    return full.select("id", "component", F.struct(F.coalesce("last", F.lit(False)).alias("last"), F.coalesce("phase_raw", "raw").alias("raw"), F.coalesce("phase_id", "id").alias("id"), F.coalesce("place", F.lit(-1).cast("long")).alias("place")).alias("at"))
+
+
 def break_cycles(edges: DataFrame, rank: DataFrame, seeds: DataFrame, rounds: int = 100) -> DataFrame:
-    """Edges without cycles: inside each component, edges whose prerequisite ranks no lower than the dependent go.
+    """Edges without cycles, by rounds over the strongly connected components that are left.
 
-    ``rank`` has ``id, raw``; ties are broken by id, so every cycle has such an
-    edge. Seeds go only if a cycle of seeds alone is left.
+    A component's nodes are ranked by its seed edges (see ``_seed_order``), with
+    ``raw`` of ``rank`` (``id, raw``) and the id as tie-breaks; a missing ``raw``
+    comes last. Every edge, seed or not, whose prerequisite does not rank before
+    its dependent goes. Such a rank orders all seeds unless they form a cycle
+    themselves, so only then does a seed go.
     """
     scratch = Scratch(edges.sparkSession, "break")
     left = scratch.save(clean_edges(edges), "edges")
-    seed = seeds.select("dep", "pre").distinct().withColumn("seed", F.lit(True))
-    order = rank.select("id", F.struct("raw", "id").alias("at"))
-    for k in range(rounds):
-        scc = components(left)
+    seed = scratch.save(seeds.select("dep", "pre").distinct(), "seeds")
+    raw = scratch.save(rank.groupBy("id").agg(F.min(F.col("raw").cast("double")).alias("raw")), "raw")
+    for _ in range(rounds):
+        scc = scratch.save(components(left), "components")
         if scc.isEmpty():
             return left
-        inside = left.join(scc.select(F.col("id").alias("dep"), F.col("component").alias("cd")), "dep").join(scc.select(F.col("id").alias("pre"), F.col("component").alias("cp")), "pre").where("cd = cp")
-        bad = inside.join(order.select(F.col("id").alias("dep"), F.col("at").alias("ad")), "dep", "left").join(order.select(F.col("id").alias("pre"), F.col("at").alias("ap")), "pre", "left").where("ap >= ad or ap is null or ad is null")
-        if k == 0:
-            bad = bad.join(seed, ["dep", "pre"], "left_anti")
-        left = scratch.save(left.join(bad.select("dep", "pre").distinct(), ["dep", "pre"], "left_anti"), "edges")
+        nodes = scratch.save(scc.join(raw, "id", "left").select("id", "component", F.coalesce("raw", F.lit(float("inf"))).alias("raw")), "nodes")
+        inside = left.join(scc.select(F.col("id").alias("dep"), "component"), "dep").join(scc.select(F.col("id").alias("pre"), F.col("component").alias("cp")), "pre").where("component = cp").select("dep", "pre", "component")
+        inside = scratch.save(inside, "inside")
+        order = scratch.save(_seed_order(nodes, inside.join(seed, ["dep", "pre"], "left_semi")), "order")
+        placed = inside.join(order.select(F.col("id").alias("dep"), F.col("at").alias("ad")), "dep").join(order.select(F.col("id").alias("pre"), F.col("at").alias("ap")), "pre")
+        left = scratch.save(left.join(placed.where("ap >= ad").select("dep", "pre"), ["dep", "pre"], "left_anti"), "edges")
     raise ValueError(f"cycles are left after {rounds} rounds")
+
+
+def longest_chain(edges: DataFrame) -> DataFrame:
+    """``step, id``: one of the longest ways of a DAG, from a node without prerequisites up; of equal ones the smallest ids."""
+    scratch = Scratch(edges.sparkSession, "chain")
+    e = scratch.save(clean_edges(edges), "edges")
+    levels = scratch.save(topo_levels(e, scratch=scratch), "levels")
+    # a way of the greatest length steps down one level at a time
+    below = e.join(levels.select(F.col("id").alias("dep"), F.col("level").alias("ld")), "dep").join(levels.select(F.col("id").alias("pre"), F.col("level").alias("lp")), "pre").where("lp = ld - 1").groupBy("dep").agg(F.min("pre").alias("pre"))
+    top = levels.orderBy(F.desc("level"), "id").first()
+    if top is None:
+        return edges.sparkSession.createDataFrame([], "step int, id string")
+    below = scratch.save(below, "below")
+    way, at = [(top.level, top.id)], top.id
+    for step in range(top.level - 1, -1, -1):  # as many rows as the way is long
+        at = below.where(F.col("dep") == at).first().pre
+        way.append((step, at))
+    return edges.sparkSession.createDataFrame(way, "step int, id string")
+
+
+def reaches(edges: DataFrame, new: DataFrame) -> DataFrame:
+    """The edges ``dep, pre`` of ``new`` that would close a cycle with ``edges``: their prerequisite already leads to their dependent."""
+    up = closure(edges)
+    back = new.join(up.select(F.col("dep").alias("pre"), F.col("anc").alias("dep")), ["dep", "pre"], "left_semi")
+    return new.where("dep = pre").union(back).select("dep", "pre").distinct()
+
+
+def assert_acyclic(edges: DataFrame) -> None:
+    """An error that names a node on a cycle, or a self-edge."""
+    from strandloom.operators.relational import assert_none
+
+    assert_none(edges.where("dep = pre"), "expected two ends, received a self-edge")
+    assert_none(components(edges), "expected no cycle")
+
+
+def forward_bands(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``id, band``: prerequisites first, a band rises above those of its prerequisites, kept between ``low`` and ``high``.
+
+    ``nodes``: ``id, band, low, high, anchored``; anchored bands stand.
+    """
+    scratch = Scratch(nodes.sparkSession, "forward")
+    e = scratch.save(clean_edges(edges), "edges")
+    levels = scratch.save(topo_levels(e, nodes, scratch), "levels")
+    deepest = levels.agg(F.max("level")).first()[0] or 0
+    base = scratch.save(nodes.join(levels, "id"), "nodes")
+    done: DataFrame | None = None
+    for k in range(deepest + 1):
+        here = base.where(F.col("level") == k)
+        above = F.lit(None).cast("int")
+        if done is not None:
+            high = e.join(done.withColumnRenamed("id", "pre"), "pre").groupBy(F.col("dep").alias("id")).agg(F.max("band").alias("above"))
+            here = here.join(high, "id", "left")
+            above = F.col("above") + 1
+        fit = F.greatest("low", F.least("high", F.greatest(F.col("band"), F.coalesce(above, F.col("band")))))
+        now = scratch.save(here.select("id", F.when(F.col("anchored"), F.col("band")).otherwise(fit).alias("band")), "bands")
+        done = now if done is None else done.union(now)
+    return done if done is not None else nodes.select("id", "band")
+
+
+def first_parents(links: DataFrame, most: int) -> DataFrame:
+    """``id, step, parents``: all parents of a node, then all of its first parent's, and so on up, ``most`` steps at most.
+
+    ``links``: ``id, parent, ord``; the first parent by ``ord`` leads on. A way
+    that comes back to a node that it has led through ends.
+    """
+    scratch = Scratch(links.sparkSession, "ladder")
+    each = links.where("id is not null and parent is not null").groupBy("id", "parent").agg(F.min("ord").alias("ord"))
+    lists = scratch.save(each.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("ord", "parent"))).alias("l")).select("id", F.transform("l", lambda x: x["parent"]).alias("parents")), "parents")
+    at = lists.select("id", F.col("id").alias("cursor"), F.array("id").alias("way"))
+    out: DataFrame | None = None
+    for step in range(1, most + 1):
+        here = at.join(lists.select(F.col("id").alias("cursor"), "parents"), "cursor").select("id", F.lit(step).alias("step"), "parents", F.col("parents")[0].alias("next"), "way")
+        here, seen = scratch.counted(here, "step")
+        if not seen["rows"]:
+            break
+        out = here.select("id", "step", "parents") if out is None else out.union(here.select("id", "step", "parents"))
+        at = here.where(~F.array_contains("way", F.col("next"))).select("id", F.col("next").alias("cursor"), F.array_append("way", F.col("next")).alias("way"))
+    return out if out is not None else lists.select("id", F.lit(0).alias("step"), "parents").where("false")
+
+
+def inverted_above(edges: DataFrame, bands: DataFrame) -> DataFrame:
+    """``id, band, highest``: the highest band of all direct and indirect prerequisites, by a running maximum up the levels.
+
+    Nodes without prerequisites have a null ``highest``. Only direct edges are
+    read, each once. ``edges`` is a DAG.
+    """
+    scratch = Scratch(edges.sparkSession, "above")
+    e = scratch.save(clean_edges(edges).join(bands.select(F.col("id").alias("pre"), F.col("band").alias("bp")), "pre", "left"), "edges")
+    levels = scratch.save(topo_levels(e.select("dep", "pre"), scratch=scratch), "levels")
+    placed = scratch.save(e.join(levels.select(F.col("id").alias("dep"), F.col("level").alias("ld")), "dep"), "placed")
+    deepest = levels.agg(F.max("level")).first()[0] or 0
+    known: DataFrame | None = None
+    for k in range(1, deepest + 1):
+        step = placed.where(F.col("ld") == k)
+        up = F.col("bp")
+        if known is not None:
+            step = step.join(known.select(F.col("id").alias("pre"), F.col("highest").alias("hp")), "pre", "left")
+            up = F.greatest("bp", "hp")
+        now = scratch.save(step.groupBy(F.col("dep").alias("id")).agg(F.max(up).alias("highest")), "highest")
+        known = now if known is None else known.union(now)
+    if known is None:
+        return bands.select("id", "band", F.lit(None).cast("int").alias("highest"))
+    return bands.select("id", "band").join(known, "id", "left")

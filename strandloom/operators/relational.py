@@ -107,11 +107,13 @@ def contested(pairs: DataFrame, a: str, b: str, source: str) -> DataFrame:
     return one.intersect(other)
 
 
-def remap(edges: DataFrame, alias: DataFrame, ends: list[str]) -> DataFrame:
-    """Both ends of edges through ``dropped_id, canonical_id``; edges whose ends fall together vanish."""
+def remap(edges: DataFrame, alias: DataFrame, ends: list[str], strict: bool = False) -> DataFrame:
+    """Both ends of edges through ``dropped_id, canonical_id``; edges whose ends fall together vanish, or are an error if ``strict``."""
     out = edges
     for end in ends:
         out = out.join(alias.select(F.col("dropped_id").alias(end), F.col("canonical_id").alias("_to")), end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
+    if strict:
+        assert_none(out.where(F.col(ends[0]) == F.col(ends[1])), "expected two ends, received an edge that aliases to one")
     return out.select(edges.columns).where(F.col(ends[0]) != F.col(ends[1])).dropDuplicates(ends)
 
 

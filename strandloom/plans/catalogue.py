@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandloom.plans import edges, graphs, measures, texts, training
+from strandloom.plans import edges, graphs, measures, quality, texts, training
 
-MODULES = [training, texts, graphs, measures, edges]
+MODULES = [training, texts, graphs, measures, edges, quality]
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

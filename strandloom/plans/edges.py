@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.functions import hashing as H
 from strandloom.functions import text as X
 from strandloom.operators import candidates as K
+from strandloom.operators import edges as L
 from strandloom.operators import enrich as E
 from strandloom.operators import folds as O
 from strandloom.operators import graph as G
 from strandloom.operators import similarity as S
+from strandloom.operators.lists_index import ListIndex
 from strandloom.plans import graphs, measures
 from strandloom.plans.tables import table
+from strandloom.runtime import Scratch
 
 
 def _skills(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,8 +31,47 @@ def _skills(spark: SparkSession, folder: str) -> DataFrame:
     return one.withColumn("band", F.least(F.lit(20), F.greatest(F.lit(1), F.col("raw"))))
 
 
+def _profiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles of all skills; vectors that more than five rows share make a skill pathological."""
+    part = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda x: F.lower(F.trim(x))), lambda x: x != "")
+    rows = table(spark, folder, "skills").where("id is not null")
+    more = rows.groupBy("id").agg(F.min(F.struct("rec_id", part(F.col("occupations")).alias("o"))).getField("o").alias("occupations"), F.array_sort(F.collect_set("source")).alias("sources"))
+    v = table(spark, folder, "skill_vectors").where("id is not null and embedding is not null").withColumn("signature", H.vector_signature("embedding"))
+    many = v.groupBy("signature").agg(F.count("*").alias("n")).where("n > 5").select("signature")
+    bad = v.join(many, "signature", "left_semi").select("id", F.lit(True).alias("pathological")).distinct()
+    full = _skills(spark, folder).drop("sources", "title").join(more, "id").join(bad, "id", "left")
+    level = F.when(F.size("occupations") > 0, F.concat(F.lit("skillsengland:level:"), F.least(F.lit(7), 2 + F.floor(F.col("raw") / 4)).cast("string")))
+    hubs = [r.id for r in table(spark, folder, "foundations").select("id").collect()]  # a short list by contract
+    return K.profiles(full.withColumn("tags", F.coalesce(level, F.lit(""))), L.language_token, hubs)
+
+
 def q_topic_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    return K.topic_candidates(_skills(spark, folder))
+    """The first five prerequisites of every skill among its topics, from the easiest on; the hardest fifth takes nearer ones."""
+    p = _profiles(spark, folder)
+    return K.topic_candidates(p, relaxed=F.col("raw") >= K.upper_fifth(p))
+
+
+def q_candidate_slots(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates in all slots, for the skills of the vectors whose id is divisible by 50."""
+    return _slots(spark, folder, 24)
+
+
+def _slots(spark: SparkSession, folder: str, probe: int) -> DataFrame:
+    v = table(spark, folder, "skill_vectors").where("id is not null").where(S.usable("embedding", measures.DIM))
+    one = v.groupBy("id").agg(F.min(F.struct("vec_id", "embedding")).alias("v")).select("id", F.col("v.vec_id").alias("key"), F.col("v.embedding").alias("vector"))
+    p = Scratch(spark, "profiles").save(_profiles(spark, folder).join(one.select("id", "key"), "id"), "profiles")
+    asked = one.where("key % 50 = 0").select("key", "vector")
+    ancestors = K.topic_candidates(p.drop("key"), relaxed=F.col("raw") >= K.upper_fifth(p)).join(p.join(asked, "key", "left_semi").select("id"), "id", "left_semi")
+    return K.slots(p, ListIndex(one, "key", "vector", measures.DIM), ancestors, asked, measures.DIM, probe=probe)
+
+
+def q_index_top(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest of every vector whose id is divisible by 50 that belong to another id, through the index with all lists."""
+    v = table(spark, folder, "skill_vectors")
+    index = ListIndex(v, "vec_id", "embedding", measures.DIM)
+    ids = v.select(F.col("vec_id").alias("other"), F.col("id").alias("other_id"))
+    near = index.top(v.where("vec_id % 50 = 0").withColumn("own", F.col("id")), 5, "vec_id", "embedding", probe=1_000_000, ok=~F.col("own").eqNullSafe(F.col("other_id")), extra=["own"], attributes=ids)
+    return near.select("id", "other", F.round("cosine", 5).alias("cosine"), "rank")
 
 
 def q_guarded_aliases(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,19 +92,20 @@ def q_feasible_seeds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_hub_caps(spark: SparkSession, folder: str) -> DataFrame:
-    """No SQL: stateful caps. Edges that stay, with caps of 5 a topic and 40 in all so that they bite."""
+    """No SQL: stateful caps. Edges that stay under 30 a topic, 150 in all and 15 of a tool."""
     b = graphs.bands(spark, folder).select("id", "band")
     topics = _skills(spark, folder).select(F.col("id").alias("dep"), "topics")
     e = graphs.edges(spark, folder).join(b.select(F.col("id").alias("dep"), F.col("band").alias("bd")), "dep").join(b.select(F.col("id").alias("pre"), F.col("band").alias("bp")), "pre").join(topics, "dep", "left")
-    e = e.select("dep", "pre", F.abs(F.col("bd") - F.col("bp")).alias("gap"), F.lit(False).alias("seed"), F.col("pre").contains("typing").alias("tech"), "topics")
-    return O.hub_caps(e, 5, 40, 15)
+    e = e.select("dep", "pre", F.abs(F.col("bd") - F.col("bp")).alias("gap"), F.lit(False).alias("seed"), "topics")
+    tools = graphs.chain_skills(spark, folder).select(F.col("id").alias("pre"), F.coalesce(F.col("tags").contains(L.TOOL), F.lit(False)).alias("tech"))
+    return O.hub_caps(e.join(tools, "pre"))
 
 
 def q_orphans(spark: SparkSession, folder: str) -> DataFrame:
-    """No SQL: greedy. Skills without prerequisites and the word-long ids (topics here) that they contain."""
+    """No SQL: greedy. Skills without prerequisites and the words of their ids that are words of a topic, as hard as its easiest skill."""
     s = _skills(spark, folder)
     lonely = s.join(graphs.edges(spark, folder).select(F.col("dep").alias("id")).distinct(), "id", "left_anti").select("id", F.col("raw").cast("double").alias("raw"), "ord")
-    single = s.select(F.explode(F.split("id", "-")).alias("id")).where("length(id) >= 5").distinct().select("id", F.lit(1.0).alias("raw"), F.lit(False).alias("tech"))
+    single = s.select("raw", F.explode("topics").alias("t")).select("raw", F.explode(F.split("t", "-")).alias("id")).where("length(id) >= 5").groupBy("id").agg(F.min("raw").cast("double").alias("raw")).select("id", "raw", F.lit(False).alias("tech"))
     return O.orphan_prerequisites(lonely, single)
 
 
@@ -97,18 +141,28 @@ def q_grow(spark: SparkSession, folder: str) -> DataFrame:
     return nodes
 
 
-QUERIES = {f.__name__: f for f in (q_backfill, q_ancestor_labels, q_heights, q_grow, q_topic_candidates, q_guarded_aliases, q_feasible_seeds, q_hub_caps, q_orphans, q_weak_components)}
+QUERIES = {f.__name__: f for f in (q_backfill, q_ancestor_labels, q_heights, q_grow, q_topic_candidates, q_candidate_slots, q_index_top, q_guarded_aliases, q_feasible_seeds, q_hub_caps, q_orphans, q_weak_components)}
 
-_SK = """s AS (SELECT id, coalesce(min(difficulty), 10) AS raw, min(CASE WHEN grade_start BETWEEN -1 AND 12 THEN grade_start END) AS gs, max(CASE WHEN grade_end BETWEEN -1 AND 12 THEN grade_end END) AS ge,
-  arg_min(coalesce(topics, ''), rec_id) AS topics FROM skills WHERE id IS NOT NULL GROUP BY id),
-k AS (SELECT *, least(20, greatest(1, raw)) AS band FROM s),
-f AS (SELECT DISTINCT * FROM (SELECT id, raw, band, gs, ge, lower(trim(unnest(string_split(topics, ',')))) AS topic FROM k) WHERE topic <> '')"""
+_STUDY = K.STUDY.replace("(?i)", "")
+_SK = f"""s AS (SELECT id, coalesce(min(difficulty), 10) AS raw, min(CASE WHEN grade_start BETWEEN -1 AND 12 THEN grade_start END) AS gs, max(CASE WHEN grade_end BETWEEN -1 AND 12 THEN grade_end END) AS ge,
+  arg_min(coalesce(topics, ''), rec_id) AS topics, arg_min(coalesce(occupations, ''), rec_id) AS occ FROM skills WHERE id IS NOT NULL GROUP BY id),
+g AS (SELECT id, list_transform(embedding[1:16], lambda x: CASE WHEN isnan(x) THEN 'nan' ELSE CAST(round(CAST(x AS DOUBLE), 3) + 0.0 AS VARCHAR) END) AS sg FROM skill_vectors WHERE id IS NOT NULL AND embedding IS NOT NULL),
+worse AS (SELECT DISTINCT id FROM g WHERE sg IN (SELECT sg FROM g GROUP BY 1 HAVING count(*) > 5)),
+z AS (SELECT s.*, least(20, greatest(1, raw)) AS band, CASE WHEN len(list_filter(string_split(occ, ','), lambda o: trim(o) <> '')) > 0 THEN least(7, 2 + floor(raw / 4)) END AS level, {graphs._LANG.format('s.id')} AS lang,
+  regexp_matches(s.id, '{_STUDY}', 'i') AS study, w.id IS NOT NULL AS bad FROM s LEFT JOIN worse w ON w.id = s.id),
+f AS (SELECT * FROM (SELECT id, raw, band, gs, ge, level, lang, study, bad, lower(trim(unnest(string_split(topics, ',')))) AS topic, unnest(range(1, len(string_split(topics, ',')) + 1)) AS n FROM z) WHERE topic <> '')"""
 
 ORACLE = {
     "q_topic_candidates": f"""
-WITH {_SK}, pool AS (SELECT topic, id AS candidate, raw AS rc, band AS bc, ge AS ec FROM f QUALIFY row_number() OVER (PARTITION BY topic ORDER BY raw, id) <= 320),
-p AS (SELECT DISTINCT id, candidate, rc FROM f JOIN pool USING (topic) WHERE id <> candidate AND rc <= raw - 2 AND (rc < raw OR bc < band) AND NOT coalesce(gs >= 7 AND ec <= 3, false))
-SELECT id, candidate, CAST(row_number() OVER (PARTITION BY id ORDER BY rc, candidate) AS INTEGER) AS rank FROM p QUALIFY rank <= 5""",
+WITH {_SK}, m AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY n) - 1 AS pos FROM (SELECT id, raw, band, gs, ge, level, lang, study, bad, topic, min(n) AS n FROM f GROUP BY ALL)),
+lim AS (SELECT raw AS top FROM (SELECT raw, row_number() OVER (ORDER BY raw) - 1 AS k, count(*) OVER () AS c FROM z) WHERE k = floor(c * 0.8)),
+p AS (SELECT d.id, c.id AS candidate, min(d.pos) AS pos, c.raw AS rc FROM m d JOIN m c ON c.topic = d.topic CROSS JOIN lim
+  WHERE d.id <> c.id AND c.raw <= d.raw - CASE WHEN d.raw >= top THEN 0.1 ELSE 2 END AND NOT c.bad AND NOT (c.study AND NOT d.study) AND (d.lang IS NULL OR c.lang IS NULL OR d.lang = c.lang)
+  AND NOT coalesce(d.gs >= 7 AND c.ge <= 3, false) AND NOT coalesce(c.level > d.level, false) AND (c.raw < d.raw OR c.band < d.band) GROUP BY 1, 2, 4)
+SELECT id, candidate, CAST(row_number() OVER (PARTITION BY id ORDER BY pos, rc, candidate) AS INTEGER) AS rank FROM p QUALIFY rank <= 5""",
+    "q_index_top": f"""
+WITH {measures._V} SELECT a.vec_id AS id, b.vec_id AS other, round({measures._COS}, 5) AS cosine, CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY {measures._COS} DESC, b.vec_id) AS INTEGER) AS rank
+FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 AND a.id IS DISTINCT FROM b.id QUALIFY rank <= 5""",
     "q_weak_components": f"""
 WITH RECURSIVE {graphs._RAW}, l AS (SELECT dep AS a, pre AS b FROM e WHERE pre NOT IN (SELECT id FROM foundations)), b AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 r AS (SELECT a AS id, a AS o FROM b UNION SELECT r.id, b.b FROM r JOIN b ON b.a = r.o) SELECT id, min(o) AS component FROM r GROUP BY id""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandloom.operators import edges as E
 from strandloom.operators import graph as G
 from strandloom.operators import relational as R
 from strandloom.plans.tables import table
@@ -57,9 +58,10 @@ def q_components(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_alias_collapse(spark: SparkSession, folder: str) -> DataFrame:
-    """Concepts to the top of their chain, for concepts with a lower-sorting parent (chains without cycles)."""
-    rows = table(spark, folder, "researchskillscollection_en").select(uri("concepturi").alias("dropped_id"), uri("broaderconcepturi").alias("canonical_id")).where("dropped_id > canonical_id")
-    return G.collapse_aliases(rows)
+    """Concepts to the top of their chain; links inside a loop are cut, so a way into a loop ends where it meets it."""
+    rows = table(spark, folder, "researchskillscollection_en").select(uri("concepturi").alias("dep"), uri("broaderconcepturi").alias("pre")).where("dep is not null and pre is not null").groupBy("dep").agg(F.min("pre").alias("pre"))
+    open_ = G.drop_inside_components(rows.where("dep <> pre"), "true")
+    return G.collapse_aliases(open_.select(F.col("dep").alias("dropped_id"), F.col("pre").alias("canonical_id")), 1_000_000)
 
 
 def q_bounded_ancestors(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,9 +76,10 @@ def q_inherit_attribute(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_expert_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Edges scored against matches as annotations: positive if the verdict is "same"."""
+    """Edges scored against annotations: matches, positive if the verdict is "same", and every listed prerequisite, positive if one of the two most trusted sources lists it."""
     pairs = table(spark, folder, "skill_matches").select(F.lower(F.trim("id_a")).alias("pre"), F.lower(F.trim("id_b")).alias("dep"), (F.lower(F.trim("verdict")) == "same").alias("positive")).where("pre is not null and dep is not null and positive is not null")
-    lists = table(spark, folder, "skills").select(F.col("id").alias("dep"), F.explode(F.split("prereqs", ",")).alias("p"), F.lit(True).alias("positive")).select(F.lower(F.trim("p")).alias("pre"), "dep", "positive").where("pre <> '' and length(pre) % 2 = 0")
+    trusted = table(spark, folder, "skill_sources").where("trust_rank <= 2").select("source", F.lit(True).alias("good"))
+    lists = table(spark, folder, "skills").join(F.broadcast(trusted), "source", "left").select(F.col("id").alias("dep"), F.explode(F.split("prereqs", ",")).alias("p"), F.coalesce("good", F.lit(False)).alias("positive")).select(F.lower(F.trim("p")).alias("pre"), "dep", "positive").where("pre <> '' and dep is not null")
     return G.expert_scores(edges(spark, folder), pairs.unionByName(lists))
 
 
@@ -98,51 +101,47 @@ def q_trim_edges(spark: SparkSession, folder: str) -> DataFrame:
     return e.withColumn("n", n).withColumn("r", rank).where("not droppable or r > n - 1").select("dep", "pre")
 
 
-# Tokens that name a language in an id.
-LANGUAGE_TOKENS = ["spanish", "french", "german", "italian", "portuguese", "chinese", "japanese", "greek", "latin", "arabic", "korean", "russian", "hebrew", "swazi", "kanuri", "pulaar"]
+def chain_skills(spark: SparkSession, folder: str) -> DataFrame:
+    """What the edge rules need: ``id, raw, band, anchored, tags, topics, ord`` of skills and foundations.
 
+    A skill that names occupations counts as taught at a level of 2 to 7, by its
+    difficulty; one whose first topic is about technical systems counts as a tool.
+    """
+    part = lambda c: F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("")), ","), lambda x: F.lower(F.trim(x))), lambda x: x != "")
+    rows = table(spark, folder, "skills").where("id is not null").groupBy("id").agg(F.min("difficulty").alias("d"), F.min(F.struct("rec_id", part("topics").alias("t"), part("occupations").alias("o"))).alias("first"), F.min("rec_id").alias("ord"))
+    level = F.when(F.size("first.o") > 0, F.concat(F.lit("skillsengland:level:"), F.least(F.lit(7), 2 + F.floor(F.col("d") / 4)).cast("string")))
+    tool = F.when(F.col("first.t")[0] == "technical-systems", "onet:tech")
+    one = bands(spark, folder).join(rows, "id", "left")
+    return one.select("id", F.col("band").cast("double").alias("raw"), "band", "anchored", F.concat_ws(",", level, tool).alias("tags"), F.coalesce("first.t", F.array().cast("array<string>")).alias("topics"), F.coalesce("ord", F.lit(0)).alias("ord"))
 
-def language_token(id):
-    """The first of the language tokens, in their order, that is a whole word of an id."""
-    words = F.split(id, "-")
-    return F.coalesce(*(F.when(F.array_contains(words, t), F.lit(t)) for t in LANGUAGE_TOKENS))
 
-
-def significant(id):
-    from strandloom.functions.text import SIGNATURE_STOP
-
-    return F.array_distinct(F.filter(F.split(id, "-"), lambda w: (F.length(w) >= 3) & ~w.isin(SIGNATURE_STOP)))
-
-
-def edge_reasons(e: DataFrame) -> DataFrame:
-    """Edges with the first rule that drops them, or null. ``e``: ``dep, pre, bd, bp, anchored, seed``."""
-    count = lambda c: F.size(F.filter(F.split(c, "-"), lambda w: F.length(w) >= 2))
-    ld, lp = language_token(F.col("dep")), language_token(F.col("pre"))
-    wd, wp = significant(F.col("dep")), significant(F.col("pre"))
-    rules = [
-        (ld.isNotNull() & lp.isNotNull() & (ld != lp), "language"),
-        ((F.col("bp") > F.col("bd")) & F.col("anchored"), "band"),
-        ((count(F.col("dep")) <= 2) & (count(F.col("pre")) > count(F.col("dep")) + 1), "specific"),
-        ((F.size(wp) >= 2) & (F.size(wd) > F.size(wp)) & (F.size(F.array_except(wp, wd)) == 0), "hypernym"),
-    ]
-    why = F.coalesce(*(F.when(c, F.lit(name)) for c, name in rules))
-    return e.withColumn("reason", F.when(~F.col("seed"), why))
+def chain_input(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges with ``named`` (volunteers list the prerequisite), skills, and the edges of foundations as seeds."""
+    named = table(spark, folder, "skills").where("source = 'volunteers'").select(F.col("id").alias("dep"), F.explode(F.split("prereqs", ",")).alias("p")).select("dep", F.lower(F.trim("p")).alias("pre"), F.lit(True).alias("named")).distinct()
+    e = edges(spark, folder).join(named, ["dep", "pre"], "left").withColumn("named", F.coalesce("named", F.lit(False)))
+    seeds = edges(spark, folder).join(F.broadcast(table(spark, folder, "foundations").select(F.col("id").alias("pre"))), "pre", "left_semi").select("dep", "pre", F.lit("foundation").alias("source"))
+    return e, chain_skills(spark, folder), seeds
 
 
 def q_edge_chain(spark: SparkSession, folder: str) -> DataFrame:
     """Every edge with the rule that drops it; edges to foundations are seeds and stay."""
-    b = bands(spark, folder)
-    hubs = table(spark, folder, "foundations").select(F.col("id").alias("pre"), F.lit(True).alias("hub"))
-    e = edges(spark, folder).join(b.select(F.col("id").alias("dep"), F.col("band").alias("bd"), "anchored"), "dep").join(b.select(F.col("id").alias("pre"), F.col("band").alias("bp")), "pre").join(F.broadcast(hubs), "pre", "left").withColumn("seed", F.coalesce("hub", F.lit(False)))
-    return edge_reasons(e).select("dep", "pre", "reason")
+    e, skills, seeds = chain_input(spark, folder)
+    marked = e.join(seeds.select("dep", "pre", F.lit(True).alias("seed")), ["dep", "pre"], "left").withColumn("seed", F.coalesce("seed", F.lit(False)))
+    return E.reasons(E.with_ends(marked, skills)).select("dep", "pre", "named", "reason")
+
+
+def q_edge_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """No SQL: stateful. Edges that are left after each step of the whole chain."""
+    e, skills, seeds = chain_input(spark, folder)
+    return E.EdgeChain(e, skills, seeds).steps
 
 
 def q_subject_areas(spark: SparkSession, folder: str) -> DataFrame:
-    """Prerequisites that are the topic of 50 or more skills and a topic of their dependent."""
+    """Prerequisites that are the topic of 5 or more skills and a topic of their dependent; here a skill's topics count as its prerequisites too."""
     topics = table(spark, folder, "skills").select("id", F.explode(F.split("topics", ",")).alias("t")).select("id", F.lower(F.trim("t")).alias("topic")).where("id is not null and topic <> ''").distinct()
-    areas = topics.groupBy("topic").agg(F.count("*").alias("n")).where("n >= 50").select("topic")
-    inside = topics.join(areas, "topic", "left_semi").select(F.col("id").alias("dep"), F.col("topic").alias("pre"))
-    return raw_edges(spark, folder).join(inside, ["dep", "pre"], "left_semi")
+    skills = topics.groupBy("id").agg(F.collect_set("topic").alias("topics"))
+    both = raw_edges(spark, folder).union(topics.select(F.col("id").alias("dep"), F.col("topic").alias("pre")))
+    return E.subject_areas(both.distinct(), skills, 5)
 
 
 def q_chain_lift(spark: SparkSession, folder: str) -> DataFrame:
@@ -153,17 +152,16 @@ def q_chain_lift(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_break_cycles(spark: SparkSession, folder: str) -> DataFrame:
-    """No SQL: greedy. Matches read as edges, without cycles, ranked by the ids' bands."""
-    pairs = table(spark, folder, "skill_matches").where("lower(trim(verdict)) = 'same'").select(F.lower(F.trim("id_a")).alias("dep"), F.lower(F.trim("id_b")).alias("pre"))
-    return G.break_cycles(pairs, bands(spark, folder).select("id", F.col("band").cast("double").alias("raw")), pairs.where("false"))
+    """No SQL: greedy. Matches read as edges, without cycles; those found by code are seeds, and the ids' bands break ties."""
+    pairs = table(spark, folder, "skill_matches").where("lower(trim(verdict)) = 'same'").select(F.lower(F.trim("id_a")).alias("dep"), F.lower(F.trim("id_b")).alias("pre"), F.lower(F.trim("method")).alias("method"))
+    seeds = pairs.where("method = 'code'").select("dep", "pre")
+    return G.break_cycles(pairs.select("dep", "pre"), bands(spark, folder).select("id", F.col("band").cast("double").alias("raw")), seeds)
 
 
 def q_band_inversions(spark: SparkSession, folder: str) -> DataFrame:
     """Share of skills whose band is below that of a direct or indirect prerequisite."""
-    b = bands(spark, folder)
-    up = G.closure(edges(spark, folder)).join(b.select(F.col("id").alias("anc"), F.col("band").alias("ba")), "anc").groupBy("dep").agg(F.max("ba").alias("highest"))
-    both = up.join(b.withColumnRenamed("id", "dep"), "dep")
-    return both.agg(F.count("*").alias("skills"), F.count_if(F.col("highest") > F.col("band")).alias("inverted"))
+    above = G.inverted_above(edges(spark, folder), bands(spark, folder).select("id", "band")).where("highest is not null")
+    return above.agg(F.count("*").alias("skills"), F.count_if(F.col("highest") > F.col("band")).alias("inverted"))
 
 
 def q_roots(spark: SparkSession, folder: str) -> DataFrame:
@@ -177,7 +175,7 @@ def q_roots(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        q_unresolved, q_closure, q_topo_levels, q_transitive_reduction, q_components, q_alias_collapse, q_bounded_ancestors, q_inherit_attribute, q_expert_scores, q_hub_cap, q_trim_edges, q_edge_chain, q_subject_areas, q_chain_lift, q_break_cycles, q_band_inversions, q_roots,
+        q_unresolved, q_closure, q_topo_levels, q_transitive_reduction, q_components, q_alias_collapse, q_bounded_ancestors, q_inherit_attribute, q_expert_scores, q_hub_cap, q_trim_edges, q_edge_chain, q_edge_steps, q_subject_areas, q_chain_lift, q_break_cycles, q_band_inversions, q_roots,
     )
 }
 
@@ -188,7 +186,7 @@ _UP = "up AS (SELECT dep, pre AS anc FROM e UNION SELECT u.dep, e.pre FROM up u
 _BANDS = """sb AS (SELECT id, least(20, greatest(1, coalesce(min(difficulty), 1))) AS band, bool_or(coalesce(grade_start BETWEEN -1 AND 12, false)) AS anchored FROM skills WHERE id IS NOT NULL GROUP BY id),
 b AS (SELECT * FROM sb UNION ALL SELECT id, 1, true FROM foundations WHERE id NOT IN (SELECT id FROM sb))"""
 _URI = "nullif(regexp_replace(regexp_replace(regexp_replace(lower({0}), '^\\s+|\\s+$', '', 'g'), '^https://', 'http://'), '/+$', ''), '')"
-_LANG = "coalesce(" + ", ".join(f"CASE WHEN list_contains(string_split({{0}}, '-'), '{t}') THEN '{t}' END" for t in LANGUAGE_TOKENS) + ")"
+_LANG = "coalesce(" + ", ".join(f"CASE WHEN list_contains(string_split({{0}}, '-'), '{t}') THEN '{t}' END" for t in E.LANGUAGE_TOKENS) + ")"
 
 
 def _sig(c: str) -> str:
@@ -211,7 +209,8 @@ e AS (SELECT dep, pre FROM m WHERE dep <> pre), up AS (SELECT dep, pre AS anc FR
 SELECT a.dep AS id, least(a.dep, min(a.anc)) AS component FROM up a JOIN up b ON b.dep = a.anc AND b.anc = a.dep WHERE a.dep <> a.anc GROUP BY a.dep""",
     "q_alias_collapse": f"""
 WITH RECURSIVE n AS (SELECT {_URI.format('concepturi')} AS d, {_URI.format('broaderconcepturi')} AS c FROM researchskillscollection_en),
-a AS (SELECT d, min(c) AS c FROM n WHERE d > c GROUP BY d), w AS (SELECT d, c, 1 AS k FROM a UNION ALL SELECT w.d, a.c, k + 1 FROM w JOIN a ON a.d = w.c)
+a AS (SELECT d, min(c) AS c FROM n WHERE d IS NOT NULL AND c IS NOT NULL GROUP BY d), r AS (SELECT d, c AS cur, [d] AS way FROM a UNION ALL SELECT r.d, a.c, list_append(way, r.cur) FROM r JOIN a ON a.d = r.cur WHERE NOT list_contains(way, r.cur)),
+l AS (SELECT DISTINCT d FROM r WHERE cur = d), o AS (SELECT * FROM a WHERE d NOT IN (SELECT d FROM l)), w AS (SELECT d, c, 1 AS k FROM o UNION ALL SELECT w.d, o.c, k + 1 FROM w JOIN o ON o.d = w.c)
 SELECT d AS dropped_id, arg_max(c, k) AS canonical_id FROM w GROUP BY d""",
     "q_bounded_ancestors": f"WITH RECURSIVE {_RAW}, w AS (SELECT dep, pre AS anc, 1 AS depth FROM e UNION SELECT w.dep, e.pre, depth + 1 FROM w JOIN e ON e.dep = w.anc WHERE depth < 3) SELECT dep, anc, CAST(min(depth) AS INTEGER) AS depth FROM w GROUP BY 1, 2",
     "q_inherit_attribute": f"""
@@ -222,7 +221,7 @@ SELECT w.id, max(k.value) AS value FROM w LEFT JOIN k ON k.id = w.cur GROUP BY w
     "q_expert_scores": f"""
 WITH RECURSIVE {_RAW}, {_UP},
 p AS (SELECT lower(trim(id_a)) AS pre, lower(trim(id_b)) AS dep, lower(trim(verdict)) = 'same' AS positive FROM skill_matches WHERE id_a IS NOT NULL AND id_b IS NOT NULL AND verdict IS NOT NULL
-  UNION ALL SELECT pre, id, true FROM (SELECT id, lower(trim(unnest(string_split(prereqs, ',')))) AS pre FROM skills) WHERE pre <> '' AND length(pre) % 2 = 0),
+  UNION ALL SELECT pre, id, coalesce(source IN (SELECT source FROM skill_sources WHERE trust_rank <= 2), false) FROM (SELECT id, source, lower(trim(unnest(string_split(prereqs, ',')))) AS pre FROM skills WHERE id IS NOT NULL) WHERE pre <> ''),
 m AS (SELECT pre, dep, bool_or(positive) AS positive FROM p WHERE pre <> dep GROUP BY 1, 2)
 SELECT (SELECT count(*) FROM m WHERE positive) AS positives, (SELECT count(*) FROM e JOIN m USING (dep, pre)) AS predicted, (SELECT count(*) FROM e JOIN m USING (dep, pre) WHERE positive) AS hits,
   (SELECT count(*) FROM m WHERE positive AND EXISTS (SELECT 1 FROM up WHERE up.dep = m.dep AND up.anc = m.pre)) AS recovered""",
@@ -232,14 +231,21 @@ WITH {_RAW}, d AS (SELECT dep, pre, pre IN (SELECT id FROM foundations) AS dropp
 r AS (SELECT *, count(*) OVER (PARTITION BY dep) AS n, sum(CASE WHEN droppable THEN 1 ELSE 0 END) OVER (PARTITION BY dep ORDER BY pre DESC) AS r FROM d)
 SELECT dep, pre FROM r WHERE NOT droppable OR r > n - 1""",
     "q_edge_chain": f"""
-WITH {_RAW}, {_BANDS}
-SELECT dep, pre, CASE WHEN pre IN (SELECT id FROM foundations) THEN NULL WHEN {_LANG.format('dep')} <> {_LANG.format('pre')} THEN 'language' WHEN y.band > x.band AND x.anchored THEN 'band'
-  WHEN {_COUNT.format('dep')} <= 2 AND {_COUNT.format('pre')} > {_COUNT.format('dep')} + 1 THEN 'specific'
-  WHEN len({_sig('pre')}) >= 2 AND len({_sig('dep')}) > len({_sig('pre')}) AND list_has_all({_sig('dep')}, {_sig('pre')}) THEN 'hypernym' END AS reason
-FROM e JOIN b x ON x.id = dep JOIN b y ON y.id = pre""",
+WITH {_RAW}, {_BANDS},
+f AS (SELECT id, min(difficulty) AS d, list_filter(list_transform(string_split(coalesce(arg_min(coalesce(topics, ''), rec_id), ''), ','), lambda t: lower(trim(t))), lambda t: t <> '') AS t, list_filter(list_transform(string_split(coalesce(arg_min(coalesce(occupations, ''), rec_id), ''), ','), lambda t: lower(trim(t))), lambda t: t <> '') AS o FROM skills WHERE id IS NOT NULL GROUP BY id),
+k AS (SELECT b.id, band, anchored, CASE WHEN len(o) > 0 THEN least(7, 2 + floor(d / 4)) END AS level, coalesce(t[1] = 'technical-systems', false) AS tool, coalesce(t, []) AS topics FROM b LEFT JOIN f ON f.id = b.id),
+v AS (SELECT DISTINCT id AS dep, lower(trim(unnest(string_split(prereqs, ',')))) AS pre FROM skills WHERE source = 'volunteers'),
+q AS (SELECT e.dep, e.pre, v.dep IS NOT NULL AS named FROM e LEFT JOIN v ON v.dep = e.dep AND v.pre = e.pre)
+SELECT q.dep, q.pre, named, CASE WHEN q.pre IN (SELECT id FROM foundations) THEN NULL WHEN regexp_matches(q.pre, '{E.LEAVES}') THEN 'leaf' WHEN {_LANG.format('q.dep')} <> {_LANG.format('q.pre')} THEN 'language'
+  WHEN y.level > x.level THEN 'level' WHEN y.band > x.band AND NOT (named AND NOT x.anchored) THEN 'band' WHEN y.band > x.band - 0.05 AND y.band >= x.band AND NOT (named AND NOT x.anchored) THEN 'raw'
+  WHEN {_COUNT.format('q.dep')} <= 2 AND {_COUNT.format('q.pre')} > {_COUNT.format('q.dep')} + 1 THEN 'specific'
+  WHEN len({_sig('q.pre')}) >= 2 AND len({_sig('q.dep')}) > len({_sig('q.pre')}) AND list_has_all({_sig('q.dep')}, {_sig('q.pre')}) THEN 'hypernym'
+  WHEN y.tool AND NOT (CASE WHEN x.tool THEN x.band - y.band >= 2 ELSE list_contains(x.topics, q.pre) END) THEN 'tool' END AS reason
+FROM q JOIN k x ON x.id = q.dep JOIN k y ON y.id = q.pre""",
     "q_subject_areas": f"""
-WITH {_RAW}, t AS (SELECT DISTINCT id, topic FROM (SELECT id, lower(trim(unnest(string_split(topics, ',')))) AS topic FROM skills) WHERE topic <> '' AND id IS NOT NULL)
-SELECT dep, pre FROM raw SEMI JOIN t ON t.id = dep AND t.topic = pre WHERE pre IN (SELECT topic FROM t GROUP BY 1 HAVING count(*) >= 50)""",
+WITH {_RAW}, t AS (SELECT DISTINCT id, topic FROM (SELECT id, lower(trim(unnest(string_split(topics, ',')))) AS topic FROM skills) WHERE topic <> '' AND id IS NOT NULL),
+a AS (SELECT dep, pre FROM raw WHERE dep IS NOT NULL UNION SELECT id, topic FROM t)
+SELECT dep, pre FROM a SEMI JOIN t ON t.id = dep AND t.topic = pre WHERE pre IN (SELECT topic FROM t GROUP BY 1 HAVING count(*) >= 5)""",
     "q_band_inversions": f"WITH RECURSIVE {_RAW}, {_UP}, {_BANDS}, h AS (SELECT dep, max(b.band) AS highest FROM up JOIN b ON b.id = anc GROUP BY dep) SELECT count(*) AS skills, count(*) FILTER (WHERE highest > band) AS inverted FROM h JOIN b ON b.id = dep",
     "q_roots": f"WITH {_RAW} SELECT count(*) AS nodes, count(*) FILTER (WHERE id NOT IN (SELECT dep FROM e)) AS roots, count(*) FILTER (WHERE id NOT IN (SELECT dep FROM e) AND id NOT IN (SELECT pre FROM e)) AS isolated FROM known",
 }

@@ -47,12 +47,15 @@ def q_duplicate_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_neighbour_regression(spark: SparkSession, folder: str) -> DataFrame:
-    """Difficulty of every query vector from its 15 nearest that have one."""
+    """Difficulty of every query vector from its 15 nearest anchors that share a topic with it, or else of all; an anchor counts for itself."""
     v, q = _vectors(spark, folder)
-    known = v.join(_difficulty(spark, folder), "id")
-    near = S.exact_top_k(known, q, 15, "vec_id", "embedding", DIM)
-    values = known.select(F.col("vec_id").alias("other"), F.col("difficulty").alias("value"))
-    return S.neighbour_regression(near, values).select("id", F.round("estimate", 4).alias("estimate"))
+    rows = table(spark, folder, "skills").where("id is not null")
+    topics = rows.select("id", F.explode(F.split("topics", ",")).alias("t")).select("id", F.lower(F.trim("t")).alias("t")).where("t <> ''").groupBy("id").agg(F.collect_set("t").alias("topics"))
+    full = lambda df: df.join(topics, "id", "left").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "topics", *(["difficulty"] if "difficulty" in df.columns else []))
+    anchored = full(v.join(_difficulty(spark, folder), "id"))
+    near = S.pooled_top_k(anchored, full(q), 15, DIM)
+    values = anchored.select(F.col("id").alias("other"), F.col("difficulty").alias("value"))
+    return S.neighbour_regression(near, values, own=values.withColumnRenamed("other", "id")).select("id", F.round("estimate", 4).alias("estimate"))
 
 
 def _topic_rows(spark, folder):
@@ -85,7 +88,7 @@ def q_isotonic(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_kendall_tau(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "skills").where("grade_start between -1 and 12").select(F.col("rec_id").alias("ord"), "difficulty", "grade_start")
+    rows = table(spark, folder, "skills").where("grade_start between -1 and 12").select("difficulty", "grade_start")
     return C.kendall_tau(rows, "difficulty", "grade_start").select("n", "concordant", "discordant", F.round("tau", 6).alias("tau"))
 
 
@@ -113,17 +116,38 @@ def q_rare_word_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 # Words of one group exclude each other.
 ANTONYMS = [
-    "theoretical practical applied", "commercial industrial residential military civil consumer", "1d 2d 3d 4d", "first second third fourth fifth", "introductory advanced intermediate beginner basic", "micro macro nano mini mega", "pre post anti pro non sub super",
-    "internal external", "public private", "input output", "front back side top bottom", "positive negative neutral", "online offline", "qualitative quantitative", "domestic international foreign", "static dynamic", "manual automatic automated", "wired wireless", "analog digital",
-    "primary secondary tertiary", "open closed", "augmented mixed virtual", "ac dc", "z c bash fish ksh zsh",
-]
+    ["theoretical", "practical", "applied"],
+    ["commercial", "industrial", "residential", "military", "civil", "consumer"],
+    ["1d", "2d", "3d", "4d"],
+    ["first", "second", "third", "fourth", "fifth"],
+    ["introductory", "advanced", "intermediate", "beginner", "basic"],
+    ["micro", "macro", "nano", "mini", "mega"],
+    ["pre", "post", "anti", "pro", "non", "sub", "super"],
+    ["internal", "external"],
+    ["public", "private"],
+    ["input", "output"],
+    ["front", "back", "side", "top", "bottom"],
+    ["positive", "negative", "neutral"],
+    ["online", "offline"],
+    ["qualitative", "quantitative"],
+    ["domestic", "international", "foreign"],
+    ["static", "dynamic"],
+    ["manual", "automatic", "automated"],
+    ["wired", "wireless"],
+    ["analog", "digital"],
+    ["primary", "secondary", "tertiary"],
+    ["open", "closed"],
+    ["augmented", "mixed", "virtual"],
+    ["ac", "dc"],
+    ["z", "c", "bash", "fish", "ksh", "zsh"],
+]
 
 
 def antonyms(a, b):
     """Whether two word arrays hold different words of one group and none in common."""
     clash = F.lit(False)
     for group in ANTONYMS:
-        words = F.array(*map(F.lit, group.split()))
+        words = F.array(*map(F.lit, group))
         x, y = F.array_intersect(a, words), F.array_intersect(b, words)
         clash = clash | ((F.size(x) > 0) & (F.size(y) > 0) & ~F.arrays_overlap(x, y))
     return clash
@@ -182,26 +206,10 @@ def q_regex_wiring(spark: SparkSession, folder: str) -> DataFrame:
     return ids.join(F.broadcast(hubs), F.regexp_like("dep", F.col("pattern")) & (F.col("dep") != F.col("pre"))).select("dep", "pre")
 
 
-def q_scorecard(spark: SparkSession, folder: str) -> DataFrame:
-    """Graded conditions of the skill table and its graph; 1 passes."""
-    skills, e, b = table(spark, folder, "skills"), graphs.edges(spark, folder), graphs.bands(spark, folder)
-    share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("double"))
-    rows = skills.agg(share(F.col("title").isNotNull()).alias("titles"), share(F.col("grade_start").between(-1, 12)).alias("grades"), share(F.length(F.trim("description")) > 30).alias("descriptions"))
-    roots = graphs.q_roots(spark, folder).select((F.col("isolated") / F.col("nodes")).alias("isolated"), (F.col("roots") / F.col("nodes")).alias("roots"))
-    hub = e.groupBy("pre").agg(F.count("*").alias("n")).agg(F.max("n").cast("double").alias("hub"))
-    both = e.join(b.select(F.col("id").alias("dep"), F.col("band").alias("bd")), "dep").join(b.select(F.col("id").alias("pre"), F.col("band").alias("bp")), "pre")
-    inverted = both.agg(share(F.col("bp") > F.col("bd")).alias("inverted"))
-    same = table(spark, folder, "skill_vectors").where(S.usable("embedding", DIM)).groupBy(F.array_join(F.transform(F.slice("embedding", 1, 3), lambda x: F.round(x.cast("double"), 4).cast("string")), ",").alias("s")).agg(F.count("*").alias("n")).agg(F.max("n").cast("double").alias("same"))
-    wide = rows.crossJoin(roots).crossJoin(hub).crossJoin(inverted).crossJoin(same)  # one row each
-    rules = [("titles present", "titles", 0.95, 0.0), ("grades usable", "grades", 0.8, 0.0), ("descriptions long", "descriptions", 0.9, 0.0), ("few isolated", "isolated", 0.2, 1.0), ("few roots", "roots", 0.2, 1.0), ("no anomalous hub", "hub", 200.0, 2000.0), ("few inversions", "inverted", 0.1, 1.0), ("distinct vectors", "same", 5.0, 50.0)]
-    lines = F.array(*(F.struct(F.lit(name).alias("condition"), F.round(C.grade_score(F.col(c), good, bad), 5).alias("score")) for name, c, good, bad in rules))
-    return wide.select(F.explode(lines).alias("x")).select("x.condition", "x.score")
-
-
 QUERIES = {
     f.__name__: f
     for f in (
-        q_cosine_top, q_semantic_match, q_duplicate_vectors, q_neighbour_regression, q_topic_smoothing, q_bands, q_anchors, q_isotonic, q_kendall_tau, q_inversion_audit, q_bucket_pairs, q_rare_word_pairs, q_antonym_guard, q_aliases, q_topic_policy, q_cruft, q_grade_pairs, q_regex_wiring, q_scorecard,
+        q_cosine_top, q_semantic_match, q_duplicate_vectors, q_neighbour_regression, q_topic_smoothing, q_bands, q_anchors, q_isotonic, q_kendall_tau, q_inversion_audit, q_bucket_pairs, q_rare_word_pairs, q_antonym_guard, q_aliases, q_topic_policy, q_cruft, q_grade_pairs, q_regex_wiring,
     )
 }
 
@@ -216,15 +224,18 @@ _FIRST = "f AS (SELECT id, title, topics, rec_id FROM skills WHERE id IS NOT NUL
 _SIGW = f"list_distinct(list_filter({_split('title')}, lambda w: length(w) >= 3 AND w NOT IN {listed(X.SIGNATURE_STOP)}))"
 _JAC = "CAST(len(list_intersect({0}, {1})) AS DOUBLE) / (len({0}) + len({1}) - len(list_intersect({0}, {1})))"
 _BUCKET = f"""{_FIRST}, r AS (SELECT id, title, nullif(lower(trim(string_split(topics, ',')[1])), '') AS topic, {_word_set('title')} AS w, {_SIGW} AS s FROM f),
-ok AS (SELECT topic FROM r WHERE topic IS NOT NULL AND len(w) > 0 GROUP BY topic HAVING count(*) BETWEEN 2 AND 1500),
-bp AS (SELECT DISTINCT a.id AS a, b.id AS b, {_JAC.format('a.w', 'b.w')} AS jaccard FROM r a JOIN r b ON a.topic = b.topic AND a.id < b.id SEMI JOIN ok ON ok.topic = a.topic
+bp AS (SELECT DISTINCT a.id AS a, b.id AS b, {_JAC.format('a.w', 'b.w')} AS jaccard FROM r a JOIN r b ON a.topic = b.topic AND a.id < b.id
   WHERE len(a.w) > 0 AND len(b.w) > 0 AND {_JAC.format('a.w', 'b.w')} >= 0.7 AND greatest(length(a.title), length(b.title)) <= 3.0 * greatest(1, least(length(a.title), length(b.title)))
   AND (len(a.s) = 0 OR len(b.s) = 0 OR len(list_intersect(a.s, b.s)) >= 0.4 * least(len(a.s), len(b.s))))"""
 _CLASH = " OR ".join(
-    f"(len(list_intersect({{0}}, [{', '.join(repr(w) for w in g.split())}])) > 0 AND len(list_intersect({{1}}, [{', '.join(repr(w) for w in g.split())}])) > 0 AND len(list_intersect(list_intersect({{0}}, {{1}}), [{', '.join(repr(w) for w in g.split())}])) = 0)" for g in ANTONYMS
+    f"(len(list_intersect({{0}}, [{', '.join(repr(w) for w in g)}])) > 0 AND len(list_intersect({{1}}, [{', '.join(repr(w) for w in g)}])) > 0 AND len(list_intersect(list_intersect({{0}}, {{1}}), [{', '.join(repr(w) for w in g)}])) = 0)" for g in ANTONYMS
 )
 _G = "CASE WHEN g IN ('KG', 'K') THEN 1 WHEN regexp_matches(g, '^0?[0-9]{1,2}$') AND CAST(g AS INTEGER) BETWEEN 1 AND 12 THEN CAST(g AS INTEGER) + 1 END"
 
+_TAU = """cell AS (SELECT difficulty AS a, grade_start AS b, count(*) AS c FROM skills WHERE grade_start BETWEEN -1 AND 12 AND difficulty IS NOT NULL GROUP BY 1, 2),
+way AS (SELECT coalesce(sum(CASE WHEN q.b > p.b THEN p.c * q.c END), 0) AS con, coalesce(sum(CASE WHEN q.b < p.b THEN p.c * q.c END), 0) AS dis FROM cell p JOIN cell q ON p.a < q.a), whole AS (SELECT sum(c) AS n FROM cell),
+tau AS (SELECT CAST(n AS BIGINT) AS n, CAST(con AS BIGINT) AS concordant, CAST(dis AS BIGINT) AS discordant, round(CAST(con - dis AS DOUBLE) / (n * (n - 1) / 2.0), 6) AS tau FROM way, whole)"""
+
 ORACLE = {
     "q_cosine_top": f"WITH {_V} SELECT a.vec_id AS id, b.vec_id AS other, round({_COS}, 5) AS cosine, CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY {_COS} DESC, b.vec_id) AS INTEGER) AS rank FROM u a JOIN u b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 QUALIFY rank <= 5",
     "q_semantic_match": f"""
@@ -232,23 +243,22 @@ WITH {_V}, n AS (SELECT a.vec_id AS id, b.vec_id AS other, {_COS} AS c, a.id AS
 SELECT id, other, CASE WHEN len(list_intersect(string_split(ia, '-'), string_split(ib, '-'))) > 0 THEN 'kept' ELSE 'no-token-overlap' END AS verdict FROM n WHERE c > 0.9""",
     "q_duplicate_vectors": "SELECT count(*) AS n, min(vec_id) AS first_id FROM (SELECT vec_id, list_transform(embedding[1:16], lambda x: CASE WHEN isnan(x) THEN 'nan' ELSE CAST(round(CAST(x AS DOUBLE), 3) + 0.0 AS VARCHAR) END) AS s FROM skill_vectors WHERE embedding IS NOT NULL) GROUP BY s HAVING count(*) > 1",
     "q_neighbour_regression": f"""
-WITH {_V}, d AS (SELECT id, min(difficulty) AS d FROM skills WHERE difficulty IS NOT NULL GROUP BY id),
-n AS (SELECT a.vec_id AS id, greatest(0, {_COS}) AS c, d.d FROM u a JOIN u b ON a.vec_id <> b.vec_id JOIN d ON d.id = b.id WHERE a.vec_id % 50 = 0 QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY {_COS} DESC, b.vec_id) <= 15)
-SELECT id, round(CASE WHEN sum(c ** 8) > 0 THEN sum(c ** 8 * d) / sum(c ** 8) ELSE 10 END, 4) AS estimate FROM n GROUP BY id""",
+WITH {_V}, d AS (SELECT id, min(difficulty) AS d FROM skills WHERE difficulty IS NOT NULL AND id IS NOT NULL GROUP BY id),
+t AS (SELECT id, list(DISTINCT t) AS t FROM (SELECT id, lower(trim(unnest(string_split(topics, ',')))) AS t FROM skills WHERE id IS NOT NULL) WHERE t <> '' GROUP BY id),
+z AS (SELECT u.vec_id, u.e, coalesce(t.t, []) AS t, d.d FROM u JOIN d ON d.id = u.id LEFT JOIN t ON t.id = u.id), a AS (SELECT u.vec_id, u.e, coalesce(t.t, []) AS t FROM u LEFT JOIN t ON t.id = u.id WHERE u.vec_id % 50 = 0),
+p AS (SELECT a.vec_id AS id, b.vec_id AS other, list_has_any(a.t, b.t) AS near, {_COS} AS c, b.d FROM a JOIN z b ON true), h AS (SELECT id, max(near) AS any_near FROM p GROUP BY id),
+n AS (SELECT p.id, greatest(0, c) AS c, d FROM p JOIN h USING (id) WHERE near OR NOT any_near QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY p.c DESC, other) <= 15)
+SELECT n.id, round(CASE WHEN sum(c ** 8) > 0 THEN sum(c ** 8 * d) / sum(c ** 8) ELSE coalesce(max(z.zd), 10) END, 4) AS estimate FROM n LEFT JOIN (SELECT vec_id, d AS zd FROM z) z ON z.vec_id = n.id GROUP BY n.id""",
     "q_topic_smoothing": f"WITH {_TR} SELECT rec_id, round(smoothed + 1e-9, 5) AS smoothed FROM z",
     "q_bands": f"WITH {_TR} SELECT CAST(least(20, greatest(1, floor(round(smoothed, 6) + 0.5) + 1)) AS INTEGER) AS band, count(*) AS n_rows FROM z GROUP BY 1",
     "q_anchors": "SELECT id, CASE WHEN max(g) - min(g) < 12 THEN min(g) END AS anchor FROM (SELECT id, CASE WHEN grade_start BETWEEN -1 AND 12 THEN grade_start END AS g FROM skills WHERE id IS NOT NULL) GROUP BY id",
-    "q_kendall_tau": """
-WITH r AS (SELECT rec_id AS ord, difficulty AS a, grade_start AS b, row_number() OVER (ORDER BY rec_id) - 1 AS k, count(*) OVER () AS n FROM skills WHERE grade_start BETWEEN -1 AND 12 AND difficulty IS NOT NULL),
-s AS (SELECT * FROM r WHERE k % CAST(greatest(1, ceil(n / 2000.0)) AS BIGINT) = 0),
-p AS (SELECT sign(p.a - q.a) * sign(p.b - q.b) AS g FROM s p JOIN s q ON p.ord < q.ord)
-SELECT (SELECT count(*) FROM s) AS n, count(*) FILTER (WHERE g > 0) AS concordant, count(*) FILTER (WHERE g < 0) AS discordant, round((count(*) FILTER (WHERE g > 0) - count(*) FILTER (WHERE g < 0)) / ((SELECT count(*) FROM s) * ((SELECT count(*) FROM s) - 1) / 2.0), 6) AS tau FROM p""",
+    "q_kendall_tau": f"WITH {_TAU} SELECT * FROM tau",
     "q_inversion_audit": "SELECT count(*) AS n_rows, count(*) FILTER (WHERE gap > 5) AS inverted, max(gap) AS widest, round(avg(CASE WHEN gap > 5 THEN 1.0 ELSE 0.0 END), 6) AS share FROM (SELECT abs(difficulty - grade_start - 2) AS gap FROM skills WHERE grade_start BETWEEN -1 AND 12 AND difficulty IS NOT NULL)",
     "q_bucket_pairs": f"WITH {_BUCKET} SELECT a, b, round(jaccard, 6) AS jaccard FROM bp",
     "q_rare_word_pairs": f"""
 WITH {_FIRST}, r AS (SELECT id, {_SIGW} AS w FROM f), x AS (SELECT id, unnest(w) AS t FROM r), df AS (SELECT t, count(*) AS n FROM x GROUP BY t),
-two AS (SELECT id, t FROM x JOIN df USING (t) QUALIFY row_number() OVER (PARTITION BY id ORDER BY n, t) <= 2), ok AS (SELECT t FROM two GROUP BY t HAVING count(*) BETWEEN 2 AND 2000),
-p AS (SELECT DISTINCT a.id AS a, b.id AS b FROM two a JOIN two b ON a.t = b.t AND a.id < b.id SEMI JOIN ok ON ok.t = a.t)
+two AS (SELECT id, t FROM x JOIN df USING (t) QUALIFY row_number() OVER (PARTITION BY id ORDER BY n, t) <= 2),
+p AS (SELECT DISTINCT a.id AS a, b.id AS b FROM two a JOIN two b ON a.t = b.t AND a.id < b.id)
 SELECT a, b, round({_JAC.format('x.w', 'y.w')}, 6) AS jaccard FROM p JOIN r x ON x.id = a JOIN r y ON y.id = b WHERE {_JAC.format('x.w', 'y.w')} >= 0.5""",
     "q_antonym_guard": f"WITH {_BUCKET}, pw AS (SELECT id, {_split('title')} AS w FROM f) SELECT a, b, {_CLASH.format('x.w', 'y.w')} AS clash FROM bp JOIN pw x ON x.id = a JOIN pw y ON y.id = b",
     "q_aliases": f"""
@@ -265,18 +275,9 @@ WHERE (said = '' AND n < 2) OR (len(string_split(id, '-')) >= 5 AND length(said)
 WITH g AS (SELECT item_no, min({_G}) AS g FROM (SELECT item_no, upper(trim(unnest(educationlevel))) AS g FROM cf_items) GROUP BY item_no),
 r0 AS (SELECT docidentifier, item_no, g, {_SIGW.replace("lower(title)", "lower(fullstatement)")} AS w FROM cf_items JOIN g USING (item_no) WHERE docidentifier IS NOT NULL AND fullstatement IS NOT NULL AND g IS NOT NULL),
 r AS (SELECT * FROM r0 WHERE len(w) >= 3 QUALIFY row_number() OVER (PARTITION BY docidentifier, g, array_to_string(list_sort(w), ' ') ORDER BY item_no) = 1),
-x AS (SELECT docidentifier, item_no, g, unnest(w) AS t FROM r), df AS (SELECT docidentifier, t, count(*) AS n FROM x GROUP BY 1, 2), sz AS (SELECT docidentifier, count(*) AS size FROM r GROUP BY 1),
-y AS (SELECT x.* FROM x JOIN df USING (docidentifier, t) JOIN sz USING (docidentifier) WHERE n <= greatest(8, size * 0.02)),
-p AS (SELECT DISTINCT a.docidentifier, a.item_no AS src, b.item_no AS dst FROM y a JOIN y b ON a.docidentifier = b.docidentifier AND a.t = b.t AND b.g > a.g AND b.g <= a.g + 3),
+x AS (SELECT docidentifier, item_no, g, unnest(w) AS t FROM r),
+p AS (SELECT a.docidentifier, a.item_no AS src, b.item_no AS dst FROM x a JOIN x b ON a.docidentifier = b.docidentifier AND a.t = b.t AND b.g > a.g AND b.g <= a.g + 3 GROUP BY 1, 2, 3 HAVING count(*) >= 3),
 q AS (SELECT p.docidentifier, src, dst, a.g AS ga, b.g AS gb, len(list_intersect(a.w, b.w)) AS shared, {_JAC.format('a.w', 'b.w')} AS j FROM p JOIN r a ON a.item_no = src JOIN r b ON b.item_no = dst)
 SELECT docidentifier, src, dst, CAST(shared AS INTEGER) AS shared, CAST(row_number() OVER (PARTITION BY docidentifier, ga, gb ORDER BY shared DESC, src, dst) AS INTEGER) AS rank FROM q WHERE shared >= 3 AND j < 0.8 QUALIFY rank <= 5""",
     "q_regex_wiring": "SELECT dep, pre FROM (SELECT DISTINCT id AS dep FROM skills WHERE id IS NOT NULL) JOIN (SELECT id AS pre, '(^|-)(' || replace(id, '-', '|') || ')(-|$)' AS pattern FROM foundations) ON regexp_matches(dep, pattern) AND dep <> pre",
-    "q_scorecard": f"""
-WITH {graphs._RAW}, {graphs._BANDS},
-w AS (SELECT avg(CASE WHEN title IS NOT NULL THEN 1.0 ELSE 0 END) AS titles, avg(CASE WHEN grade_start BETWEEN -1 AND 12 THEN 1.0 ELSE 0 END) AS grades, avg(CASE WHEN length(trim(description)) > 30 THEN 1.0 ELSE 0 END) AS descriptions FROM skills),
-ro AS (SELECT count(*) FILTER (WHERE id NOT IN (SELECT dep FROM e) AND id NOT IN (SELECT pre FROM e)) / count(*) AS isolated, count(*) FILTER (WHERE id NOT IN (SELECT dep FROM e)) / count(*) AS roots FROM known),
-h AS (SELECT max(n) AS hub FROM (SELECT count(*) AS n FROM e GROUP BY pre)), i AS (SELECT avg(CASE WHEN y.band > x.band THEN 1.0 ELSE 0 END) AS inverted FROM e JOIN b x ON x.id = dep JOIN b y ON y.id = pre),
-{_V}, sm AS (SELECT max(n) AS same FROM (SELECT count(*) AS n FROM u GROUP BY list_transform(e[1:3], lambda x: round(x, 4)))),
-l AS (SELECT unnest([('titles present', titles, 0.95, 0), ('grades usable', grades, 0.8, 0), ('descriptions long', descriptions, 0.9, 0), ('few isolated', isolated, 0.2, 1), ('few roots', roots, 0.2, 1), ('no anomalous hub', hub, 200, 2000), ('few inversions', inverted, 0.1, 1), ('distinct vectors', same, 5, 50)]) AS x FROM w, ro, h, i, sm)
-SELECT x[1] AS condition, round(greatest(0, (CAST(x[2] AS DOUBLE) - x[4]) / (x[3] - x[4])), 5) AS score FROM l""",
 }

@@ -19,6 +19,7 @@ SCAFFOLDING_TYPES = [
     "Grade Level", "Domain", "Strand", "Course", "Topic", "Cluster", "Component", "Section", "Module", "Chapter", "Unit", "Sub-Domain", "Category", "Connection", "Grade", "Grade Band", "Quarter", "Section Heading", "Pathway", "Subject", "Dimension",
     "Cognitive Complexity", "Performance Level", "Assignment", "Lesson", "Job Role", "Employee", "Team Leader", "People Leader", "Senior Leader", "Concepts and Practices",
 ]
+# Defects of a finished list.
 DEFECT_PREFIX = r"^((Unit|Lesson|Chapter|Benchmark|Standard)\s+[\d.]+|[A-Z][A-Za-z0-9]*(\.[A-Za-z0-9]+)+:\s|(I can,?|[Cc]an|[Cc]ould|[Ss]hould|[Hh]ow to|[Ww]hat is|[Ww]hy does)\s|[*_]*[Ww]ith\s+(modeling|prompting|guidance|support)|[*_])"
 DEFECT_EMPHASIS = r"(^|\s)[*_]+[^*_\s][^*_]*[*_]+(\s|[,.]|$)"
 DEFECT_ENCODING = r"[ÂÃâ][\x{80}-\x{bf}ŒœŠšŸŽžƒˆ˜–-›€™]|Â(\s|$)"
@@ -68,15 +69,26 @@ def q_display_title(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "cf_items").select("item_no", X.display_title("fullstatement", tag).alias("display"))
 
 
-def q_list_defects(spark: SparkSession, folder: str) -> DataFrame:
-    skills = table(spark, folder, "skills")
+def list_defects(rows: DataFrame) -> DataFrame:
+    """One row: titles with a leftover prefix or emphasis, codes of fewer than four characters, and texts decoded twice. ``rows``: ``title, description, tags`` as text."""
     count = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
-    return skills.agg(
-        count(F.col("title").rlike(DEFECT_PREFIX)).alias("prefix"), count(F.col("title").rlike(DEFECT_EMPHASIS)).alias("emphasis"),
-        count(F.col("title").rlike(DEFECT_ENCODING) | F.col("description").rlike(DEFECT_ENCODING)).alias("encoding"),
+    short = F.size(F.filter(F.split(F.coalesce("tags", F.lit("")), ","), lambda t: t.startswith("code:") & (F.length(t) < len("code:") + 4)))
+    return rows.agg(
+        count(F.col("title").rlike(DEFECT_PREFIX)).alias("prefix"), count(F.col("title").rlike(DEFECT_EMPHASIS)).alias("emphasis"), F.sum(short).alias("short_codes"),
+        count(F.coalesce(F.col("title").rlike(DEFECT_ENCODING), F.lit(False)) | F.coalesce(F.col("description").rlike(DEFECT_ENCODING), F.lit(False))).alias("encoding"),
     )
 
 
+def defect_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Skills without tags, and statements with their code as one."""
+    skills = table(spark, folder, "skills").select("title", "description", F.lit("").alias("tags"))
+    return skills.union(table(spark, folder, "cf_items").select("fullstatement", "notes", F.coalesce(F.concat(F.lit("code:"), F.lower(F.regexp_replace("humancodingscheme", r"[\s,]", ""))), F.lit(""))))
+
+
+def q_list_defects(spark: SparkSession, folder: str) -> DataFrame:
+    return list_defects(defect_rows(spark, folder))
+
+
 def q_fuzzy_merge(spark: SparkSession, folder: str) -> DataFrame:
     skills = table(spark, folder, "skills").withColumn("key", X.fuzzy_key("title"))
     out = R.merge_by_key(skills, "key", "rec_id", {"source": None, "topics": 20}, ["description"], ["title", "id"])
@@ -316,8 +328,9 @@ SELECT item_no, CASE WHEN length(t) <= 80 THEN t WHEN trim(coalesce(code, '')) <
   ELSE trim(CASE WHEN {_BLANK79} > 30 THEN substr(t, 1, {_BLANK79}) ELSE substr(t, 1, 79) END) || '…' END AS display
 FROM (SELECT item_no, fullstatement AS t, trim(humancodingscheme) AS code FROM cf_items)""",
     "q_list_defects": f"""
+WITH r AS (SELECT title, description, '' AS tags FROM skills UNION ALL SELECT fullstatement, notes, coalesce('code:' || lower(regexp_replace(humancodingscheme, '[\\s,]', '', 'g')), '') FROM cf_items)
 SELECT count(*) FILTER (WHERE regexp_matches(title, {quoted(DEFECT_PREFIX)})) AS prefix, count(*) FILTER (WHERE regexp_matches(title, {quoted(DEFECT_EMPHASIS)})) AS emphasis,
-  count(*) FILTER (WHERE regexp_matches(title, {quoted(DEFECT_ENCODING)}) OR regexp_matches(description, {quoted(DEFECT_ENCODING)})) AS encoding FROM skills""",
+  count(*) FILTER (WHERE tags LIKE 'code:%' AND length(tags) < 9) AS short_codes, count(*) FILTER (WHERE coalesce(regexp_matches(title, {quoted(DEFECT_ENCODING)}), false) OR coalesce(regexp_matches(description, {quoted(DEFECT_ENCODING)}), false)) AS encoding FROM r""",
     "q_fuzzy_merge": f"""
 WITH k AS (SELECT *, {_fuzzy('title')} AS key FROM skills),
 kept AS (SELECT * FROM k WHERE key <> ''),

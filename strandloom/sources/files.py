@@ -56,9 +56,14 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str, lines:
     return spark.read.schema(schema).json(path, multiLine=not lines, mode="FAILFAST")
 
 
+def in_order(scan: DataFrame) -> DataFrame:
+    """A scan with ``ord``, which orders rows as they were written: by the time and name of their file, then by their place in it."""
+    return scan.withColumn("ord", F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place")))
+
+
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """``key, value`` of an append-only answer file: the first answer of a key counts; a torn last line is an error."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("ord"))
+    """``key, value`` of an append-only answer file or folder of files: the first answer of a key counts; a torn line is an error."""
+    lines = in_order(spark.read.text(path)).select("value", "ord")
     cells = F.split("value", "\t", 2)
     checked = F.when(F.size(cells) == 2, cells).otherwise(F.raise_error(F.concat(F.lit(f"{path}: expected key and value, received "), F.substring("value", 1, 120))))
     rows = lines.where("value <> ''").select(checked.alias("c"), "ord").select(F.col("c")[0].alias("key"), F.col("c")[1].alias("value"), "ord")
@@ -88,6 +93,28 @@ def read_skos(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return labels, cut(broad, ["node", "broader"])
 
 
+# Fixed value: categories of wikis that name no subject.
+BAD_CATEGORY = r"(?i)^(Wikipedia|Lists of|List of|Categories |Redirects|Articles |Stubs|Templates|Commons|Set indices)"
+
+
+def subject_labels(labels: DataFrame) -> DataFrame:
+    """Labels that can name a subject: 2 to 50 characters, at most four words, no bracket or comma, no category of upkeep."""
+    words = F.size(F.filter(F.split("label", r"\s+"), lambda w: w != ""))
+    return labels.where(F.length("label").between(2, 50) & (words <= 4) & ~F.col("label").rlike(r"[(,]") & ~F.col("label").rlike(BAD_CATEGORY))
+
+
+def tree_labels(labels: DataFrame) -> DataFrame:
+    """Labels of a tree of headings: 2 to 80 characters, without a subdivision."""
+    return labels.where(F.length("label").between(2, 80) & ~F.col("label").contains("--"))
+
+
+def broadest(labels: DataFrame, broader: DataFrame, first: int = 25_000, most: int = 5_000) -> DataFrame:
+    """``node, label, n``: the nodes that most others name as broader; of the ``first`` of them, the ``most`` first that have a label."""
+    n = broader.groupBy(F.col("broader").alias("node")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "node").limit(first)
+    named = labels.groupBy("node").agg(F.min("label").alias("label"))
+    return named.join(n, "node").orderBy(F.desc("n"), "node").limit(most)
+
+
 def read_tree(spark: SparkSession, path: str) -> DataFrame:
     """``slug, ancestors`` with the nearest ancestor first."""
     rows = read_tsv(spark, path)

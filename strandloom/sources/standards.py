@@ -110,21 +110,37 @@ def read_occupations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     return items, rows.where("knowledges is null and skills is null and behaviours is null").select("name")
 
 
-def read_annotated(spark: SparkSession, topics: str, pattern: str, annotations: str) -> tuple[DataFrame, int]:
-    """``pre, dep, positive`` of ``a,b,0|1`` lines over a file of numbered topics, and how many lines name no topic.
+# The lines of numbered topics in the files of annotated pairs, by their separator.
+TOPIC_LINES = {
+    "comma": r"^(\d+),(.+?)(?:,(?:NULL|https?://[^,]*))+\z",
+    "bar": r"^(\d+)\|(.+)\z",
+    "tab": r"^(\d+)\t(.+)\z",
+}
 
-    ``pattern`` has a group for the number and one for the name.
+
+def read_annotated(spark: SparkSession, sets: list[tuple[str, str, str]]) -> tuple[DataFrame, int]:
+    """``pre, dep, positive`` of ``a,b,0|1`` lines over numbered topics, and how many lines name no topic.
+
+    ``sets``: topic file, the kind of its lines (a key of ``TOPIC_LINES``, or a
+    pattern with a group for number and name), annotation file. Numbers mean a
+    topic only inside their set.
     """
-    line = spark.read.text(topics).select(F.regexp_replace("value", "\r$", "").alias("l")).where("l <> ''")
-    assert_none(line.where(~F.col("l").rlike(pattern)), f"{topics}: expected a topic line")
-    names = line.select(F.regexp_extract("l", pattern, 1).alias("n"), F.trim(F.regexp_extract("l", pattern, 2)).alias("name"))
-    assert_none(names.groupBy("n").count().where("count > 1"), f"{topics}: expected a new number")
-    rows = spark.read.text(annotations).select(F.regexp_replace("value", "\r$", "").alias("l")).where("l <> ''")
-    assert_none(rows.where(~F.col("l").rlike(r"^\d+,\d+,[01]$")), f'{annotations}: expected "topic,topic,0|1"')
-    cells = F.split("l", ",")
-    full = rows.select(cells[0].alias("a"), cells[1].alias("b"), (cells[2] == "1").alias("positive")).join(names.select(F.col("n").alias("a"), F.col("name").alias("pre")), "a", "left").join(names.select(F.col("n").alias("b"), F.col("name").alias("dep")), "b", "left")
-    known = F.col("pre").isNotNull() & F.col("dep").isNotNull()
-    return full.where(known).select("pre", "dep", "positive"), full.where(~known).count()
+    known_pairs, lost = None, 0
+    for topics, kind, annotations in sets:
+        pattern = TOPIC_LINES.get(kind, kind)
+        line = spark.read.text(topics).select(F.regexp_replace("value", "\r$", "").alias("l")).where("l <> ''")
+        assert_none(line.where(~F.col("l").rlike(pattern)), f"{topics}: expected a topic line")
+        names = line.select(F.regexp_extract("l", pattern, 1).alias("n"), F.trim(F.regexp_extract("l", pattern, 2)).alias("name"))
+        assert_none(names.groupBy("n").count().where("count > 1"), f"{topics}: expected a new number")
+        rows = spark.read.text(annotations).select(F.regexp_replace("value", "\r$", "").alias("l")).where("l <> ''")
+        assert_none(rows.where(~F.col("l").rlike(r"^\d+,\d+,[01]$")), f'{annotations}: expected "topic,topic,0|1"')
+        cells = F.split("l", ",")
+        full = rows.select(cells[0].alias("a"), cells[1].alias("b"), (cells[2] == "1").alias("positive")).join(names.select(F.col("n").alias("a"), F.col("name").alias("pre")), "a", "left").join(names.select(F.col("n").alias("b"), F.col("name").alias("dep")), "b", "left")
+        known = F.col("pre").isNotNull() & F.col("dep").isNotNull()
+        some = full.where(known).select("pre", "dep", "positive")
+        known_pairs = some if known_pairs is None else known_pairs.union(some)
+        lost += full.where(~known).count()
+    return known_pairs, lost
 
 
 def read_crowd(spark: SparkSession, path: str) -> DataFrame:

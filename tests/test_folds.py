@@ -1,12 +1,15 @@
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from strandloom.operators import candidates as K
+from strandloom.operators import edges as L
 from strandloom.operators import folds as O
 from strandloom.operators import graph as G
+from strandloom.operators.lists_index import ListIndex
 from strandloom.runtime import Scratch
 
 
@@ -67,7 +70,9 @@ def merge(titles, pairs):
     return {(x, find(x)) for x in titles if find(x) != x}
 
 
-def test_guarded_merge_equals_one_pass(spark):
+@pytest.mark.parametrize("window", [100_000, 17])
+def test_guarded_merge_equals_one_pass(spark, monkeypatch, window):
+    monkeypatch.setattr(O, "WINDOW", window)
     rng = random.Random(3)
     words = ["first", "second", "public", "private", "maps", "tables", "numbers", "reading"]
     titles = {f"s{i:03}": (" ".join(rng.sample(words, rng.randrange(1, 4))), rng.randrange(1, 4), rng.choice([None, None, 1, 2])) for i in range(120)}
@@ -95,7 +100,9 @@ def feasible(nodes, seeds):
     return out
 
 
-def test_feasible_seeds_equal_solving(spark):
+@pytest.mark.parametrize("window", [100_000, 17])
+def test_feasible_seeds_equal_solving(spark, monkeypatch, window):
+    monkeypatch.setattr(O, "WINDOW", window)
     rng = random.Random(6)
     nodes = {f"n{i:02}": (rng.randrange(1, 21), rng.random() < 0.3) for i in range(40)}
     nodes |= {f"c{i:02}": (5, False) for i in range(22)}
@@ -109,13 +116,6 @@ def test_feasible_seeds_equal_solving(spark):
     assert sum(not got[p] for p in seeds[-21:]) == 1 or sum(not got[p] for p in seeds[-21:]) == 2
 
 
-def test_fold_bound(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "ord int, c string")
-    with pytest.raises(ValueError, match="has 2 rows"):
-        O.ordered_fold(df, "c", ["ord"], lambda x: x, "ord int, c string", bound=1)
-    assert O.ordered_fold(df, "c", ["ord"], lambda x: x.head(1), "ord int, c string").count() == 2
-
-
 def caps(edges, per_topic, overall, technical):
     out = set()
     by = {}
@@ -142,7 +142,9 @@ def caps(edges, per_topic, overall, technical):
     return out
 
 
-def test_hub_caps_equal_one_pass(spark):
+@pytest.mark.parametrize("window", [100_000, 17])
+def test_hub_caps_equal_one_pass(spark, monkeypatch, window):
+    monkeypatch.setattr(O, "WINDOW", window)
     rng = random.Random(4)
     edges = [(f"d{i:03}", f"p{rng.randrange(4)}", rng.randrange(6), rng.random() < 0.1, False, sorted(rng.sample("xyz", rng.randrange(3)))) for i in range(250)]
     edges = [(d, p, g, s, p == "p3", t) for d, p, g, s, _, t in edges]
@@ -150,15 +152,97 @@ def test_hub_caps_equal_one_pass(spark):
     assert rows(O.hub_caps(df, 9, 20, 7)) == caps(edges, 9, 20, 7)
 
 
-def test_orphans(spark):
+@pytest.mark.parametrize("window", [100_000, 1])
+def test_orphans(spark, monkeypatch, window):
+    monkeypatch.setattr(O, "WINDOW", window)
     orphans = spark.createDataFrame([(f"{w}-maps-{i}", 10.0, i) for i, w in enumerate(["algebra", "algebra", "algebra", "algebra-physics"])], "id string, raw double, ord int")
     words = spark.createDataFrame([("algebra", 2.0, False), ("physics", 1.0, False), ("maps", 1.0, False), ("tools", 1.0, True)], "id string, raw double, tech boolean")
     assert rows(O.orphan_prerequisites(orphans, words, uses=2)) == {("algebra-maps-0", "algebra"), ("algebra-maps-1", "algebra"), ("algebra-physics-maps-3", "physics")}
 
 
+def profile_rows(spark, skills):
+    kind = "id string, raw double, band int, topics array<string>, start int, end int, occupations array<string>, sources array<string>, tags string, pathological boolean"
+    full = [(*s, [], ["a"], None, None)[:10] if len(s) == 6 else s for s in skills]
+    return K.profiles(spark.createDataFrame(full, kind), L.language_token, ["reading"])
+
+
+def test_topic_candidates_equal_one_walk(spark):
+    rng = random.Random(9)
+    names = ["spanish-verbs", "french-verbs", "take-notes", "reading"]
+    skills = [(f"s{i:03}-{rng.choice(names)}", float(rng.randrange(1, 21)), 0, rng.sample("abcd", rng.randrange(4)), rng.choice([None, 0, 3, 8]), rng.choice([None, 2, 3, 9]), [], ["a"], rng.choice([None, "skillsengland:level:2", "skillsengland:level:6", "sced:catalog"]), rng.random() < 0.1) for i in range(160)]
+    skills = [(*s[:2], int(s[1]), *s[3:]) for s in skills]
+
+    def ok(d, c):
+        lang = lambda s: next((t for t in ("spanish", "french") if t in s[0].split("-")), None)
+        level = lambda s: int(s[8][-1]) if s[8] and "level" in s[8] else None
+        if c[0] == d[0] or c[9] or c[8] == "sced:catalog" or (lang(c) and lang(d) and lang(c) != lang(d)):
+            return False
+        if (d[4] or 0) >= 7 and c[5] is not None and c[5] <= 3:
+            return False
+        if level(c) and level(d) and level(c) > level(d):
+            return False
+        return c[1] < d[1] or c[2] < d[2]
+
+    want = set()
+    for d in skills:
+        got = []
+        for t in d[3]:
+            for c in sorted((s for s in skills if t in s[3]), key=lambda s: (s[1], s[0])):
+                if len(got) == 5 or c[1] > d[1] - (0.1 if d[1] >= 17 else 2):
+                    break
+                if ok(d, c) and c[0] not in got:
+                    got.append(c[0])
+        want |= {(d[0], c, k + 1) for k, c in enumerate(got)}
+    p = profile_rows(spark, skills)
+    for window in (3, 1000):
+        assert rows(K.topic_candidates(p, relaxed=F.col("raw") >= 17, window=window)) == want
+
+
+def test_topic_candidates_walk_past_a_rejected_head(spark):
+    # the guard rejects the first 1990 members of the topic for the one skill that asks
+    skills = [(f"m{i:04}", 1.0 + i / 10_000, 1, ["t"], 0, 2 if i < 1990 else 9) for i in range(2000)] + [("asker", 15.0, 15, ["t"], 8, 9)]
+    p = profile_rows(spark, skills)
+    got = K.topic_candidates(p).where("id = 'asker'")
+    assert rows(got) == {("asker", f"m{1990 + k}", k + 1) for k in range(5)}
+
+
+def test_upper_fifth(spark):
+    for values in ([float(k % 37) for k in range(1000)], [3.0] * 50, [1.0], [float(k) for k in range(10)]):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)], "raw double")
+        assert K.upper_fifth(df) == sorted(values)[int(len(values) * 0.8)]
+    assert K.upper_fifth(df.where("false")) == float("inf")
+
+
+def test_slots(spark):
+    rng = np.random.default_rng(5)
+    names = [f"s{i:02}" for i in range(60)]
+    x = rng.standard_normal((60, 8))
+    topics = [["alphabet-letters"] if i % 2 else ["numbers-arithmetic", "algebra-numbers"] for i in range(60)]
+    kind = "id string, raw double, band int, topics array<string>, start int, end int, occupations array<string>, sources array<string>, tags string, pathological boolean"
+    data = [(n, float(i), i // 3, topics[i], None, None, ["clerk"] if i % 5 == 0 else [], ["a", "b"] if i == 3 else ["a"], None, i == 7) for i, n in enumerate(names)]
+    p = K.profiles(spark.createDataFrame(data, kind), L.language_token).withColumn("key", F.substring("id", 2, 2).cast("long")).cache()
+    v = spark.createDataFrame([(i, [float(y) for y in x[i]]) for i in range(60)], "key long, vector array<double>")
+    index = ListIndex(v, "key", "vector", 8)
+    ancestors = K.topic_candidates(p.drop("key"), per_skill=2)
+    got = K.slots(p, index, ancestors, v.where("key in (3, 40, 41)"), 8, most=6, far=2, probe=3).collect()
+    by = {}
+    for r in got:
+        by.setdefault((r.id, r.kind), []).append((r["rank"], r.candidate))
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    for me in (40, 41):
+        mine = f"s{me}"
+        anc = [c for _, c in sorted(by[mine, "ancestor"])]
+        assert anc == [names[i] for i in range(me) if i % 2 == me % 2 and i != 7][:2]
+        pool = [i for i in range(me) if i % 2 == me % 2 and i != 7 and names[i] not in anc]
+        best = sorted(pool, key=lambda i: -(u[me] @ u[i]))[: 6 - 2 - 2]
+        assert [c for _, c in sorted(by[mine, "topic"])] == [names[i] for i in best]
+    assert not any(r.candidate == "s07" for r in got)
+    # several sources and hardly a pool: nothing but ancestors
+    assert ("s03", "topic") not in by or len(by["s03", "topic"]) <= 2
+
+
 def test_candidates(spark):
     s = spark.createDataFrame([("a", 1.0, 1, ["t"], 0, 2), ("b", 5.0, 5, ["t"], 4, 5), ("c", 9.0, 9, ["t", "u"], 8, 9), ("d", 2.0, 2, ["u"], None, None)], "id string, raw double, band int, topics array<string>, start int, end int")
-    assert rows(K.topic_candidates(s)) == {("b", "a", 1), ("c", "d", 1), ("c", "b", 2)}
     near = spark.createDataFrame([("c", "a", 0.9), ("c", "b", 0.8), ("a", "c", 0.9)], "id string, other string, cosine double")
     assert rows(K.neighbour_candidates(near, s, 5).select("id", "candidate")) == {("c", "b")}
     tags = spark.createDataFrame([("skillsengland:level:2", "x,skillsengland:level:6"), ("skillsengland:level:6", "skillsengland:level:2"), ("", "skillsengland:level:2")], "d string, p string")

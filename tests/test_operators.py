@@ -168,7 +168,7 @@ def test_scales(spark):
     topics = spark.createDataFrame([(1, 1.0, "t"), (2, 4.0, "t"), (3, 7.0, "t"), (4, 9.0, "u"), (5, 2.0, None)], "id int, v double, t string")
     got = {r.id: r.smoothed for r in C.smooth_by_topic(topics, "id", "v", "t").collect()}
     assert got == {1: 0.7 * 1 + 0.3 * 5.5, 2: 0.7 * 4 + 0.3 * 4, 3: 0.7 * 7 + 0.3 * 2.5, 4: 9, 5: 2}
-    tau = C.kendall_tau(spark.createDataFrame([(1, 1, 1), (2, 2, 3), (3, 3, 2)], "ord int, a int, b int"), "a", "b").first()
+    tau = C.kendall_tau(spark.createDataFrame([(1, 1, 1), (2, 2, 3), (3, 3, 2), (4, None, 2)], "ord int, a int, b int"), "a", "b").first()
     assert (tau.n, tau.concordant, tau.discordant) == (3, 2, 1) and abs(tau.tau - 1 / 3) < 1e-12
 
 

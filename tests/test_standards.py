@@ -75,7 +75,7 @@ def test_occupations(spark, tmp_path):
 def test_annotated_and_crowd(spark, tmp_path):
     (tmp_path / "t.tsv").write_text("1|Search\n2|Graph theory\n")
     (tmp_path / "a.csv").write_text("1,2,1\n2,1,0\n1,9,1\n")
-    pairs, lost = D.read_annotated(spark, str(tmp_path / "t.tsv"), r"^(\d+)\|(.+)$", str(tmp_path / "a.csv"))
+    pairs, lost = D.read_annotated(spark, [(str(tmp_path / "t.tsv"), "bar", str(tmp_path / "a.csv"))])
     assert rows(pairs) == {("Search", "Graph theory", True), ("Graph theory", "Search", False)} and lost == 1
     (tmp_path / "c.csv").write_text("Exercise_A,Exercise_B,Prerequisite_avg\nadding_2_0.5,counting_1,5.1\na_b,c,5\n")
     assert rows(D.read_crowd(spark, str(tmp_path / "c.csv"))) == {("counting", "adding 2", True), ("c", "a b", False)}
