@@ -24,14 +24,14 @@ def closure(edges: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     the longest path.
     """
     scratch = scratch or Scratch(edges.sparkSession, "closure")
-    known = scratch.save(clean_edges(edges).select("dep", F.col("pre").alias("anc")), "closure")
-    size = known.count()
+    known, seen = scratch.counted(clean_edges(edges).select("dep", F.col("pre").alias("anc")), "closure")
     while True:
+        size = seen["rows"]
         up = known.select(F.col("dep").alias("anc"), F.col("anc").alias("far"))
-        longer = scratch.save(known.union(known.join(up, "anc").select("dep", F.col("far").alias("anc"))).distinct(), "closure")
+        longer, seen = scratch.counted(known.union(known.join(up, "anc").select("dep", F.col("far").alias("anc"))).distinct(), "closure")
         scratch.drop(known)
-        known, before, size = longer, size, longer.count()
-        if size == before:
+        known = longer
+        if seen["rows"] == size:
             return known
 
 
@@ -47,8 +47,8 @@ def topo_levels(edges: DataFrame, nodes: DataFrame | None = None, scratch: Scrat
     level = 0
     while True:
         # nodes that wait for nobody any more
-        free = scratch.save(rest.join(left.select(F.col("dep").alias("id")).distinct(), "id", "left_anti").withColumn("level", F.lit(level)), "level")
-        if free.isEmpty():
+        free, seen = scratch.counted(rest.join(left.select(F.col("dep").alias("id")).distinct(), "id", "left_anti").withColumn("level", F.lit(level)), "level")
+        if not seen["rows"]:
             break
         done = free if done is None else done.union(free)
         fewer = scratch.save(left.join(free.select(F.col("id").alias("pre")), "pre", "left_anti").select("dep", "pre"), "edges")
@@ -64,11 +64,10 @@ def trim(edges: DataFrame, scratch: Scratch, rounds: int = 1_000_000) -> DataFra
     size = core.count()
     for _ in range(rounds):
         kept = core.join(core.select(F.col("dep").alias("pre")).distinct(), "pre", "left_semi").join(core.select(F.col("pre").alias("dep")).distinct(), "dep", "left_semi").select("dep", "pre")
-        kept = scratch.save(kept, "core")
-        count = kept.count()
-        if count == size:
+        kept, seen = scratch.counted(kept, "core")
+        if seen["rows"] == size:
             return kept
-        core, size = kept, count
+        core, size = kept, seen["rows"]
         if not size:
             return core
     return core
@@ -89,10 +88,10 @@ def components(edges: DataFrame) -> DataFrame:
         while True:
             # a prerequisite's colour flows to its dependents
             flow = core.join(colour.withColumnRenamed("id", "pre"), "pre").groupBy(F.col("dep").alias("id")).agg(F.min("colour").alias("new"))
-            moved = scratch.save(colour.join(flow, "id", "left").select("id", F.least("colour", F.coalesce("new", "colour")).alias("colour"), (F.col("new") < F.col("colour")).alias("changed")), "colour")
+            moved, seen = scratch.counted(colour.join(flow, "id", "left").select("id", F.least("colour", F.coalesce("new", "colour")).alias("colour"), (F.col("new") < F.col("colour")).alias("changed")), "colour", changed=F.count_if("changed"))
             scratch.drop(colour)
             colour = moved
-            if colour.where("changed").isEmpty():
+            if not seen["changed"]:
                 break
         colour = colour.select("id", "colour")
         same = core.join(colour.select(F.col("id").alias("dep"), F.col("colour").alias("cd")), "dep").join(colour.select(F.col("id").alias("pre"), F.col("colour").alias("cp")), "pre").where("cd = cp").select("dep", "pre", F.col("cd").alias("colour"))
@@ -101,8 +100,8 @@ def components(edges: DataFrame) -> DataFrame:
         while True:
             # backwards: from a node to its prerequisites inside the colour
             step = frontier.select(F.col("id").alias("dep")).join(same, "dep").select(F.col("pre").alias("id"), "colour").distinct()
-            fresh = scratch.save(step.join(reached, ["id", "colour"], "left_anti"), "frontier")
-            if fresh.isEmpty():
+            fresh, seen = scratch.counted(step.join(reached, ["id", "colour"], "left_anti"), "frontier")
+            if not seen["rows"]:
                 break
             reached = scratch.save(reached.union(fresh), "reached")
             frontier = fresh

@@ -110,7 +110,7 @@ def chain_skills(spark: SparkSession, folder: str) -> DataFrame:
     part = lambda c: F.filter(F.transform(F.split(F.coalesce(F.col(c), F.lit("")), ","), lambda x: F.lower(F.trim(x))), lambda x: x != "")
     rows = table(spark, folder, "skills").where("id is not null").groupBy("id").agg(F.min("difficulty").alias("d"), F.min(F.struct("rec_id", part("topics").alias("t"), part("occupations").alias("o"))).alias("first"), F.min("rec_id").alias("ord"))
     level = F.when(F.size("first.o") > 0, F.concat(F.lit("skillsengland:level:"), F.least(F.lit(7), 2 + F.floor(F.col("d") / 4)).cast("string")))
-    tool = F.when(F.col("first.t")[0] == "technical-systems", "onet:tech")
+    tool = F.when(F.get(F.col("first.t"), F.lit(0)) == "technical-systems", "onet:tech")
     one = bands(spark, folder).join(rows, "id", "left")
     return one.select("id", F.col("band").cast("double").alias("raw"), "band", "anchored", F.concat_ws(",", level, tool).alias("tags"), F.coalesce("first.t", F.array().cast("array<string>")).alias("topics"), F.coalesce("ord", F.lit(0)).alias("ord"))
 
