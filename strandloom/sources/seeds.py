@@ -103,7 +103,7 @@ def kept_seeds(edges: DataFrame, alias: DataFrame) -> DataFrame:
     out = edges.where(~F.col("holdout")).select(F.col("src").alias("pre"), F.col("dst").alias("dep"), "source")
     for end in ("pre", "dep"):
         out = out.join(alias.select(F.col("dropped_id").alias(end), F.col("canonical_id").alias("_to")), end, "left").withColumn(end, F.coalesce("_to", end)).drop("_to")
-    return out.where("pre <> dep").distinct()
+    return out.where("pre <> dep").select("pre", "dep", "source").distinct()
 
 
 # The share of its pairs that each source must resolve.

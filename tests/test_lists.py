@@ -105,8 +105,10 @@ def test_exams_and_objectives(spark, tmp_path):
 
 def test_units_and_tracks(spark, tmp_path):
     unit = lambda s, y: {"unitSlug": s, "unitTitle": s.title(), "description": " d ", "year": y, "priorKnowledgeRequirements": ["count"] if s == "u1" else []}
-    path = put(tmp_path / "u.jsonl", "\n".join(json.dumps(unit(s, y)) for s, y in (("u1", 1), ("u2", 7), ("u3", 8), ("u4", 8), ("u5", 8))))
-    u = lists.units(spark, path)
+    (tmp_path / "units").mkdir()
+    for s, y in (("u1", 1), ("u2", 7), ("u3", 8), ("u4", 8), ("u5", 8)):
+        (tmp_path / "units" / f"{s}.json.gz").write_bytes(gzip.compress(json.dumps(unit(s, y)).encode()))
+    u = lists.units(spark, str(tmp_path / "units"))
     assert {r.tags for r in lists.unit_skills(u).collect()} == {"oak:u1,grade:K", "oak:u2,grade:6", "oak:u3,grade:7", "oak:u4,grade:7", "oak:u5,grade:7"}
     at = lambda s, n, **k: {"unitTitle": s, "unitOrder": n, "unitSlug": s, "threads": [{"threadSlug": "t"}], **k}
     primary = put(tmp_path / "p.json", json.dumps([{"year": "1", "units": [at("u1", 1)]}]))
