@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.functions import text as X
+from strandloom.runtime import Scratch
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -133,13 +134,23 @@ def rare_token_matches(items: DataFrame, refs: DataFrame, common: Column) -> Dat
     """``item, ref, shared``: pairs that share a rare word, or two words.
 
     ``items`` has ``item, words``, ``refs`` has ``ref, words``. ``common`` is a
-    condition on ``df``, the number of references that have a word. Words that
-    are common alone never make a pair, so pairs start from each pair's words
-    with counts per pair; only words of the references are kept on either side.
+    condition on ``df``, the number of references that have a word. Pairs meet on
+    a rare word, or on two common words at once; no common word is ever joined
+    by itself.
     """
-    ref = refs.select("ref", F.explode(F.array_distinct("words")).alias("w"))
-    df = ref.groupBy("w").agg(F.count("*").alias("df"))
-    ref = ref.join(df, "w").select("ref", "w", common.alias("common"))
-    item = items.select("item", F.explode(F.array_distinct("words")).alias("w"))
-    both = item.join(ref, "w").groupBy("item", "ref").agg(F.count("*").alias("shared"), F.max(~F.col("common")).alias("rare"))
-    return both.where("rare or shared >= 2").drop("rare")
+    scratch = Scratch(items.sparkSession, "tokens")
+    df = refs.select("ref", F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count("*").alias("df"))
+    words = scratch.save(df.select("w", common.alias("common")), "words")
+
+    def sides(rows: DataFrame, id: str) -> DataFrame:
+        each = rows.select(id, F.explode(F.array_distinct("words")).alias("w")).distinct().join(words, "w")
+        return scratch.save(each.groupBy(id).agg(F.array_sort(F.collect_list("w")).alias("all"), F.collect_list(F.when(~F.col("common"), F.col("w"))).alias("rare"), F.array_sort(F.collect_list(F.when(F.col("common"), F.col("w")))).alias("often")), id)
+
+    a, b = sides(items, "item"), sides(refs, "ref")
+    # every two words of a sorted list, as keys
+    two = F.flatten(F.transform("often", lambda x, i: F.transform(F.slice("often", i + 2, F.size("often")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    by_rare = a.select("item", F.explode("rare").alias("k")).join(b.select("ref", F.explode("rare").alias("k")), "k").select("item", "ref")
+    by_two = a.select("item", F.explode(two).alias("k")).join(b.select("ref", F.explode(two).alias("k")), "k").select("item", "ref")
+    met = by_rare.union(by_two).distinct()
+    both = met.join(a.select("item", F.col("all").alias("wa")), "item").join(b.select("ref", F.col("all").alias("wb")), "ref")
+    return both.select("item", "ref", F.size(F.array_intersect("wa", "wb")).cast("long").alias("shared"))

@@ -9,6 +9,7 @@ true size, so that broadcasts are chosen on a measured size.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -65,12 +66,13 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; where it is unset, a folder of our own, in local mode only."""
+    """The shared folder of ``spark.checkpoint.dir``; where it is unset, a folder of our own, if driver and executors are one process."""
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="strandloom-")
@@ -78,11 +80,36 @@ def scratch_root(spark: SparkSession) -> str:
     return "file://" + _own_folder
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application. Frames that read them can't be used any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/strandloom/{spark.sparkContext.applicationId}")
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+_released: set[str] = set()
+
+
+def _release_at_exit(spark: SparkSession) -> None:
+    """Results read their scratch tables, so these live as long as the driver; a driver that is killed leaves them behind."""
+    app = spark.sparkContext.applicationId
+    if app in _released:
+        return
+    _released.add(app)
+
+    def leave() -> None:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            if spark.sparkContext.applicationId == app:
+                release(spark)
+
+    atexit.register(leave)
+
+
 class Scratch:
-    """Written tables of one job. ``save`` cuts lineage, ``drop`` frees a table that is no longer read."""
+    """Written tables of one job. ``save`` cuts lineage, ``drop`` frees a table that is no longer read; what is left goes when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         ship(spark)
+        _release_at_exit(spark)
         self.spark = spark
         self.home = f"{scratch_root(spark)}/strandloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
