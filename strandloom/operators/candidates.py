@@ -59,7 +59,7 @@ def profiles(skills: DataFrame, language, foundations: list[str] = ()) -> DataFr
         "id", "raw", "band", "start", "end", topics.alias("topics"), F.coalesce("occupations", none).alias("occupations"), F.coalesce("sources", none).alias("sources"), F.coalesce("tags", F.lit("")).alias("tags"),
         F.coalesce("pathological", F.lit(False)).alias("pathological"), language(F.col("id")).alias("language"), F.col("id").rlike(STUDY).alias("study"), F.col("id").isin(list(foundations)).alias("foundation"),
         (F.coalesce("tags", F.lit("")).contains("sced:catalog") & ~F.arrays_overlap(F.coalesce("sources", none), F.array(*map(F.lit, ("esco", "onet", "lightcast"))))).alias("catalogue"),
-        _long_tokens(F.col("id")).alias("id_tokens"), tokens.alias("topic_tokens"), F.forall(topics, lambda t: t.rlike(FRAME)).alias("framework_only"),
+        F.array_min(levels(F.coalesce("tags", F.lit("")))).alias("lowest_level"), F.array_max(levels(F.coalesce("tags", F.lit("")))).alias("highest_level"), _long_tokens(F.col("id")).alias("id_tokens"), tokens.alias("topic_tokens"), F.forall(topics, lambda t: t.rlike(FRAME)).alias("framework_only"),
     )
 
 
@@ -68,7 +68,7 @@ def admissible(d: str, c: str) -> Column:
     at = lambda s, name: F.col(f"{s}.{name}")
     same_language = F.coalesce(at(c, "language") == at(d, "language"), F.lit(True))
     fine = ~at(c, "pathological") & ~at(c, "catalogue") & (~at(c, "study") | at(d, "study")) & same_language
-    return (at(c, "id") != at(d, "id")) & fine & ~grade_gap(at(d, "start"), at(c, "end")) & ~level_inverted(at(d, "tags"), at(c, "tags")) & easier(at(c, "raw"), at(c, "band"), at(d, "raw"), at(d, "band"))
+    return (at(c, "id") != at(d, "id")) & fine & ~grade_gap(at(d, "start"), at(c, "end")) & ~F.coalesce(at(c, "lowest_level") > at(d, "highest_level"), F.lit(False)) & easier(at(c, "raw"), at(c, "band"), at(d, "raw"), at(d, "band"))
 
 
 def akin(d: str, c: str) -> Column:
@@ -100,6 +100,10 @@ def upper_fifth(skills: DataFrame) -> float:
     return values.withColumn("upto", upto + below).where(F.col("upto") > int(n * 0.8)).agg(F.min("raw")).first()[0]
 
 
+#: What ``admissible`` looks at.
+GUARDED = ["id", "raw", "band", "start", "end", "pathological", "catalogue", "study", "language", "lowest_level", "highest_level"]
+
+
 def topic_candidates(profiled: DataFrame, per_skill: int = 5, least_gap: float = 2.0, relaxed_gap: float = 0.1, relaxed: Column | None = None, window: int = 32) -> DataFrame:
     """``id, candidate, rank``: the first ``per_skill`` members of a skill's topics that pass the guards.
 
@@ -114,15 +118,15 @@ def topic_candidates(profiled: DataFrame, per_skill: int = 5, least_gap: float =
     spark = profiled.sparkSession
     scratch = Scratch(spark, "topics")
     base = profiled.withColumn("gap", F.when(relaxed if relaxed is not None else F.lit(False), F.lit(relaxed_gap)).otherwise(F.lit(least_gap)))
-    base = scratch.save(base, "profiles")
+    base = scratch.save(base.select(*GUARDED, "gap", "topics"), "profiles")
     flat = base.select("id", "raw", "gap", F.posexplode(F.array_distinct("topics")).alias("pos", "topic"))
     place = F.row_number().over(Window.partitionBy("topic").orderBy("raw", "id"))
     members = scratch.save(flat.select("topic", "id", "raw").withColumn("k", place).select("topic", F.col("id").alias("candidate"), F.col("raw").alias("rc"), "k"), "members")
     sizes = members.groupBy("topic").agg(F.max("k").alias("size"))
     # what of a topic can be a candidate: the members up to the skill's raw value less the gap
-    d = base.select("id", F.struct(*base.columns).alias("d"))
+    d = base.select("id", F.struct(*GUARDED).alias("d"))
     open_ = scratch.save(flat.join(sizes, "topic").join(d, "id").select("id", "topic", "pos", (F.col("raw") - F.col("gap")).alias("most"), "size", "d"), "open")
-    c = base.select(F.col("id").alias("candidate"), F.struct(*base.columns).alias("c"))
+    c = base.select(F.col("id").alias("candidate"), F.struct(*GUARDED).alias("c"))
     found, start, length = None, 0, window
     while True:
         pool, seen = scratch.counted(members.where((F.col("k") > start) & (F.col("k") <= start + length)).join(c, "candidate"), "pool")

@@ -48,9 +48,17 @@ def _ratio(part: DataFrame, whole: DataFrame) -> DataFrame:
     return part.agg(F.count("*").alias("p")).crossJoin(whole.agg(F.count("*").alias("w"))).select(F.try_divide(F.col("p").cast("double"), F.col("w")).alias("value"))  # one row each
 
 
-def acyclic(skills: DataFrame, edges: DataFrame) -> DataFrame:
-    """Share of edges that are self-edges, end at no skill, or belong to a skill on or above a cycle."""
-    ordered = G.topo_levels(edges, skills.select("id")).select(F.col("id").alias("dep"), F.lit(True).alias("ordered"))
+def acyclic(skills: DataFrame, edges: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Share of edges that are self-edges, end at no skill, or belong to a skill on or above a cycle.
+
+    ``known``, all ancestors, saves going through the levels if it is there.
+    """
+    if known is None:
+        ordered = G.topo_levels(edges, skills.select("id"))
+    else:
+        loop = known.where("dep = anc").select("anc")
+        ordered = skills.select("id").join(known.join(loop, "anc", "left_semi").select(F.col("dep").alias("id")), "id", "left_anti")
+    ordered = ordered.select(F.col("id").alias("dep"), F.lit(True).alias("ordered"))
     marked = edges.join(ordered, "dep", "left").join(skills.select(F.col("id").alias("pre"), F.lit(True).alias("there")), "pre", "left")
     return graded("prerequisites form no cycle and name other skills", marked.agg(share((F.col("dep") == F.col("pre")) | F.col("there").isNull() | F.col("ordered").isNull()).alias("value")), 0, 1)
 
@@ -87,8 +95,13 @@ def surviving_seeds(seeds: DataFrame, known: DataFrame, skills: DataFrame) -> Da
     return graded("at least 80% of seeds survive", _ratio(kept, all_), 0.8, 0)
 
 
-def ordered_bands(edges: DataFrame, bands: DataFrame) -> DataFrame:
-    above = G.inverted_above(edges, bands).join(edges.select(F.col("dep").alias("id")).distinct(), "id", "left_semi")
+def ordered_bands(edges: DataFrame, bands: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    if known is None:
+        above = G.inverted_above(edges, bands)
+    else:
+        highest = known.join(bands.select(F.col("id").alias("anc"), F.col("band").alias("ba")), "anc").groupBy(F.col("dep").alias("id")).agg(F.max("ba").alias("highest"))
+        above = bands.select("id", "band").join(highest, "id")
+    above = above.join(edges.select(F.col("dep").alias("id")).distinct(), "id", "left_semi")
     return graded("at least 95% of skills are at or above all their prerequisites", above.agg(share(F.coalesce(F.col("highest") <= F.col("band"), F.lit(True))).alias("value")), 0.95, 0)
 
 

@@ -47,7 +47,7 @@ def _profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_topic_candidates(spark: SparkSession, folder: str) -> DataFrame:
     """The first five prerequisites of every skill among its topics, from the easiest on; the hardest fifth takes nearer ones."""
-    p = _profiles(spark, folder)
+    p = Scratch(spark, "profiles").save(_profiles(spark, folder), "profiles")
     return K.topic_candidates(p, relaxed=F.col("raw") >= K.upper_fifth(p))
 
 

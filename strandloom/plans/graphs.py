@@ -75,12 +75,17 @@ def q_inherit_attribute(spark: SparkSession, folder: str) -> DataFrame:
     return G.inherited(rows.select("id", "parent"), known)
 
 
-def q_expert_scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Edges scored against annotations: matches, positive if the verdict is "same", and every listed prerequisite, positive if one of the two most trusted sources lists it."""
+def expert_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Annotations: matches, positive if the verdict is "same", and every listed prerequisite, positive if one of the two most trusted sources lists it."""
     pairs = table(spark, folder, "skill_matches").select(F.lower(F.trim("id_a")).alias("pre"), F.lower(F.trim("id_b")).alias("dep"), (F.lower(F.trim("verdict")) == "same").alias("positive")).where("pre is not null and dep is not null and positive is not null")
     trusted = table(spark, folder, "skill_sources").where("trust_rank <= 2").select("source", F.lit(True).alias("good"))
     lists = table(spark, folder, "skills").join(F.broadcast(trusted), "source", "left").select(F.col("id").alias("dep"), F.explode(F.split("prereqs", ",")).alias("p"), F.coalesce("good", F.lit(False)).alias("positive")).select(F.lower(F.trim("p")).alias("pre"), "dep", "positive").where("pre <> '' and dep is not null")
-    return G.expert_scores(edges(spark, folder), pairs.unionByName(lists))
+    return pairs.unionByName(lists)
+
+
+def q_expert_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Edges scored against the annotations."""
+    return G.expert_scores(edges(spark, folder), expert_pairs(spark, folder))
 
 
 def q_hub_cap(spark: SparkSession, folder: str) -> DataFrame:

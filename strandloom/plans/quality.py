@@ -45,12 +45,12 @@ def q_scorecard(spark: SparkSession, folder: str) -> DataFrame:
     expected = table(spark, folder, "foundations").select("id", F.when(F.col("grade_start") == 0, "K").otherwise(F.col("grade_start").cast("string")).alias("grade_from"), F.when(F.col("grade_end") == 0, "K").otherwise(F.col("grade_end").cast("string")).alias("grade_to"))
     junk = lambda t: t.rlike(texts.FRAMEWORK) | t.rlike(texts.WIKI) | t.rlike(texts.YEAR)
     conditions = [
-        Q.acyclic(skills, e),
+        Q.acyclic(skills, e, known),
         Q.shared_vectors(table(spark, folder, "skill_vectors").where(S.usable("embedding", measures.DIM)), "embedding"),
         Q.current_picks(lists, difficulty),
         Q.inverted_seeds(seeds, skills),
         Q.surviving_seeds(seeds, known, skills),
-        Q.ordered_bands(e, skills),
+        Q.ordered_bands(e, skills, known),
         Q.isolated(skills, e),
         Q.roots(skills, e),
         Q.tau(C.kendall_tau(rows.where("grade_start between -1 and 12"), "difficulty", "grade_start")),
@@ -66,7 +66,7 @@ def q_scorecard(spark: SparkSession, folder: str) -> DataFrame:
         Q.implied(known),
         Q.spot_checks(Q.known_spots(skills, e)),
         Q.clean_list(texts.list_defects(texts.defect_rows(spark, folder)), texts.defect_rows(spark, folder)),
-        Q.expert("expert", graphs.q_expert_scores(spark, folder)),
+        Q.expert("expert", scratch.save(G.expert_scores(e, graphs.expert_pairs(spark, folder), known), "expert")),
     ]
     out = conditions[0]
     for c in conditions[1:]:

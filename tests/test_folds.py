@@ -100,20 +100,22 @@ def feasible(nodes, seeds):
     return out
 
 
-@pytest.mark.parametrize("window", [100_000, 17])
-def test_feasible_seeds_equal_solving(spark, monkeypatch, window):
+@pytest.mark.parametrize(("window", "n", "pairs", "chain"), [(100_000, 40, 70, 22), (4, 9, 12, 0)])
+def test_feasible_seeds_equal_solving(spark, monkeypatch, window, n, pairs, chain):
     monkeypatch.setattr(O, "WINDOW", window)
     rng = random.Random(6)
-    nodes = {f"n{i:02}": (rng.randrange(1, 21), rng.random() < 0.3) for i in range(40)}
-    nodes |= {f"c{i:02}": (5, False) for i in range(22)}
-    seeds = list({tuple(rng.sample([n for n in nodes if n[0] == "n"], 2)) for _ in range(70)})
+    nodes = {f"n{i:02}": (rng.randrange(1, 21), rng.random() < 0.3) for i in range(n)}
+    nodes |= {f"c{i:02}": (5, False) for i in range(chain)}
+    seeds = list({tuple(rng.sample([x for x in sorted(nodes) if x[0] == "n"], 2)) for _ in range(pairs)})
     rng.shuffle(seeds)
-    seeds += [(f"c{i + 1:02}", f"c{i:02}") for i in range(21)]
+    seeds += [(f"c{i + 1:02}", f"c{i:02}") for i in range(chain - 1)]
     df = spark.createDataFrame([(n, *v) for n, v in nodes.items()], "id string, band int, anchored boolean")
     s = spark.createDataFrame([(d, p, 0, k) for k, (d, p) in enumerate(seeds)], "dep string, pre string, late int, ord int")
     got = {(r.dep, r.pre): r.kept for r in O.feasible_seeds(df, s).collect()}
     assert got == feasible(nodes, seeds)
-    assert sum(not got[p] for p in seeds[-21:]) == 1 or sum(not got[p] for p in seeds[-21:]) == 2
+    assert not all(got.values())
+    if chain:
+        assert sum(not got[p] for p in seeds[-21:]) in (1, 2)
 
 
 def caps(edges, per_topic, overall, technical):
