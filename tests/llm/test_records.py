@@ -151,6 +151,52 @@ def test_mixture(spark):
     assert mixture.Mixture(d.where("false"), t).chosen.count() == 0
 
 
+TABLES = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.exists(mixture.TOKENIZER) or not os.path.isdir(TABLES), reason="no vocabulary or tables here")
+def test_mixture_of_the_tables(spark):
+    """Every figure again by other means: tokens one text at a time, amounts by bisection, the chosen ones from the order."""
+    import base64
+
+    import tiktoken
+
+    documents, targets = (spark.read.parquet(f"{TABLES}/{t}.parquet") for t in ("documents", "mix_targets"))
+    with open(mixture.TOKENIZER, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    encoding = tiktoken.Encoding("test", pat_str=mixture.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    goal = {r.source: (r.target_share, r.max_repeats) for r in targets.collect()}
+    size = {}
+    for r in documents.select("doc_id", "source", "text").collect():
+        source = (r.source or "").strip().lower().replace("-", "_")
+        if r.text is not None and source in goal:
+            size[r.doc_id] = (source, len(encoding.encode_ordinary(r.text)))
+    have = {s: sum(n for t, n in size.values() if t == s) for s in goal}
+    # the amount of a source is its cap, or its share times one factor for all
+    total = sum(have.values())
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        factor = (low + high) / 2
+        low, high = (factor, high) if sum(min(have[s] * m, share * factor) for s, (share, m) in goal.items()) < total else (low, factor)
+    amount = {s: min(have[s] * m, share * low) for s, (share, m) in goal.items()}
+    mix = mixture.Mixture(documents, targets)
+    order = {r.doc_id: r.o for r in documents.select("doc_id").join(spark.createDataFrame([(d, n) for d, (_, n) in size.items()], "doc_id long, tokens long"), "doc_id").select("doc_id", F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id", "tokens"), 1).alias("o")).collect()}
+    chosen = {r.doc_id: (r.source, r.tokens, r.repeats) for r in mix.chosen.collect()}
+    assert all(chosen[d][:2] == size[d] for d in chosen)
+    for s, (_, most) in goal.items():
+        mine = {d: chosen.get(d, (s, n, 0))[2] for d, (t, n) in size.items() if t == s}
+        taken = sum(k * size[d][1] for d, k in mine.items())
+        longest = max((size[d][1] for d in mine), default=0)
+        assert abs(taken - amount[s]) <= longest and all(k <= most for k in mine.values())
+        assert len(set(mine.values())) <= 2
+        if len(set(mine.values())) == 2:
+            more, less = (k(mine.values()) for k in (max, min))
+            assert max(order[d] for d, k in mine.items() if k == more) < min(order[d] for d, k in mine.items() if k == less)
+    shares = {r.source: r for r in mix.shares.collect()}
+    reached = sum(amount.values())
+    assert all(abs(shares[s].actual_share - amount[s] / reached) < 0.01 for s in goal)
+
+
 # --- problem 10 ---
 
 
