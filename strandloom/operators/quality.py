@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandloom.operators import graph as G
@@ -129,6 +129,18 @@ def conflicting_seeds(judged: DataFrame) -> DataFrame:
     return graded("under 1% of seeds conflict with anchors", judged.agg(share(~F.col("kept") & ~F.col("tie")).alias("value")), 0.01, 1)
 
 
+def conflict_samples(judged: DataFrame, most: int = 5) -> DataFrame:
+    """``source, conflicts, samples``: the conflicts of each source and up to ``most`` of them, as ``pre(band) > dep(band)``.
+
+    ``judged``: ``dep, pre, source, kept, tie, bp, bd, ap, ad``; a band without an
+    anchor is marked by ``~``.
+    """
+    end = lambda c, p: F.concat(c, F.lit("("), F.when(F.col(f"a{p}"), "").otherwise("~"), F.col(f"b{p}").cast("string"), F.lit(")"))
+    bad = judged.where("not kept and not tie").select("source", F.concat(end("pre", "p"), F.lit(" > "), end("dep", "d")).alias("s"))
+    some = bad.withColumn("k", F.row_number().over(Window.partitionBy("source").orderBy("s"))).where(F.col("k") <= most).groupBy("source").agg(F.array_sort(F.collect_list("s")).alias("samples"))
+    return bad.groupBy("source").agg(F.count("*").alias("conflicts")).join(some, "source")
+
+
 def circular_seeds(seeds: DataFrame) -> DataFrame:
     scc = G.components(seeds)
     inside = seeds.select("dep", "pre").join(scc.select(F.col("id").alias("dep"), F.col("component").alias("c")), "dep").join(scc.select(F.col("id").alias("pre"), F.col("component").alias("c")), ["pre", "c"])

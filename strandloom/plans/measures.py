@@ -169,24 +169,45 @@ def q_aliases(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(best, "signature").where("id <> canonical_id").select(F.col("id").alias("dropped_id"), "canonical_id")
 
 
+# Topics that stay however common they are, and topics that never stay.
+COMMON_TOPICS = [
+    "mathematics", "science", "biology", "chemistry", "physics", "engineering", "technology", "economics", "history", "literature", "philosophy", "medicine", "law", "education", "problem-solving", "critical-thinking", "communication", "management", "leadership",
+    "computer-science", "software-engineering", "data-analysis", "statistics", "research", "information-skills", "management-skills", "nondestructive-testing", "mathematical-optimization", "handling-and-moving", "personnel-management", "working-with-machinery-and-specialised-equipment",
+]
+BLOCKED_TOPICS = [
+    "photomechanical-processes", "flying-machines", "rome-officials-and-employees", "traffic-regulations", "units-of-measurement", "professional-employees", "employees", "persons", "specialists", "scientists", "workers", "people", "occupations", "officials", "personnel", "staff", "professionals",
+    "practitioners", "technicians", "operators", "judaism-customs-and-practices", "descriptive-cataloging", "ibm-computers", "wikiproject-countries-projects", "wikiproject-africa-projects", "computer-input-output-equipment", "history-of-technology", "personality-tests",
+    "diagnostic-equipment-industry", "industrial-equipment-industry", "portable-computers", "telecommunication-equipment-industry", "law-interpretation-and-construction",
+]
+
+
+def topic_policy(counts: DataFrame, rows: int, common: list[str], blocked: list[str], least: int = 4, most: int = 1200, share: float = 0.013) -> DataFrame:
+    """The topics of ``counts`` (``topic, n``) that stay: held by ``least`` rows, by no more than ``most`` or the share of all rows unless ``common``, and not ``blocked``."""
+    cap = max(most, int(rows * share))
+    return counts.where((F.col("n") >= least) & ((F.col("n") <= cap) | F.col("topic").isin(common)) & ~F.col("topic").isin(blocked))
+
+
 def q_topic_policy(spark: SparkSession, folder: str) -> DataFrame:
-    """Topics that stay: held by at least 4 rows and at most max(1200, 1.3 %), whitelisted ones above it."""
-    keep = ["computing-basics", "living-things", "number-sense"]
+    """Topics that stay; here three topics of these tables are common ones and one is blocked, too."""
     skills = table(spark, folder, "skills")
     topics = skills.select("rec_id", F.explode(F.split("topics", ",")).alias("t")).select("rec_id", F.lower(F.trim("t")).alias("topic")).where("topic <> ''").distinct().groupBy("topic").agg(F.count("*").alias("n"))
-    most = max(1200, int(skills.count() * 0.013))
-    return topics.where((F.col("n") >= 4) & ((F.col("n") <= most) | F.col("topic").isin(keep)))
+    return topic_policy(topics, skills.count(), [*COMMON_TOPICS, "computing-basics", "living-things", "number-sense"], [*BLOCKED_TOPICS, "verbal-narratives"])
+
+
+# Fixed value: ids that say nothing.
+CRUFT_IDS = "^review-records|^prepare-inserts|^seal-containers"
 
 
 def q_cruft(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows that nothing points to or from and that say too little."""
+    """Rows that nothing points to or from and that say too little; rows that stand for aliases stay."""
     e = graphs.edges(spark, folder)
     used = e.select(F.col("dep").alias("id")).union(e.select(F.col("pre").alias("id"))).distinct()
     rows = table(spark, folder, "skills").where("id is not null").join(used, "id", "left_anti")
     said = F.trim(F.coalesce("description", F.lit("")))
     topics = F.size(F.filter(F.split(F.coalesce("topics", F.lit("")), ","), lambda t: t != ""))
-    cruft = ((said == "") & (topics < 2)) | ((F.size(F.split("id", "-")) >= 5) & (F.length(said) < 60))
-    return rows.where(cruft).select("rec_id", "id")
+    cruft = ((said == "") & (topics < 2)) | ((F.size(F.split("id", "-")) >= 5) & (F.length(said) < 60)) | F.col("id").rlike(CRUFT_IDS)
+    canonical = q_aliases(spark, folder).select(F.col("canonical_id").alias("id")).distinct()
+    return rows.where(cruft).join(canonical, "id", "left_anti").select("rec_id", "id")
 
 
 def q_grade_pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -232,6 +253,11 @@ _CLASH = " OR ".join(
 )
 _G = "CASE WHEN g IN ('KG', 'K') THEN 1 WHEN regexp_matches(g, '^0?[0-9]{1,2}$') AND CAST(g AS INTEGER) BETWEEN 1 AND 12 THEN CAST(g AS INTEGER) + 1 END"
 
+_ALIASES = f"""
+WITH g AS (SELECT id, count(DISTINCT source) AS sources, arg_min(title, rec_id) AS title FROM skills WHERE id IS NOT NULL AND title IS NOT NULL GROUP BY id),
+s AS (SELECT *, array_to_string(list_sort(list_filter({_split('title')}, lambda w: length(w) >= 2 AND w NOT IN {listed(X.SIGNATURE_STOP)} AND (length(w) >= 3 OR regexp_matches(w, '[0-9]')))), ' ') AS k FROM g),
+c AS (SELECT *, first_value(id) OVER (PARTITION BY k ORDER BY sources DESC, length(title), id) AS canonical_id FROM s WHERE k <> '')
+SELECT id AS dropped_id, canonical_id FROM c WHERE id <> canonical_id"""
 _TAU = """cell AS (SELECT difficulty AS a, grade_start AS b, count(*) AS c FROM skills WHERE grade_start BETWEEN -1 AND 12 AND difficulty IS NOT NULL GROUP BY 1, 2),
 way AS (SELECT coalesce(sum(CASE WHEN q.b > p.b THEN p.c * q.c END), 0) AS con, coalesce(sum(CASE WHEN q.b < p.b THEN p.c * q.c END), 0) AS dis FROM cell p JOIN cell q ON p.a < q.a), whole AS (SELECT sum(c) AS n FROM cell),
 tau AS (SELECT CAST(n AS BIGINT) AS n, CAST(con AS BIGINT) AS concordant, CAST(dis AS BIGINT) AS discordant, round(CAST(con - dis AS DOUBLE) / (n * (n - 1) / 2.0), 6) AS tau FROM way, whole)"""
@@ -261,16 +287,12 @@ two AS (SELECT id, t FROM x JOIN df USING (t) QUALIFY row_number() OVER (PARTITI
 p AS (SELECT DISTINCT a.id AS a, b.id AS b FROM two a JOIN two b ON a.t = b.t AND a.id < b.id)
 SELECT a, b, round({_JAC.format('x.w', 'y.w')}, 6) AS jaccard FROM p JOIN r x ON x.id = a JOIN r y ON y.id = b WHERE {_JAC.format('x.w', 'y.w')} >= 0.5""",
     "q_antonym_guard": f"WITH {_BUCKET}, pw AS (SELECT id, {_split('title')} AS w FROM f) SELECT a, b, {_CLASH.format('x.w', 'y.w')} AS clash FROM bp JOIN pw x ON x.id = a JOIN pw y ON y.id = b",
-    "q_aliases": f"""
-WITH g AS (SELECT id, count(DISTINCT source) AS sources, arg_min(title, rec_id) AS title FROM skills WHERE id IS NOT NULL AND title IS NOT NULL GROUP BY id),
-s AS (SELECT *, array_to_string(list_sort(list_filter({_split('title')}, lambda w: length(w) >= 2 AND w NOT IN {listed(X.SIGNATURE_STOP)} AND (length(w) >= 3 OR regexp_matches(w, '[0-9]')))), ' ') AS k FROM g),
-c AS (SELECT *, first_value(id) OVER (PARTITION BY k ORDER BY sources DESC, length(title), id) AS canonical_id FROM s WHERE k <> '')
-SELECT id AS dropped_id, canonical_id FROM c WHERE id <> canonical_id""",
-    "q_topic_policy": f"SELECT topic, count(DISTINCT rec_id) AS n FROM ({_exploded('topics', 'topic')}) GROUP BY topic HAVING count(DISTINCT rec_id) >= 4 AND (count(DISTINCT rec_id) <= greatest(1200, floor((SELECT count(*) FROM skills) * 0.013)) OR topic IN ('computing-basics', 'living-things', 'number-sense'))",
+    "q_aliases": _ALIASES,
+    "q_topic_policy": f"SELECT topic, count(DISTINCT rec_id) AS n FROM ({_exploded('topics', 'topic')}) GROUP BY topic HAVING count(DISTINCT rec_id) >= 4 AND (count(DISTINCT rec_id) <= greatest(1200, floor((SELECT count(*) FROM skills) * 0.013)) OR topic IN {listed([*COMMON_TOPICS, 'computing-basics', 'living-things', 'number-sense'])}) AND topic NOT IN {listed([*BLOCKED_TOPICS, 'verbal-narratives'])}",
     "q_cruft": f"""
-WITH {graphs._RAW}, used AS (SELECT dep AS id FROM e UNION SELECT pre FROM e)
+WITH {graphs._RAW}, used AS (SELECT dep AS id FROM e UNION SELECT pre FROM e), al AS ({_ALIASES})
 SELECT rec_id, id FROM (SELECT *, trim(coalesce(description, '')) AS said, len(list_filter(string_split(coalesce(topics, ''), ','), lambda t: t <> '')) AS n FROM skills WHERE id IS NOT NULL AND id NOT IN (SELECT id FROM used))
-WHERE (said = '' AND n < 2) OR (len(string_split(id, '-')) >= 5 AND length(said) < 60)""",
+WHERE ((said = '' AND n < 2) OR (len(string_split(id, '-')) >= 5 AND length(said) < 60) OR regexp_matches(id, '{CRUFT_IDS}')) AND id NOT IN (SELECT canonical_id FROM al)""",
     "q_grade_pairs": f"""
 WITH g AS (SELECT item_no, min({_G}) AS g FROM (SELECT item_no, upper(trim(unnest(educationlevel))) AS g FROM cf_items) GROUP BY item_no),
 r0 AS (SELECT docidentifier, item_no, g, {_SIGW.replace("lower(title)", "lower(fullstatement)")} AS w FROM cf_items JOIN g USING (item_no) WHERE docidentifier IS NOT NULL AND fullstatement IS NOT NULL AND g IS NOT NULL),

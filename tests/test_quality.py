@@ -136,6 +136,10 @@ def test_graph_helpers(spark):
     assert rows(G.inverted_above(e, b)) == {("a", 9, None), ("b", 2, 9), ("c", 3, 9), ("d", 9, 9), ("lone", 1, None)}
 
 
+def rows_of(df):
+    return {tuple(tuple(x) if isinstance(x, list) else x for x in r) for r in df.collect()}
+
+
 def score(df):
     (r,) = df.collect()
     return round(r.score, 6)
@@ -162,6 +166,8 @@ def test_conditions(spark):
     assert score(Q.tau(make([(0.25,)], "tau double"))) == 0.5
     assert score(Q.far_from_anchor(make([(0.05,)], "share double"))) == 1
     assert score(Q.conflicting_seeds(make([(True, False), (False, True), (False, False), (True, False)], "kept boolean, tie boolean"))) == round((0.25 - 1) / (0.01 - 1), 6)
+    each = make([("d", "p", "khan", False, False, 5, 3, True, False), ("e", "p", "khan", False, False, 5, 4, True, True), ("f", "p", "khan", True, False, 1, 4, True, True), ("g", "p", "lc", False, True, 5, 5, True, True)], "dep string, pre string, source string, kept boolean, tie boolean, bp int, bd int, ap boolean, ad boolean")
+    assert rows_of(Q.conflict_samples(each, 1)) == {("khan", 2, ("p(5) > d(~3)",))}
     assert score(Q.circular_seeds(make([("a", "b"), ("b", "a"), ("c", "a"), ("c", "b")], e.schema))) == round((0.5 - 1) / (0.01 - 1), 6)
     assert score(Q.empty_titles(make([("x",), ("!",)], "t string"), F.regexp_replace("t", "!", ""), F.col("t"))) == 0
     tags = make([("opensalt", "grade:1"), ("opensalt,esco", ""), ("opensalt", "opensalt:ungraded-framework"), ("esco", "")], "sources string, tags string")
