@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strandloom.functions import text as X
 from strandloom.operators.relational import assert_none, first_per_key
 from strandloom.sources.files import column, in_order, read_csv, read_json, read_property_graph, read_tsv
-from strandloom.sources.standards import read_occupations
+from strandloom.sources.standards import read_case, read_occupations
 
 
 def _rows(df: DataFrame, source: str, title: Column, description: Column, tags: Column) -> DataFrame:
@@ -142,6 +142,42 @@ def foundation_skills(foundations: DataFrame) -> DataFrame:
     return _rows(foundations, "foundation", F.col("title"), F.col("description"), tags)
 
 
+# --- frameworks ----------------------------------------------------------------------------------
+
+# Frameworks that are tests, templates or copies of others, by the slug of their title.
+SKIPPED_FRAMEWORKS = [
+    "pcg-georgia-s-k-12-mathematics-standards-implementation-sy2023-2024-2", "florida-math-scope-and-sequence", "florida-science-scope-and-sequence-grade-3", "florida-social-studies-scope-and-sequence", "al-ela-alabama-ela-test", "al-mth-alabama-math-test",
+    "al-sc-alabama-science-test", "al-ss-alabama-social-studies-test", "normalized-data-schema", "scope-and-sequence-framework-template", "norm-webb-s-depth-of-knowledge-dok-levels-of-cognitive-difficulty", "florida-ela-standards-best-3rd-grade",
+    "florida-ela-standards-lafs-3rd-grade", "florida-science-standards-grade-3", "florida-social-studies-standards-grade-3", "gcps-aks-language-arts-2021-2022", "gcps-aks-mathematics-2022-2023", "indiana-academic-standards-for-mathematics-2020", "mathematics-b-e-s-t",
+]
+
+
+def framework_skills(spark: SparkSession, path: str, scaffolding: list[str], skipped: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows of CASE packages, and the items left out, ``document, identifier, reason``.
+
+    Of the items of one framework with one title, whatever its case, the first
+    counts. Grades are an item's own or its nearest ancestors'; a framework
+    without any is tagged as ungraded.
+    """
+    items, _ = read_case(spark, path)
+    ungraded = items.groupBy("document").agg((F.max(F.coalesce(F.size("levels"), F.lit(0))) <= 0).alias("ungraded"))
+    said = lambda c: F.trim(X.html_text(F.coalesce(F.col(c), F.lit(""))))
+    full = items.join(ungraded, "document").withColumn("slug", X.slugify(F.coalesce("framework", F.lit("opensalt")))).withColumn("c", X.clean_statement(said("statement"), said("abbreviation"), said("notes"), F.col("type").isNotNull()))
+    why = F.when(F.col("slug").isin(SKIPPED_FRAMEWORKS if skipped is None else skipped), "framework").when(F.coalesce(F.col("type").isin(scaffolding), F.lit(False)), "scaffolding").when(F.col("c.status") != "row", F.col("c.status"))
+    full = full.withColumn("reason", why)
+    good = full.where("reason is null").withColumn("key", F.lower("c.title")).withColumn("k", F.row_number().over(Window.partitionBy("document", "key").orderBy("pos")))
+    none = F.array().cast("array<string>")
+    grades = F.transform(F.filter(F.transform(F.coalesce("levels", none), X.normal_grade), lambda g: g != ""), lambda g: F.concat(F.lit("grade:"), g))
+    exercise = F.nullif(F.regexp_extract(F.coalesce("notes", F.lit("")), r"khanacademy\.org/e/([\w.-]+)", 1), F.lit(""))
+    tags = F.concat(
+        F.array(F.lit("opensalt"), F.when(F.col("slug").startswith("sced-"), "sced:catalog"), F.when(F.col("ungraded"), "opensalt:ungraded-framework")), grades,
+        F.filter(F.transform(F.coalesce("keywords", none), lambda w: F.concat(F.lit("topic:"), F.regexp_replace(F.regexp_replace(F.lower(w), "[^a-z0-9]+", "-"), "^-|-$", ""))), lambda t: t != "topic:"),
+        F.array(F.when(F.coalesce("code", F.lit("")) != "", X.code_tag("code")), F.when(F.coalesce("type", F.lit("")) != "", F.concat(F.lit("opensalt:"), X.slugify("type"))), F.concat(F.lit("khan:"), exercise)),
+    )
+    rows = _rows(good.where("k = 1"), "opensalt", F.col("c.title"), F.col("c.description"), F.array_join(F.filter(tags, lambda t: t.isNotNull()), ","))
+    return rows, full.where("reason is not null").select("document", "identifier", "reason").union(good.where("k > 1").select("document", "identifier", F.lit("title")))
+
+
 # --- a property graph of standards ---------------------------------------------------------------
 
 

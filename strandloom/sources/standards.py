@@ -14,19 +14,21 @@ from strandloom.operators import graph as G
 from strandloom.operators.relational import assert_none, majority_votes
 from strandloom.sources.files import read_csv, read_json
 
-CASE = """CFDocument struct<identifier:string,title:string>, CFItems array<struct<identifier:string,fullStatement:string,abbreviatedStatement:string,notes:string,CFItemType:string,humanCodingScheme:string,educationLevel:array<string>>>,
+CASE = """CFDocument struct<identifier:string,title:string>, CFItems array<struct<identifier:string,fullStatement:string,abbreviatedStatement:string,notes:string,CFItemType:string,humanCodingScheme:string,educationLevel:array<string>,conceptKeywords:array<string>>>,
  CFAssociations array<struct<associationType:string,originNodeURI:struct<identifier:string>,destinationNodeURI:struct<identifier:string>>>"""
 
 
 def read_case(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Items ``document, identifier, statement, abbreviation, notes, type, code, levels`` of CASE packages, and child links ``document, id, parent``.
+    """Items ``document, identifier, statement, abbreviation, notes, type, code, framework, pos, keywords, levels`` of CASE packages, and child links ``document, id, parent``.
+
+    ``framework`` is the package's title, ``pos`` the item's place in it.
 
     An item without levels takes those of the nearest parent that has some;
     parents that give different levels are an error.
     """
     packages = read_json(spark, path, CASE).withColumn("document", F.col("CFDocument.identifier"))
-    items = packages.select("document", F.explode("CFItems").alias("i")).select(
-        "document", "i.identifier", F.col("i.fullStatement").alias("statement"), F.col("i.abbreviatedStatement").alias("abbreviation"), "i.notes", F.col("i.CFItemType").alias("type"), F.col("i.humanCodingScheme").alias("code"), F.col("i.educationLevel").alias("levels"),
+    items = packages.select("document", F.col("CFDocument.title").alias("framework"), F.posexplode("CFItems").alias("pos", "i")).select(
+        "document", "i.identifier", F.col("i.fullStatement").alias("statement"), F.col("i.abbreviatedStatement").alias("abbreviation"), "i.notes", F.col("i.CFItemType").alias("type"), F.col("i.humanCodingScheme").alias("code"), "framework", "pos", F.col("i.conceptKeywords").alias("keywords"), F.col("i.educationLevel").alias("levels"),
     )
     links = packages.select("document", F.explode("CFAssociations").alias("a")).where("a.associationType = 'isChildOf'").select("document", F.col("a.originNodeURI.identifier").alias("id"), F.col("a.destinationNodeURI.identifier").alias("parent")).where("parent <> document")
     links = links.join(items.select("document", F.col("identifier").alias("parent")), ["document", "parent"], "left_semi").select("document", "id", "parent")

@@ -59,6 +59,30 @@ def test_lightcast_foundations_targets(spark, tmp_path):
     assert {(r.id, r.task) for r in t.collect()} == {("a", "summary"), ("go", "infill"), ("c", "opensalt"), ("d", "infill")}
 
 
+def test_framework_skills(spark, tmp_path):
+    item = lambda i, s, **k: {"identifier": i, "fullStatement": s, **k}
+    one = {
+        "CFDocument": {"identifier": "d1", "title": "State Maths"},
+        "CFItems": [
+            item("a", "Add whole numbers within twenty", CFItemType="Standard", educationLevel=["01"], humanCodingScheme="1.OA.6", conceptKeywords=["Number Sense", "!"]),
+            item("b", "add whole numbers within twenty", CFItemType="Standard"), item("c", "Numbers", CFItemType="Strand"), item("e", "Subtract whole numbers within ten", CFItemType="Standard", notes="see khanacademy.org/e/subtract_10 now"),
+        ],
+        "CFAssociations": [{"associationType": "isChildOf", "originNodeURI": {"identifier": "e"}, "destinationNodeURI": {"identifier": "a"}}],
+    }
+    two = {"CFDocument": {"identifier": "d2", "title": "SCED codes"}, "CFItems": [item("x", "Compare the parts of simple machines")], "CFAssociations": []}
+    three = {"CFDocument": {"identifier": "d3", "title": "Skip me"}, "CFItems": [item("y", "Explain how machines work")], "CFAssociations": []}
+    for k, d in enumerate((one, two, three)):
+        put(tmp_path / f"{k}.json", json.dumps(d))
+    found, lost = lists.framework_skills(spark, str(tmp_path), ["Strand"], ["skip-me"])
+    by = {r.title: r.tags for r in found.collect()}
+    assert len(by) == 3 and all("opensalt" in t for t in by.values())
+    tags = sorted(t for t in by.values())
+    assert any(t.startswith("opensalt,grade:01,topic:number-sense,code:") and t.endswith("opensalt:standard") for t in tags)
+    assert any(t == "opensalt,grade:01,opensalt:standard,khan:subtract_10" for t in tags)
+    assert "opensalt,sced:catalog,opensalt:ungraded-framework" in tags
+    assert rows(lost) == {("d1", "b", "title"), ("d1", "c", "scaffolding"), ("d3", "y", "framework")}
+
+
 def test_graph_standards(spark, tmp_path):
     nodes = [
         {"k": "component", "id": "c1", "text": "share a feeling", "grades": ["K"]}, {"k": "item", "id": "i1", "text": "Add whole numbers fluently", "type": "Standard", "grades": ["1"], "code": "1.OA.6"},
