@@ -13,7 +13,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return neighbours.close_pairs(_table(spark, folder, "skill_vectors"), k=10, floor=0.9, probes=12)
+    return neighbours.close_pairs(_table(spark, folder, "skill_vectors"), k=10, floor=0.9, probes=16)
 
 
 def p3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
