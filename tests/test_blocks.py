@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strandloom.operators import blocks as B
 from strandloom.operators import candidates as K
+from strandloom.operators import similarity as S
 from strandloom.operators.lists_index import ListIndex
 from strandloom.runtime import Scratch
 
@@ -99,14 +100,17 @@ def test_guard_of_slots_equals_columns(spark):
         assert len(want) > 20 and len(got) == len(want) and {tuple(r) for r in got} == want
 
 
-@pytest.mark.parametrize("which", ["index"])
+@pytest.mark.parametrize("which", ["index", "pooled"])
 def test_pairs_are_never_joined(spark, monkeypatch, which):
     """Every query met every vector in a join, with both vectors in each row."""
     plans, save = [], Scratch.save
     monkeypatch.setattr(Scratch, "save", lambda self, df, label="t": plans.append(df._jdf.queryExecution().analyzed().toString()) or save(self, df, label))
     x = np.random.default_rng(1).standard_normal((50, 8))
     df = spark.createDataFrame([(k, [float(y) for y in x[k]], ["t"]) for k in range(50)], "id long, vec array<float>, topics array<string>")
-    got = ListIndex(df, "id", "vec", 8).top(df.where("id < 5"), 3, "id", "vec", 10**6)
+    if which == "index":
+        got = ListIndex(df, "id", "vec", 8).top(df.where("id < 5"), 3, "id", "vec", 10**6)
+    else:
+        got = S.pooled_top_k(df, df.where("id < 5"), 3, 8)
     assert got.count() == 15
     near = [p for p in plans if "cosine" in p]
     assert near and not any("Join" in p for p in near)
